@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import read
+from hourlake.llm import licences, oracle
+from hourlake.llm.common import read, stored
+from hourlake.llm.mixing import default_quality, mix, word_count
 from hourlake.llm.sentencepiece_codec import decode_documents, encode_documents
 from hourlake.llm.token_counts import count_tokens
+from hourlake.llm.warc import round_trip
 
 #: Tokens beyond which a document is over the limit.
 TOKEN_LIMIT = 1024
@@ -27,6 +30,28 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
+    sized = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("words")), "mix-sizes")
+    mixed = mix(sized, size="words", quality=default_quality(F.col("words")))
+    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = round_trip(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licences.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return scanned.select(
+        "doc_id",
+        F.array_join("licence_scan.licences", ",").alias("licences"),
+        F.array_join("licence_scan.sentences", ",").alias("sentences"),
+        F.col("licence_scan.unknown").alias("n_unknown"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -40,7 +65,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_mixing": op3_mixing,
+    "op7_warc": op7_warc,
+    "op9_licences": op9_licences,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.SQL
