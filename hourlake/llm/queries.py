@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import licences, oracle
+from hourlake.llm import licences, oracle, sentencepiece_codec
 from hourlake.llm.common import read, stored
+from hourlake.llm.minhash import near_duplicates
 from hourlake.llm.mixing import default_quality, mix, word_count
-from hourlake.llm.sentencepiece_codec import decode_documents, encode_documents
 from hourlake.llm.token_counts import count_tokens
 from hourlake.llm.warc import round_trip
 
@@ -19,8 +19,7 @@ TOKEN_LIMIT = 1024
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    coded = encode_documents(read(spark, sf_dir, "documents", "doc_id", "text"), model)
-    coded = decode_documents(coded.select("doc_id", "pieces.ids", "pieces.ends"), model, "ids")
+    coded = sentencepiece_codec.round_trip(read(spark, sf_dir, "documents", "doc_id", "text"), model).select("doc_id", "pieces.*")
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -37,6 +36,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), words=2, threshold=80)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = round_trip(read(spark, sf_dir, "pages", "page_id", "url", "html"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -66,6 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_mixing": op3_mixing,
+    "op6_minhash": op6_minhash,
     "op7_warc": op7_warc,
     "op9_licences": op9_licences,
     "op10_token_counts": op10_token_counts,

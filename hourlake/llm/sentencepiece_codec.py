@@ -101,7 +101,7 @@ class SentencePieceCodec:
         self.joins = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         cut = not any(pair[0] != SPACE and pair[1] == SPACE or "\n" in pair for pair in self.joins)
         self.units = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if cut else "(?s:.+)")
-        self.unit_pieces = Memo(self._unit, 200_000)
+        self.unit_pieces = Memo(self._unit, 150_000)
 
     # -- normalisation
 
@@ -270,18 +270,35 @@ def codec(path: str) -> SentencePieceCodec:
     return SentencePieceCodec(path)
 
 
-def encoded(text: Column, path: str, bos: bool = True, eos: bool = True) -> Column:
-    """struct(ids binary, ends binary) of a text column: packed ids and packed ends of their byte spans."""
-    kind = pa.struct([("ids", pa.binary()), ("ends", pa.binary())])
+#: Rows that go back to Spark at once: packed ids take more room than their text.
+ROWS = 128
+
 
-    @F.arrow_udf("ids binary, ends binary")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _coded(text: Column, path: str, bos: bool, eos: bool, decode: bool) -> Column:
+    kind = pa.struct([("ids", pa.binary()), ("ends", pa.binary()), *[("decoded", pa.string())] * decode])
+
+    @F.arrow_udf("ids binary, ends binary" + ", decoded string" * decode)
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = codec(path)
         for batch in batches:
-            rows = [made.encode(t.as_py() or "", bos, eos) for t in batch]
-            yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], fields=list(kind))
+            for at in range(0, len(batch), ROWS):
+                rows = [made.encode(t.as_py() or "", bos, eos) for t in batch.slice(at, ROWS)]
+                columns = [pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)]
+                if decode:
+                    columns.append(pa.array([made.decode(ids) for ids, _ in rows], pa.string()))
+                yield pa.StructArray.from_arrays(columns, fields=list(kind))
+
+    return code(text)
+
+
+def encoded(text: Column, path: str, bos: bool = True, eos: bool = True) -> Column:
+    """struct(ids binary, ends binary) of a text column: packed ids and packed ends of their byte spans."""
+    return _coded(text, path, bos, eos, False)
+
 
-    return encode(text)
+def round_trip(df: DataFrame, path: str, text: str = "text", into: str = "pieces") -> DataFrame:
+    """encode_documents, with the text decoded from the ids as a third field, `decoded`, in the same pass."""
+    return df.withColumn(into, _coded(F.coalesce(F.col(text), F.lit("")), path, True, True, True))
 
 
 def decoded(ids: Column, path: str) -> Column:
@@ -291,7 +308,8 @@ def decoded(ids: Column, path: str) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = codec(path)
         for batch in batches:
-            yield pa.array([made.decode(b.as_py()) if b.is_valid else None for b in batch], pa.string())
+            for at in range(0, len(batch), ROWS):
+                yield pa.array([made.decode(b.as_py()) if b.is_valid else None for b in batch.slice(at, ROWS)], pa.string())
 
     return decode(ids)
 
