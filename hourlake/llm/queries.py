@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import licences, oracle, sentencepiece_codec
+from hourlake.llm import licences, oracle, sentencepiece_codec, toxicity
 from hourlake.llm.common import read, stored
 from hourlake.llm.minhash import near_duplicates
 from hourlake.llm.mixing import default_quality, mix, word_count
@@ -29,6 +29,19 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, toxicity.training_rows(read(spark, sf_dir, "labels", "doc_id", "toxic")))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"),
+        F.size("toxicity.spans").alias("n_spans"),
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
     sized = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("words")), "mix-sizes")
@@ -68,6 +81,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op6_minhash": op6_minhash,
     "op7_warc": op7_warc,
