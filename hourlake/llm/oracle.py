@@ -85,4 +85,25 @@ select doc_id, coalesce(array_to_string(list_sort(list_distinct(found)), ','), '
 """
 
 
-SQL = {"op3_mixing": OP3, "op7_warc": OP7, "op9_licences": _op9()}
+OP6 = rf"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') as w from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then []::varchar[] when len(w) = 1 then [w[1]]
+    else list_distinct(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) end as s from words
+), items as (
+  select doc_id, len(s) as n, unnest(s) as x from sets
+), links as (
+  select a.doc_id as a, b.doc_id as b from items a join items b on a.x = b.x and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach as (
+  select doc_id as node, doc_id as root from sets
+  union
+  select links.b, reach.root from reach join links on links.a = reach.node where reach.root < links.b
+), roots as (
+  select node, min(root) as component_id from reach group by node
+)
+select doc_id, len(s)::bigint as n_shingles, component_id, doc_id = component_id as kept from sets join roots on node = doc_id
+"""
+
+SQL = {"op3_mixing": OP3, "op6_minhash": OP6, "op7_warc": OP7, "op9_licences": _op9()}

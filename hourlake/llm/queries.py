@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import licences, oracle, sentencepiece_codec, toxicity
-from hourlake.llm.common import read, stored
+from hourlake.llm import licences, line_dedup, oracle, sentencepiece_codec, toxicity
+from hourlake.llm.common import read, stored, text_or_empty
 from hourlake.llm.minhash import near_duplicates
 from hourlake.llm.mixing import default_quality, mix, word_count
 from hourlake.llm.token_counts import count_tokens
@@ -58,6 +58,20 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    judged = stored(line_dedup.decisions(docs), "line-decisions")
+    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("dh"))
+    joined = rows.join(judged, rows["doc_id"].eqNullSafe(judged["doc_id"]) & (rows["dh"] == judged["dh"]), "left")
+    removed = F.coalesce("removed", F.array().cast("array<int>"))
+    return joined.select(
+        rows["doc_id"],
+        F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
+        F.size(removed).cast("long").alias("n_removed"),
+        F.array_join(removed.cast("array<string>"), ",").alias("removed_lines"),
+    )
+
+
 def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licences.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
     return scanned.select(
@@ -85,6 +99,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op6_minhash": op6_minhash,
     "op7_warc": op7_warc,
+    "op8_line_dedup": op8_line_dedup,
     "op9_licences": op9_licences,
     "op10_token_counts": op10_token_counts,
 }
