@@ -101,7 +101,7 @@ class SentencePieceCodec:
         self.joins = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         cut = not any(pair[0] != SPACE and pair[1] == SPACE or "\n" in pair for pair in self.joins)
         self.units = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if cut else "(?s:.+)")
-        self.unit_pieces = Memo(self._unit, 150_000)
+        self.unit_pieces = Memo(self._unit, 450_000)
 
     # -- normalisation
 
@@ -208,7 +208,8 @@ class SentencePieceCodec:
         else:
             ends = np.asarray(starts, np.int64)[np.cumsum(np.frombuffer(b"".join([f[2] for f in found]), "<u4"), dtype=np.int64)] if found else np.empty(0, np.int64)
         spans = ends.astype("<u4").tobytes()
-        total = struct.pack("<I", len(text.encode("utf-8")))
+        # The last piece ends where the text does, or where trimming has cut it.
+        total = spans[-4:] if not self.trim and spans else struct.pack("<I", len(text.encode("utf-8")))
         return first + ids + last, bytes(len(first)) + spans + (total if eos else b"")
 
     def _ends_with_signs(self, text: str, found: list) -> np.ndarray:
