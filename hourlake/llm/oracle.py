@@ -85,6 +85,26 @@ select doc_id, coalesce(array_to_string(list_sort(list_distinct(found)), ','), '
 """
 
 
+OP4 = """
+with recursive rows as (
+  select vec_id, label, embedding::double[] as v from embeddings
+), ok as (
+  select vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) as size from rows
+  where label is not null and len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(v, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.98
+), reach as (
+  select vec_id as node, vec_id as root from rows
+  union
+  select links.b, reach.root from reach join links on links.a = reach.node where reach.root < links.b
+), roots as (
+  select node, min(root) as component_id from reach group by node
+)
+select vec_id, (select count(*) from links where a = vec_id)::bigint as n_links, component_id, vec_id = component_id as kept
+from rows join roots on node = vec_id
+"""
+
 OP6 = rf"""
 with recursive words as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') as w from documents
@@ -106,4 +126,4 @@ with recursive words as (
 select doc_id, len(s)::bigint as n_shingles, component_id, doc_id = component_id as kept from sets join roots on node = doc_id
 """
 
-SQL = {"op3_mixing": OP3, "op6_minhash": OP6, "op7_warc": OP7, "op9_licences": _op9()}
+SQL = {"op3_mixing": OP3, "op4_embedding_dedup": OP4, "op6_minhash": OP6, "op7_warc": OP7, "op9_licences": _op9()}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import licences, line_dedup, oracle, sentencepiece_codec, toxicity
+from hourlake.llm import embedding_dedup, licences, line_dedup, neighbours, oracle, sentencepiece_codec, toxicity
 from hourlake.llm.common import read, stored, text_or_empty
 from hourlake.llm.minhash import near_duplicates
 from hourlake.llm.mixing import default_quality, mix, word_count
@@ -49,6 +49,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), words=2, threshold=80)
 
@@ -97,6 +105,8 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
+    "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_neighbours": op5_neighbours,
     "op6_minhash": op6_minhash,
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
