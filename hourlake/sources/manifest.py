@@ -1,0 +1,151 @@
+"""Acquisition plans and Bronze manifests: small JSON documents, read on the driver."""
+
+from __future__ import annotations
+
+import json
+import os
+from collections.abc import Iterable
+from dataclasses import dataclass
+from datetime import date
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
+from hourlake.sources.schemas import MANIFEST_FILE
+
+
+def load_json(path: str | Path) -> dict:
+    """A JSON document, with or without a byte order mark."""
+    return json.loads(Path(path).read_text(encoding="utf-8-sig"))
+
+
+@dataclass(frozen=True)
+class Plan:
+    plan_id: str
+    start: date
+    end: date
+    base_urls: tuple[str, ...]
+    output_dir: str | None = None
+    manifest_path: str | None = None
+    workers: int = 4
+    attempts: int = 3
+    timeout: float = 30.0
+    trust_manifest: bool = False
+
+
+def load_plan(path: str | Path) -> Plan:
+    """A plan; ValueError if a key is missing, the end precedes the start, or expected_hours is not what the days have."""
+    doc = load_json(path)
+    if absent := sorted({"plan_id", "start_date", "end_date"} - doc.keys()):
+        raise ValueError(f"the plan lacks {absent}")
+    start, end = date.fromisoformat(doc["start_date"]), date.fromisoformat(doc["end_date"])
+    if end < start:
+        raise ValueError("the plan ends before it starts")
+    n = ((end - start).days + 1) * 24
+    if doc.get("expected_hours", n) != n:
+        raise ValueError(f"the plan expects {doc['expected_hours']} hours, its days have {n}")
+    return Plan(
+        doc["plan_id"], start, end, mirrors(doc), doc.get("output_dir"), doc.get("manifest_path"), workers(doc.get("download_workers", 4)),
+        attempts(doc.get("download_attempts", 3)), timeout(doc.get("download_timeout_seconds", 30)), bool(doc.get("trust_manifest_on_resume", False)),
+    )
+
+
+def mirrors(doc: dict) -> tuple[str, ...]:
+    """The plan's https mirrors, distinct and in order; base_url is an older key for one."""
+    urls = doc.get("base_urls", [doc["base_url"]] if doc.get("base_url") else [])
+    if not isinstance(urls, list) or not urls:
+        raise ValueError("base_urls is a list of one mirror or more")
+    kept = tuple(dict.fromkeys(str(u).rstrip("/") for u in urls))
+    if odd := [u for u in kept if not u.startswith("https://")]:
+        raise ValueError(f"mirrors are https only: {odd}")
+    return kept
+
+
+def rotated(urls: tuple[str, ...], k: int) -> tuple[str, ...]:
+    """The mirrors from the k-th on, so that files begin at different ones."""
+    k %= len(urls)
+    return urls[k:] + urls[:k]
+
+
+def _within(value, low, high, what):
+    if not low <= value <= high:
+        raise ValueError(f"{what} is between {low} and {high}, not {value}")
+    return value
+
+
+def workers(n: int) -> int:
+    return _within(int(n), 1, 8, "workers")
+
+
+def attempts(n: int) -> int:
+    return _within(int(n), 1, 5, "attempts")
+
+
+def timeout(seconds: float) -> float:
+    return _within(float(seconds), 5, 300, "timeout in seconds")
+
+
+@dataclass(frozen=True)
+class BronzeFile:
+    filename: str
+    path: Path
+    size_bytes: int | None
+    sha256: str | None
+
+
+def contained(base: str | Path, relative: str) -> Path:
+    """A path below base; ValueError if it leads out of it."""
+    base = Path(base).resolve()
+    out = (base / relative).resolve()
+    if not out.is_relative_to(base):
+        raise ValueError(f"{relative} leads out of {base}")
+    return out
+
+
+def bronze_files(manifest_path: str | Path, raw_dir: str | Path, limit: int | None = None) -> list[BronzeFile]:
+    """The manifest's files, its first `limit` if given. Names occur once, lie below raw_dir, and exist."""
+    if limit is not None and limit < 1:
+        raise ValueError("a limit is 1 at least")
+    entries = load_json(manifest_path).get("files", [])[:limit]
+    out, seen = [], set()
+    for e in entries:
+        path = contained(raw_dir, e["relative_path"])
+        if e["filename"] in seen:
+            raise ValueError(f"the manifest names {e['filename']} twice")
+        if not path.is_file():
+            raise FileNotFoundError(path)
+        seen.add(e["filename"])
+        out.append(BronzeFile(e["filename"], path, e.get("size_bytes"), e.get("sha256")))
+    return out
+
+
+def load_manifest(path: str | Path) -> dict[str, dict]:
+    """Entries by file name; none without a file."""
+    return {e["filename"]: e for e in load_json(path).get("files", [])} if Path(path).exists() else {}
+
+
+def write_manifest(path: str | Path, plan_id: str, entries: Iterable[dict]) -> None:
+    """Write entries in the order of names, aside first, so that a reader never meets half a document."""
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    doc = {"manifest_version": 1, "plan_id": plan_id, "algorithm": "sha256", "files": sorted(entries, key=lambda e: e["filename"])}
+    aside = path.with_name(path.name + ".part")
+    aside.write_text(json.dumps(doc, indent=2) + "\n", encoding="utf-8")
+    os.replace(aside, path)
+
+
+def in_scope(entries: dict[str, dict], names: Iterable[str]) -> dict[str, dict]:
+    names = set(names)
+    return {k: e for k, e in entries.items() if k in names}
+
+
+def check_overrides(plan: bool, **given) -> None:
+    """A plan fixes dates, hours and output; ValueError if any is given beside one."""
+    if plan and (odd := sorted(k for k, v in given.items() if v is not None)):
+        raise ValueError(f"the plan already says {odd}")
+
+
+def manifest_frame(spark: SparkSession, path: str | Path) -> DataFrame:
+    """The manifest's entries as rows."""
+    rows = [tuple(e.get(f.name) for f in MANIFEST_FILE.fields) for e in load_json(path).get("files", [])]
+    return spark.createDataFrame(rows, MANIFEST_FILE)
