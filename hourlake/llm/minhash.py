@@ -13,10 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import stored
+from hourlake.llm.common import fresh, stored
 from hourlake.llm.graph import components
 
 #: Registers of a sketch, registers of a band, and mantissa bits of a register.
@@ -123,7 +123,7 @@ EDGE = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 
 def near_duplicates(df: DataFrame, words: int = 5, threshold: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of df: documents linked where 100 * shared >= threshold * joint shingles.
+    """(doc_id, n_shingles, component_id, kept, text_hash) for each row of df: documents linked where 100 * shared >= threshold * joint shingles.
 
     kept marks the row whose id is the least that links reach. Copies (equal sets) are one node, so they are never paired with
     each other. Every link inside a family of candidates is decided on the full sets; a pair is lost only if no band
@@ -132,35 +132,47 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: int = 80, doc_id:
     Nulls: a null text is an empty set, linked with nothing; a row with a null id has its component among the ids of its
     copies and links, or null if there are none. Repeated rows are copies. An empty table gives an empty result.
     """
-    nodes = sketched(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), words)
+    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
+    nodes = sketched(docs, words)
     classes = nodes.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.first("registers").alias("registers"))
     classes = stored(classes, "minhash-classes")
     candidates = candidate_links(classes.select("digest", "registers"), threshold)
     families = stored(_with_roots(components(candidates, "minhash-families")), "minhash-family")
-    links = confirmed_links(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), classes.select("digest", "least_id"), families, words, threshold)
+    links = confirmed_links(docs.select("doc_id", "text"), classes.select("digest", "least_id"), families, words, threshold)
     joined = stored(_with_roots(components(links, "minhash-components")), "minhash-roots")
     ids = classes.select("digest", "least_id").join(joined.withColumnRenamed("node", "digest"), "digest", "left")
     ids = ids.withColumn("root", F.coalesce("root", "digest"))
     least = stored(ids.groupBy("root").agg(F.min("least_id").alias("component_id")), "minhash-least")
     ids = stored(ids.select("digest", "root").join(least, "root").select("digest", "component_id"), "minhash-ids")
-    out = nodes.select("doc_id", "n_shingles", "digest").join(ids, "digest", "left")
+    out = nodes.select("doc_id", "n_shingles", "text_hash", "digest").join(ids, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = F.col("doc_id").eqNullSafe(component)
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "text_hash")
+
+
+def deduplicated(df: DataFrame, words: int = 5, threshold: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of df that near_duplicates keeps, with df's columns; of repeated rows one."""
+    kept = near_duplicates(df, words, threshold, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
+    kept = stored(kept, "minhash-kept")
+    digest, place = fresh(df, "_hash"), fresh(df, "_place")
+    rows = df.withColumn(digest, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    rows = rows.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (F.col(digest) == F.col("_kept_hash")), "left_semi")
+    first = Window.partitionBy(doc_id, digest).orderBy(F.lit(1))
+    return rows.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def sketched(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, registers) of documents, stored. Equal sets have equal digests."""
+    """(doc_id, text_hash, n_shingles, digest, registers) of documents (doc_id, text, text_hash), stored. Equal sets have equal digests."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = (shingle_set(t.as_py() or "", words) for t in batch.column(1))
             rows = [(len(s), xxhash.xxh3_128_digest(s.tobytes()), sketch(s).tobytes()) for s in sets]
             n, digests, registers = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(registers, pa.binary())], ["doc_id", "n_shingles", "digest", "registers"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(registers, pa.binary())], ["doc_id", "text_hash", "n_shingles", "digest", "registers"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return stored(docs.mapInArrow(work, f"doc_id {kind}, n_shingles long, digest binary, registers binary"), "minhash-nodes")
+    return stored(docs.mapInArrow(work, f"doc_id {kind}, text_hash long, n_shingles long, digest binary, registers binary"), "minhash-nodes")
 
 
 def candidate_links(classes: DataFrame, threshold: int) -> DataFrame:

@@ -58,7 +58,7 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), words=2, threshold=80)
+    return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), words=2, threshold=80).drop("text_hash")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
