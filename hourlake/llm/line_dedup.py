@@ -18,17 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.llm.common import fresh, stored
+from hourlake.llm.membership import SPARSE, bit_filter, merged, passing, sparse
 
 #: Jaccard index in hundredths from which lines match.
 THRESHOLD = 80
-#: Bits of a word's hash that sets hold; counters of the rarity sketch, in chunks; rows of a block.
-HASH_BITS, COUNTERS, CHUNKS, BLOCK = 48, 1 << 23, 256, 128
+#: Bits of a word's hash that sets hold; counters of the rarity sketch; rows of a block.
+HASH_BITS, COUNTERS, BLOCK = 48, 1 << 23, 128
 #: Earlier candidates of a line that the first round verifies for each shared word; a line with more that all fail gets every one in a second.
 FIRST = 3
 #: Lines and words that are taken into arrays at once.
 LINES, WORDS = 60_000, 1 << 19
-#: Bits of the filter that tells which lines a join needs.
-FILTER = 1 << 25
 
 _LOW = np.uint64((1 << HASH_BITS) - 1)
 LINE = "doc_id {id}, dh long, line int, key long, bits long, n int, words binary"
@@ -115,32 +114,6 @@ def corpus_lines(docs: DataFrame) -> DataFrame:
     return stored(docs.mapInArrow(work, LINE.format(id=kind)), "line-sets")
 
 
-def _merged(parts: DataFrame, total: int, dtype: str, add: bool) -> np.ndarray:
-    """The chunks (chunk int, at binary, value binary) of sparse arrays, joined by sum or by or, on the driver: `total` values at most."""
-    width = total // CHUNKS
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, at, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                into = held.setdefault(chunk, np.zeros(width, dtype))
-                at, value = np.frombuffer(at, np.uint32), np.frombuffer(value, dtype)
-                into[at] = into[at] + value if add else into[at] | value
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], ["chunk", "value"])
-
-    out = np.zeros(total, dtype)
-    for row in parts.repartition("chunk").mapInArrow(work, "chunk int, value binary").toLocalIterator():
-        out[row["chunk"] * width : (row["chunk"] + 1) * width] = np.frombuffer(row["value"], dtype)
-    return out
-
-
-def _sparse(values: np.ndarray) -> pa.RecordBatch:
-    width = len(values) // CHUNKS
-    rows = [(c, at.astype(np.uint32).tobytes(), part[at].tobytes()) for c, part in enumerate(values.reshape(CHUNKS, width)) if len(at := np.flatnonzero(part))]
-    chunks, places, parts = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(places, pa.binary()), pa.array(parts, pa.binary())], ["chunk", "at", "value"])
-
-
 def rarity(lines: DataFrame) -> np.ndarray:
     """For each counter, how often its words occur in lines: at least a word's own count, over the whole corpus."""
 
@@ -152,10 +125,10 @@ def rarity(lines: DataFrame) -> np.ndarray:
                 words = unpack(b"".join(column.slice(at, 20_000).to_pylist()))
                 place, n = np.unique((words & np.uint64(COUNTERS - 1)).astype(np.int64), return_counts=True)
                 counts[place] += n.astype(np.uint32)
-        yield _sparse(counts)
+        yield sparse(counts)
 
-    parts = lines.where("n > 3 and octet_length(words) > 0").select("words").mapInArrow(work, "chunk int, at binary, value binary")
-    return _merged(parts, COUNTERS, "uint32", True)
+    parts = lines.where("n > 3 and octet_length(words) > 0").select("words").mapInArrow(work, SPARSE)
+    return merged(parts, COUNTERS, "uint32", True)
 
 
 def prefix_rows(lines: DataFrame, counts) -> DataFrame:
@@ -263,29 +236,14 @@ def candidate_pairs(rows: DataFrame, first: int) -> DataFrame:
     return rows.mapInArrow(work, schema)
 
 
-def _needed(places: DataFrame) -> np.ndarray:
-    """A bit filter of the hashes of places."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER // 8, np.uint8)
-        for batch in batches:
-            at = batch.column(0).to_numpy() & (FILTER - 1)
-            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        yield _sparse(bits)
-
-    return _merged(places.select(F.xxhash64(*PLACE).alias("h")).mapInArrow(work, "chunk int, at binary, value binary"), FILTER // 8, "uint8", False)
-
-
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """The later lines (x_key, x_bits) of pairs whose full sets reach the threshold."""
     places = pairs.select(*[F.col(f"x_{c}").alias(c) for c in PLACE]).union(pairs.select(*[F.col(f"y_{c}").alias(c) for c in PLACE])).distinct()
-    bits = pairs.sparkSession.sparkContext.broadcast(_needed(places).tobytes())  # FILTER bits
+    needed = bit_filter(places.select(F.xxhash64(*PLACE)))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
-            at = batch.column("h").to_numpy() & (FILTER - 1)
-            yield batch.filter(pa.array((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)).select([*PLACE, "words"])
+            yield batch.filter(passing(needed, batch.column("h"))).select([*PLACE, "words"])
 
     kind = lines.schema["doc_id"].dataType.simpleString()
     sets = lines.where("n > 3 and octet_length(words) > 0").select(*PLACE, "words", F.xxhash64(*PLACE).alias("h"))
