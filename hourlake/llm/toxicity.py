@@ -28,8 +28,8 @@ from hourlake.llm.common import stored
 #: The bound on labelled rows that a model is fitted on: toxic documents and others, taken in the order of a hash of the id.
 TOXIC_ROWS = 1500
 OTHER_ROWS = 3000
-#: Documents of each kind on whose tokens the field is fitted.
-FIELD_ROWS = 500
+#: Documents of each kind on whose tokens the field is fitted, and steps of the fit.
+FIELD_ROWS, STEPS = 250, 40
 #: Letters of a word's beginning that are features of their own.
 STEMS = (4, 5)
 #: Least log-likelihood ratio and least ratio of rates at which a feature marks tokens; most features kept.
@@ -146,16 +146,19 @@ class Model:
 def _marking(texts: list[list[str]], toxic: np.ndarray) -> dict[str, float]:
     """Features that mark toxic tokens. Contexts (a token and its neighbours) count once, so copies of a text add nothing."""
     seen: set[int] = set()
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
-    totals = [0, 0]
-    known = Memo(features, 300_000)
-    for tokens, label in zip(texts, toxic, strict=True):
+    new: tuple[list[str], list[str]] = ([], [])
+    for tokens, label in zip(texts, toxic.tolist(), strict=True):
         for before, token, after in zip(["", *tokens], tokens, [*tokens[1:], ""], strict=False):
-            context = xxhash.xxh64_intdigest(f"{before}\0{token}\0{after}\0{label}")
+            context = hash((before, token, after, label))
             if context not in seen:
                 seen.add(context)
-                totals[label] += 1
-                counts[label].update(known[token])
+                new[label].append(token)
+    totals = [len(n) for n in new]
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    for into, found in zip(counts, new, strict=True):
+        for token, n in Counter(found).items():
+            for feature in features(token):
+                into[feature] += n
     out = {}
     for feature, k1 in counts[1].items():
         k0, n1, n0 = counts[0][feature], totals[1], max(totals[0], 1)
@@ -189,7 +192,7 @@ def _fit_field(texts: list[list[str]], toxic: np.ndarray, marking: dict[str, flo
     for i in (0, 1):
         for j in (0, 1):
             pairs[i, j] = ((labels[:-1] == i) & (labels[1:] == j) & steps_on).sum()
-    for step in range(1, 81):
+    for step in range(1, STEPS + 1):
         emit = np.bincount(at, w[which], n) + bias
         forward, back = forward_backward(emit, first, np.exp([0.0, start]), np.exp(move))
         both = forward * back
@@ -208,7 +211,7 @@ def _fit_field(texts: list[list[str]], toxic: np.ndarray, marking: dict[str, flo
         for k, g in enumerate(slopes):
             held[k] = 0.8 * held[k] + 0.2 * g
             held[k + 4] = 0.9 * held[k + 4] + 0.1 * g * g
-            moves.append(0.25 / (1 + step / 40) * held[k] / (np.sqrt(held[k + 4]) + 1e-3))
+            moves.append(0.4 / (1 + 2 * step / STEPS) * held[k] / (np.sqrt(held[k + 4]) + 1e-3))
         w, bias, start, move = w + moves[0], bias + moves[1][0], start + moves[2][0], np.clip(move + moves[3], -3, 3)
     return {f: float(x) for f, x in zip(names, w, strict=True) if x}, float(bias), float(start), move
 
@@ -234,7 +237,8 @@ def fit(texts: list[str], toxic: list[int]) -> Model:
     chosen = [k for label in (1, 0) for k in np.flatnonzero(labels == label)[:FIELD_ROWS]]
     field = _fit_field([tokens[k] for k in chosen], labels[chosen], marking)
     model = Model(*field, np.zeros(3))
-    rows = np.concatenate([model.evidence([t], model.marginals([t]) if t else np.empty(0)) for t in tokens])
+    parts = [tokens[k : k + 200] for k in range(0, len(tokens), 200)]
+    rows = np.concatenate([model.evidence(part, model.marginals(part) if any(part) else np.empty(0)) for part in parts])
     return Model(*field, _fit_logistic(rows, labels))
 
 
