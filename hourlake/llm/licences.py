@@ -131,7 +131,7 @@ def has_any(text: Column, words: tuple[str, ...]) -> Column:
 
 
 def _sentences(lowered: Column, ends: str) -> Column:
-    cut = F.split(F.regexp_replace(lowered, ends, "\n"), "\n")
+    cut = F.split(F.regexp_replace(lowered, ends, "\x01"), "\x01")
     return F.filter(F.transform(cut, lambda s: F.trim(F.regexp_replace(s, GAP, " "))), lambda s: s != "")
 
 

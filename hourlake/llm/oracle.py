@@ -62,7 +62,7 @@ from grouped
 
 def _op9() -> str:
     def sentences(ends: str) -> str:
-        cut = f"string_split(regexp_replace(t, '{ends}', chr(10), 'g'), chr(10))"
+        cut = f"string_split(regexp_replace(t, '{ends}', chr(1), 'g'), chr(1))"
         return f"list_filter(list_transform({cut}, lambda s: trim(regexp_replace(s, '{licences.GAP}', ' ', 'g'))), lambda s: s <> '')"
 
     known = "map {" + ", ".join(f"{_quoted(s)}: {_quoted(i)}" for i, s in licences.SENTENCES.items()) + "}"
