@@ -57,6 +57,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def result(df: DataFrame, name: str, since: int) -> DataFrame:
+    """stored(df), after which the tables that were made from `since` (see mark) on are removed: only for a df that needs no other."""
+    made = _tables[since:]
+    out = stored(df, name)
+    for spark, path in made:
+        drop_path(spark, path)
+    _tables[since : since + len(made)] = []
+    return out
+
+
+def mark() -> int:
+    """How many tables of the shared folder there are so far."""
+    return len(_tables)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df has not, so that added columns never clash."""
     taken = {c.lower() for c in df.columns}

@@ -4,7 +4,7 @@ A line is the set of its words. Words are ordered by rarity over the whole corpu
 Jaccard index reaches the threshold share a word among the rarest few of each (prefix filter). Lines that
 share one are compared by length, by the position of the word and by a 64-bit parity map of the set, whose
 differing bits bound the symmetric difference; what is left is verified on the full sets. A line goes
-if an earlier line, in the order of (doc_id, text hash, line number), equals or matches it.
+if an earlier line, in the order of (doc_id, line number, hash), equals or matches it.
 """
 
 from __future__ import annotations
@@ -13,50 +13,66 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import fresh, stored
+from hourlake.llm.common import fresh, mark, result, stored
 from hourlake.llm.membership import SPARSE, bit_filter, merged, passing, sparse
+from hourlake.llm.words import BUFFER, buffer_words, mixed, word_hashes
 
 #: Jaccard index in hundredths from which lines match.
 THRESHOLD = 80
 #: Bits of a word's hash that sets hold; counters of the rarity sketch; rows of a block.
-HASH_BITS, COUNTERS, BLOCK = 48, 1 << 23, 128
+HASH_BITS, COUNTERS, BLOCK = 48, 1 << 23, 1024
 #: Earlier candidates of a line that the first round verifies for each shared word; a line with more that all fail gets every one in a second.
 FIRST = 3
-#: Lines and words that are taken into arrays at once.
-LINES, WORDS = 60_000, 1 << 19
+#: Lines that are taken into arrays at once.
+LINES = 60_000
 
 _LOW = np.uint64((1 << HASH_BITS) - 1)
 LINE = "doc_id {id}, dh long, line int, key long, bits long, n int, words binary"
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
-def line_sets(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For at most 65,536 lines: all sorted set words in a row, each line's number of words, key, and parity bits."""
-    split = [line.split() for line in lines]
-    lengths = np.fromiter(map(len, split), np.int64, len(split))
-    hashes = np.fromiter((h for words in split for h in map(xxhash.xxh3_64_intdigest, words)), np.uint64, int(lengths.sum()))
-    owner = np.repeat(np.arange(len(lines), dtype=np.uint64), lengths)
+def line_sets(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For lines of a buffer, at most 65,536: all sorted set words in a row, each line's number of words, key, and parity bits."""
+    if len(data) <= BUFFER // 2 or b"\n" in data:
+        hashes, starts = buffer_words(data)
+        breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+    else:  # one very long line
+        hashes, breaks = word_hashes(data), np.empty(0, np.int64)
+        starts = np.zeros(len(hashes), np.int64)
+    owner = np.searchsorted(breaks, starts).astype(np.uint64)
     both = np.unique(owner << np.uint64(HASH_BITS) | (hashes & _LOW))
     words, owner = both & _LOW, (both >> np.uint64(HASH_BITS)).astype(np.int64)
-    sizes = np.bincount(owner, minlength=len(lines))
-    keys, bits = np.zeros(len(lines), np.uint64), np.zeros(len(lines), np.uint64)
+    sizes = np.bincount(owner, minlength=len(breaks) + 1)
+    keys, bits = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
     some = np.flatnonzero(sizes)
     if len(some):
         starts = (np.cumsum(sizes) - sizes)[some]
-        keys[some] = _mixed(np.add.reduceat(_mixed(words), starts) + sizes[some].astype(np.uint64))
+        keys[some] = mixed(np.add.reduceat(mixed(words), starts) + sizes[some].astype(np.uint64))
         bits[some] = np.bitwise_xor.reduceat(np.uint64(1) << (words >> np.uint64(HASH_BITS - 6)), starts)
     return words, sizes, keys, bits
 
 
+def line_buffers(texts: Iterator[tuple[int, bytes]]) -> Iterator[tuple[bytes, list[tuple[int, int, int]]]]:
+    """Texts cut into buffers of whole lines, with what lines they hold: (text, first line, lines). A line too long for a buffer has one of its own."""
+    held, parts, size, count = [], [], 0, 0
+    for k, text in texts:
+        n = text.count(b"\n") + 1
+        small = len(text) < BUFFER // 2 and n < LINES
+        pieces = [(0, n, text)] if small else [(i, 1, line) for i, line in enumerate(text.split(b"\n"))]
+        for first, lines, piece in pieces:
+            if held and (size + len(piece) + 1 > BUFFER // 2 or count + lines > LINES):
+                yield b"\n".join(held), parts
+                held, parts, size, count = [], [], 0, 0
+            held.append(piece)
+            parts.append((k, first, lines))
+            size += len(piece) + 1
+            count += lines
+    if held:
+        yield b"\n".join(held), parts
+
+
 def pack(words: np.ndarray) -> np.ndarray:
     """Bytes of hashes, HASH_BITS each."""
     return np.ascontiguousarray(words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : HASH_BITS // 8]).reshape(-1)
@@ -70,46 +86,36 @@ def unpack(data: bytes | memoryview) -> np.ndarray:
 
 
 def corpus_lines(docs: DataFrame) -> DataFrame:
-    """A stored row of LINE for each line with words. words is empty where the task has met an equal line before."""
+    """A stored row of LINE for each line with words. words is empty where the task has met an equal, earlier line before."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-
-        def made(ids: list, dhs: list, numbers: list, lines: list[bytes]) -> pa.RecordBatch:
-            words, sizes, keys, bits = line_sets(lines)
-            new = np.zeros(len(lines), bool)
-            for k, pair in enumerate(zip(keys.tolist(), bits.tolist(), strict=True)):
-                if pair not in seen:
-                    seen.add(pair)
-                    new[k] = True
-            if len(seen) > 500_000:
-                seen.clear()
-            data = pack(words[np.repeat(new, sizes)])
-            keep = sizes > 0
-            ends = np.cumsum(np.where(new, sizes, 0)[keep]) * (HASH_BITS // 8)
-            offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes())
-            binary = pa.Array.from_buffers(pa.binary(), int(keep.sum()), [None, offsets, pa.py_buffer(data.tobytes())])
-            at = np.flatnonzero(keep).tolist()
-            columns = [pa.array([ids[k] for k in at], id_type), pa.array([dhs[k] for k in at], pa.int64()), pa.array([numbers[k] for k in at], pa.int32())]
-            columns += [pa.array(keys[keep].view(np.int64)), pa.array(bits[keep].view(np.int64)), pa.array(sizes[keep].astype(np.int32)), binary]
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "dh", "line", "key", "bits", "n", "words"])
-
+        seen: dict[int, tuple] = {}
         for batch in batches:
-            id_type = batch.schema.types[0]
-            ids, dhs, numbers, lines, size = [], [], [], [], 0
-            for doc_id, dh, text in zip(*batch.columns, strict=True):
-                for number, line in enumerate((text.as_py() or "").encode("utf-8").lower().split(b"\n")):
-                    ids.append(doc_id.as_py())
-                    dhs.append(dh.as_py())
-                    numbers.append(number)
-                    lines.append(line)
-                    size += len(line)
-                    if len(lines) >= LINES or size >= 8 * WORDS:
-                        yield made(ids, dhs, numbers, lines)
-                        ids, dhs, numbers, lines, size = [], [], [], [], 0
-            if lines:
-                yield made(ids, dhs, numbers, lines)
+            ids = batch.column(0).to_pylist()
+            order = [(i is not None, 0 if i is None else i) for i in ids]
+            texts = ((k, (t.as_py() or "").encode("utf-8").lower()) for k, t in enumerate(batch.column(2)))
+            for data, parts in line_buffers(texts):
+                words, sizes, keys, bits = line_sets(data)
+                of = np.repeat([k for k, _, _ in parts], [n for _, _, n in parts])
+                numbers = np.concatenate([np.arange(first, first + n) for _, first, n in parts])
+                keep = np.flatnonzero(sizes)
+                new = np.zeros(len(keep), bool)
+                for at, (k, number, key) in enumerate(zip(of[keep].tolist(), numbers[keep].tolist(), keys[keep].tolist(), strict=True)):
+                    place = (*order[k], number)
+                    if (before := seen.get(key)) is None or place < before:
+                        seen[key] = place
+                        new[at] = True
+                if len(seen) > 400_000:
+                    seen.clear()
+                some = np.zeros(len(sizes), bool)
+                some[keep] = new
+                ends = np.cumsum(np.where(new, sizes[keep], 0)) * (HASH_BITS // 8)
+                offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes())
+                binary = pa.Array.from_buffers(pa.binary(), len(keep), [None, offsets, pa.py_buffer(pack(words[np.repeat(some, sizes)]).tobytes())])
+                rows = pa.array(of[keep])
+                columns = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(numbers[keep].astype(np.int32)), pa.array(keys[keep].view(np.int64)), pa.array(bits[keep].view(np.int64)), pa.array(sizes[keep].astype(np.int32)), binary]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "dh", "line", "key", "bits", "n", "words"])
 
     return stored(docs.mapInArrow(work, LINE.format(id=kind)), "line-sets")
 
@@ -131,137 +137,136 @@ def rarity(lines: DataFrame) -> np.ndarray:
     return merged(parts, COUNTERS, "uint32", True)
 
 
+COLUMNS = ["part", "doc_id", "line", "key", "bits", "shape"]
+
+
 def prefix_rows(lines: DataFrame, counts) -> DataFrame:
-    """(word, i, j, block, key, bits, n, pos, doc_id, dh, line) for the rarest words of each line, in blocks where a word may be frequent.
+    """(part, doc_id, line, key, bits, shape) for the rarest words of each line.
 
-    Left out are words that occur in one line alone, and lines so short that only equal ones match.
+    part is a hash of the word and, where a word may be in more than BLOCK lines, of a pair of blocks; shape packs the line's
+    number of words, the word's place, and which block of the pair the line is in. Left out are words that occur in one line
+    alone, and lines so short that only equal ones match.
     """
     kind = lines.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.frombuffer(counts.value, np.uint32)
         for whole in batches:
-            for at in range(0, whole.num_rows, 10_000):
-                batch = whole.slice(at, 10_000)
+            for at in range(0, whole.num_rows, 5000):
+                batch = whole.slice(at, 5000)
                 sizes = batch.column("n").to_numpy().astype(np.int64)
                 words = unpack(b"".join(batch.column("words").to_pylist()))
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 count = often[(words & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
-                order = np.lexsort((words, count, owner))
+                # By line, then by count, then by hash: stable sorts from the last of these to the first.
+                order = np.argsort(count, kind="stable")  # words of a line are sorted by hash already
+                order = order[np.argsort(owner[order], kind="stable")]
                 words, count = words[order], count[order].astype(np.int64)
                 place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 length = sizes - -(-THRESHOLD * sizes // 100) + 1
                 keep = np.flatnonzero((place < length[owner]) & (count > 1))
                 blocks = -(-count[keep] // BLOCK)
-                block = (_mixed(batch.column("key").to_numpy().astype(np.uint64)[owner[keep]]) % blocks.astype(np.uint64)).astype(np.int64)
+                block = (mixed(batch.column("key").to_numpy().astype(np.uint64)[owner[keep]]) % blocks.astype(np.uint64)).astype(np.int64)
                 copy = np.repeat(np.arange(len(keep)), blocks)
                 other = np.arange(len(copy)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
                 mine, keep = block[copy], keep[copy]
+                low, high = np.minimum(mine, other), np.maximum(mine, other)
+                part = mixed(words[keep] ^ (low << 24 | high).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+                side = np.where(low == high, 0, np.where(mine == low, 1, 2))
+                shape = sizes[owner[keep]] << 32 | place[keep] << 2 | side
                 of = pa.array(owner[keep])
-                columns = [pa.array(words[keep].view(np.int64)), pa.array(np.minimum(mine, other).astype(np.int32)), pa.array(np.maximum(mine, other).astype(np.int32)), pa.array(mine.astype(np.int32))]
-                columns += [batch.column(c).take(of) for c in ("key", "bits", "n")] + [pa.array(place[keep].astype(np.int32))] + [batch.column(c).take(of) for c in ("doc_id", "dh", "line")]
-                yield pa.RecordBatch.from_arrays(columns, NAMES)
-
-    rows = lines.where("n > 3 and octet_length(words) > 0").mapInArrow(work, f"word long, i int, j int, block int, key long, bits long, n int, pos int, doc_id {kind}, dh long, line int")
-    return rows
+                columns = [pa.array((part >> np.uint64(32)).astype(np.uint32).view(np.int32))] + [batch.column(c).take(of) for c in COLUMNS[1:-1]] + [pa.array(shape)]
+                yield pa.RecordBatch.from_arrays(columns, COLUMNS)
+
+    return lines.where("n > 3 and octet_length(words) > 0").mapInArrow(work, f"part int, doc_id {kind}, line int, key long, bits long, shape long")
+
+
+def pairs_of(part: np.ndarray, key: np.ndarray, bits: np.ndarray, shape: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (x, y) of pairs that pass the filters, x later than y, in rows sorted by part and by the order of lines; and which x have left out some."""
+    bits, n, pos, side = bits.view(np.uint64), shape >> 32, (shape & 0xFFFFFFFF) >> 2, shape & 3
+    group = np.cumsum(np.concatenate([[True], part[1:] != part[:-1]]))
+    # Of equal lines of a group only the first stays.
+    order = np.lexsort((bits, key, group))
+    same = (group[order][1:] == group[order][:-1]) & (key[order][1:] == key[order][:-1]) & (bits[order][1:] == bits[order][:-1])
+    at = np.sort(order[np.concatenate([[True], ~same])])
+    group, n, pos, side, bits = (v[at] for v in (group, n, pos, side, bits))
+    xs, ys, step, left = [], [], 1, np.arange(len(at))
+    while len(left := left[left + step < len(at)]) and len(left := left[group[left + step] == group[left]]):
+        y, x = left, left + step
+        small, large, total = np.minimum(n[x], n[y]), np.maximum(n[x], n[y]), n[x] + n[y]
+        need = -(-THRESHOLD * total // (100 + THRESHOLD))
+        ok = (100 * small >= THRESHOLD * large) & (np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need) & ((side[x] == 0) | (side[x] != side[y]))
+        ok[ok] = np.bitwise_count(bits[x[ok]] ^ bits[y[ok]]) <= (total - 2 * need)[ok]
+        xs.append(x[ok])
+        ys.append(y[ok])
+        step += 1
+    x, y = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (xs, ys))
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    more = np.zeros(len(x), bool)
+    if first and len(x):
+        rank = np.arange(len(x)) - np.searchsorted(x, x)
+        more = np.isin(x, x[rank >= first])
+        x, y, more = x[rank < first], y[rank < first], more[rank < first]
+    return at[x], at[y], more
 
 
-NAMES = ["word", "i", "j", "block", "key", "bits", "n", "pos", "doc_id", "dh", "line"]
-PLACE = ("doc_id", "dh", "line")
+PAIR = "x_key long, x_bits long, y_key long, y_bits long, more boolean"
 
 
 def candidate_pairs(rows: DataFrame, first: int) -> DataFrame:
-    """Pairs of a later line (x_...) and an earlier one (y_...) that pass the filters, with `more` where a later line has left out some.
+    """Pairs of a later line (x_key, x_bits) and an earlier one (y_key, y_bits) that pass the filters, with `more` where a later line has left out some.
 
     For each word only the `first` earliest candidates of a later line are given; 0: all.
     """
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    rows = rows.repartition("word", "i", "j").sortWithinPartitions("word", "i", "j", *PLACE)
-    schema = ", ".join(f"{s}_doc_id {kind}, {s}_dh long, {s}_line int, {s}_key long, {s}_bits long" for s in "xy") + ", more boolean"
-
-    def pairs(table: pa.Table) -> pa.RecordBatch | None:
-        col = {c: table.column(c).combine_chunks() for c in table.column_names}
-        word, i, j, block, key, bits, n, pos = (col[c].to_numpy(zero_copy_only=False) for c in NAMES[:8])
-        bits = bits.view(np.uint64)
-        group = np.cumsum(np.concatenate([[True], (word[1:] != word[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-        # Rows are in the order of places: of equal lines of a group only the first stays.
-        _, at = np.unique(np.rec.fromarrays([group, key, bits]), return_index=True)
-        at.sort()
-        group, n, pos, block, i, j, bits, key = (v[at] for v in (group, n.astype(np.int64), pos.astype(np.int64), block, i, j, bits, key))
-        xs, ys, step, left = [], [], 1, np.arange(len(at))
-        while len(left := left[left + step < len(at)]) and len(left := left[group[left + step] == group[left]]):
-            y, x = left, left + step
-            small, large, total = np.minimum(n[x], n[y]), np.maximum(n[x], n[y]), n[x] + n[y]
-            need = -(-THRESHOLD * total // (100 + THRESHOLD))
-            ok = (100 * small >= THRESHOLD * large) & (1 + np.minimum(n[x] - pos[x], n[y] - pos[y]) - 1 >= need) & ((i[x] == j[x]) | (block[x] != block[y]))
-            ok[ok] = np.bitwise_count(bits[x[ok]] ^ bits[y[ok]]) <= (total - 2 * need)[ok]
-            xs.append(x[ok])
-            ys.append(y[ok])
-            step += 1
-        if not xs or not sum(map(len, xs)):
-            return None
-        x, y = np.concatenate(xs), np.concatenate(ys)
-        order = np.lexsort((y, x))
-        x, y = x[order], y[order]
-        rank = np.arange(len(x)) - np.searchsorted(x, x)
-        more = np.zeros(len(x), bool)
-        if first:
-            more = np.isin(x, x[rank >= first])
-            x, y, more = x[rank < first], y[rank < first], more[rank < first]
-        columns = [col[c].take(pa.array(at[v])) for v in (x, y) for c in ("doc_id", "dh", "line", "key", "bits")]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(more)], [f"{s}_{c}" for s in "xy" for c in ("doc_id", "dh", "line", "key", "bits")] + ["more"])
+    rows = rows.repartition("part").sortWithinPartitions("part", "doc_id", "line", "key", "bits").select("part", "key", "bits", "shape")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
-        def last_start(batch: pa.RecordBatch) -> int:
-            keys = [batch.column(k).to_numpy() for k in range(3)]
-            other = np.flatnonzero((keys[0] != keys[0][-1]) | (keys[1] != keys[1][-1]) | (keys[2] != keys[2][-1]))
-            return int(other[-1]) + 1 if len(other) else 0
+        def done(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+            if parts and sum(len(p[0]) for p in parts) > 1:
+                part, key, bits, shape = (np.concatenate(c) for c in zip(*parts, strict=True))
+                x, y, more = pairs_of(part, key, bits, shape, first)
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key[x], bits[x], key[y], bits[y], more)], ["x_key", "x_bits", "y_key", "y_bits", "more"])
 
         for batch in batches:
-            if not batch.num_rows:
+            columns = tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            part = columns[0]
+            if not len(part):
                 continue
-            same = held and all(held[-1].column(k)[-1].as_py() == batch.column(k)[0].as_py() for k in range(3))
-            cut = last_start(batch)
-            if cut or not same:
-                done = [*held, batch.slice(0, cut)] if cut or held else []
-                if done and sum(b.num_rows for b in done) and (out := pairs(pa.Table.from_batches(done))) is not None:
-                    yield out
+            other = np.flatnonzero(part != part[-1])
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut or held and held[-1][0][-1] != part[0]:  # a group has ended
+                yield from done([*held, tuple(c[:cut] for c in columns)])
                 held = []
-            held.append(batch.slice(cut))
-        if held and (out := pairs(pa.Table.from_batches(held))) is not None:
-            yield out
+            held.append(tuple(c[cut:] for c in columns))
+        yield from done(held)
 
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(work, PAIR)
 
 
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """The later lines (x_key, x_bits) of pairs whose full sets reach the threshold."""
-    places = pairs.select(*[F.col(f"x_{c}").alias(c) for c in PLACE]).union(pairs.select(*[F.col(f"y_{c}").alias(c) for c in PLACE])).distinct()
-    needed = bit_filter(places.select(F.xxhash64(*PLACE)))
+    sides = [pairs.select(F.col(f"{s}_key").alias("key"), F.col(f"{s}_bits").alias("bits")) for s in "xy"]
+    needed = bit_filter(sides[0].union(sides[1]).select(F.xxhash64("key", "bits")))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(passing(needed, batch.column("h"))).select([*PLACE, "words"])
+            yield batch.filter(passing(needed, batch.column("h"))).select(["key", "bits", "words"])
 
-    kind = lines.schema["doc_id"].dataType.simpleString()
-    sets = lines.where("n > 3 and octet_length(words) > 0").select(*PLACE, "words", F.xxhash64(*PLACE).alias("h"))
-    sets = stored(sets.mapInArrow(some, f"doc_id {kind}, dh long, line int, words binary"), "line-needed")
+    sets = lines.where("n > 3 and octet_length(words) > 0").select("key", "bits", "words", F.xxhash64("key", "bits").alias("h"))
+    sets = stored(sets.mapInArrow(some, "key long, bits long, words binary").groupBy("key", "bits").agg(F.first("words").alias("words")), "line-needed")
     for side in "xy":
-        named = sets.select(*[F.col(c).alias(f"{side}_{c}") for c in PLACE], F.col("words").alias(f"{side}_words")).dropDuplicates([f"{side}_{c}" for c in PLACE])
-        named = stored(named, f"line-{side}")
-        on = None
-        for c in PLACE:
-            part = pairs[f"{side}_{c}"].eqNullSafe(named[f"{side}_{c}"])
-            on = part if on is None else on & part
-        pairs = pairs.join(named, on).select(*[pairs[c] for c in pairs.columns], f"{side}_words")
+        named = sets.select(F.col("key").alias(f"{side}_key"), F.col("bits").alias(f"{side}_bits"), F.col("words").alias(f"{side}_words"))
+        pairs = pairs.join(named, [f"{side}_key", f"{side}_bits"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for k, (x, y) in enumerate(zip(batch.column("x_words").to_pylist(), batch.column("y_words").to_pylist(), strict=True)):
-                a, b = unpack(x), unpack(y)
+            for k, (x, y) in enumerate(zip(batch.column("x_words"), batch.column("y_words"), strict=True)):
+                a, b = unpack(x.as_py()), unpack(y.as_py())
                 shared = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
                 if 100 * shared >= THRESHOLD * (len(a) + len(b) - shared):
                     keep.append(k)
@@ -275,14 +280,12 @@ def matched(lines: DataFrame) -> DataFrame:
     counts = lines.sparkSession.sparkContext.broadcast(rarity(lines).tobytes())  # COUNTERS of 4 bytes
     rows = prefix_rows(lines, counts)
     pairs = stored(candidate_pairs(rows, FIRST), "line-pairs")
-    merged = pairs.groupBy(*[c for c in pairs.columns if c != "more"]).agg(F.max("more").alias("more"))
-    found = stored(verified(merged.drop("more"), lines), "line-found")
+    found = stored(verified(pairs.drop("more").distinct(), lines), "line-found")
     unsure = pairs.where("more").select("x_key", "x_bits").distinct().join(found, ["x_key", "x_bits"], "left_anti")
     unsure = stored(unsure, "line-unsure")
     if not unsure.isEmpty():  # lines whose first candidates all failed: every candidate of theirs
         rest = candidate_pairs(rows, 0).drop("more").join(unsure, ["x_key", "x_bits"], "left_semi")
-        rest = stored(rest.select(*[c for c in pairs.columns if c != "more"]).distinct(), "line-rest")
-        found = stored(found.union(verified(rest, lines)).distinct(), "line-found")
+        found = stored(found.union(verified(stored(rest.distinct(), "line-rest"), lines)).distinct(), "line-found")
     return found.select(F.col("x_key").alias("key"), F.col("x_bits").alias("bits"))
 
 
@@ -295,8 +298,8 @@ def decisions(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """
     docs = df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("dh"), F.col(text).alias("text"))
     lines = corpus_lines(docs)
-    place = F.struct(*PLACE)
-    slim = lines.select(*PLACE, "key", "bits")
+    place = F.struct("doc_id", "line", "dh")
+    slim = lines.select("doc_id", "dh", "line", "key", "bits")
     firsts = stored(slim.groupBy("key", "bits").agg(F.min(place).alias("first")), "line-firsts")
     gone = matched(lines).withColumn("gone", F.lit(True))
     firsts = stored(firsts.join(gone, ["key", "bits"], "left").select("key", "bits", "first", F.coalesce("gone", F.lit(False)).alias("gone")), "line-fates")
@@ -308,6 +311,12 @@ def decisions(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
 
 
+def judged_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """decisions, stored; the tables that led to them are removed."""
+    since = mark()
+    return result(decisions(df, doc_id, text), "line-decisions", since)
+
+
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str | None = None) -> DataFrame:
     """df with the lines that `decisions` removes cut out of `text`, all other columns as they are.
 
@@ -315,8 +324,8 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", remov
     left out, unless `removed` is given; one that had none stays.
     """
     dh, n, gone = (fresh(df, c) for c in ("_dh", "_lines", "_removed"))
-    judged = decisions(df, doc_id, text)
-    judged = stored(judged.select(F.col("doc_id").alias(f"{dh}_id"), F.col("dh").alias(f"{dh}_hash"), F.col("n_lines").alias(n), F.col("removed").alias(gone)), "line-decisions")
+    judged = judged_documents(df, doc_id, text)
+    judged = judged.select(F.col("doc_id").alias(f"{dh}_id"), F.col("dh").alias(f"{dh}_hash"), F.col("n_lines").alias(n), F.col("removed").alias(gone))
     rows = df.withColumn(dh, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     rows = rows.join(judged, F.col(doc_id).eqNullSafe(F.col(f"{dh}_id")) & (F.col(dh) == F.col(f"{dh}_hash")), "left")
     lines = F.split(F.col(text), "\n", -1)

@@ -68,7 +68,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    judged = stored(line_dedup.decisions(docs), "line-decisions")
+    judged = line_dedup.judged_documents(docs)
     rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("dh"))
     joined = rows.join(judged, rows["doc_id"].eqNullSafe(judged["doc_id"]) & (rows["dh"] == judged["dh"]), "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
