@@ -16,8 +16,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import fresh, stored
+from hourlake.llm.common import fresh, mark, result, stored
 from hourlake.llm.graph import components
+from hourlake.llm.membership import bit_filter, passing
+from hourlake.llm.words import word_hashes
 
 #: Registers of a sketch, registers of a band, and mantissa bits of a register.
 REGISTERS = 128
@@ -27,16 +29,15 @@ EMPTY = 0xFFFF
 #: Standard deviations of the estimate below the threshold down to which candidates go on to the full sets.
 DEVIATIONS = 4.0
 #: Rows of a block: groups are compared block by block, in tasks of two blocks each.
-BLOCK = 140
+BLOCK = 512
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of `words` words; with fewer words, of the whole sequence."""
-    tokens = text.encode("utf-8").lower().split()  # of bytes: ASCII letters and ASCII white space only
-    n = len(tokens)
+    hashes = word_hashes(text.encode("utf-8").lower())  # of bytes: ASCII letters and ASCII white space only
+    n = len(hashes)
     if not n:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, n)
     span = min(words, n)
     out = np.full(n - span + 1, span, np.uint64)
     for k in range(span):
@@ -152,8 +153,9 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: int = 80, doc_id:
 
 def deduplicated(df: DataFrame, words: int = 5, threshold: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of df that near_duplicates keeps, with df's columns; of repeated rows one."""
+    since = mark()
     kept = near_duplicates(df, words, threshold, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
-    kept = stored(kept, "minhash-kept")
+    kept = result(kept, "minhash-kept", since)
     digest, place = fresh(df, "_hash"), fresh(df, "_place")
     rows = df.withColumn(digest, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     rows = rows.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (F.col(digest) == F.col("_kept_hash")), "left_semi")
@@ -213,15 +215,17 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, families: DataFrame, wo
     sizes = stored(families.groupBy("root").agg(F.count("*").alias("n")), "minhash-sizes")
     members = families.join(sizes, "root").join(classes, families["node"] == classes["digest"]).select("digest", "least_id", "root", "n")
     members = stored(members, "minhash-members")
-    texts = docs.join(members.select(F.col("least_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    needed = bit_filter(members.select(F.xxhash64("least_id")))
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(passing(needed, batch.column(1)))
             for at in range(0, batch.num_rows, 512):
                 sets = [shingle_set(t.as_py() or "", words).tobytes() for t in batch.column(0).slice(at, 512)]
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["digest", "hashes"])
 
-    sets = stored(texts.select("text").mapInArrow(to_sets, "digest binary, hashes binary"), "minhash-sets")
+    sets = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(to_sets, "digest binary, hashes binary")
+    sets = stored(sets.join(members.select("digest"), "digest", "left_semi"), "minhash-sets")
     rows = _in_blocks(members.select("digest", "root", "n"), "root", "n", "digest")
     rows = rows.join(sets, "digest").select("root", "i", "j", "block", "digest", "hashes")
     rows = rows.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
