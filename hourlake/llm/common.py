@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -67,6 +68,12 @@ def result(df: DataFrame, name: str, since: int) -> DataFrame:
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let executors drop the shuffle files of plans that nothing holds any more, now and not when the driver next collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def mark() -> int:
     """How many tables of the shared folder there are so far."""
     return len(_tables)

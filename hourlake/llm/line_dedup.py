@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import fresh, mark, result, stored
+from hourlake.llm.common import fresh, mark, release, result, stored
 from hourlake.llm.membership import SPARSE, bit_filter, merged, passing, sparse
 from hourlake.llm.words import BUFFER, buffer_words, mixed, word_hashes
 
@@ -278,8 +278,10 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 def matched(lines: DataFrame) -> DataFrame:
     """(key, bits) of the distinct lines that an earlier, different line matches."""
     counts = lines.sparkSession.sparkContext.broadcast(rarity(lines).tobytes())  # COUNTERS of 4 bytes
+    release(lines.sparkSession)
     rows = prefix_rows(lines, counts)
     pairs = stored(candidate_pairs(rows, FIRST), "line-pairs")
+    release(lines.sparkSession)
     found = stored(verified(pairs.drop("more").distinct(), lines), "line-found")
     unsure = pairs.where("more").select("x_key", "x_bits").distinct().join(found, ["x_key", "x_bits"], "left_anti")
     unsure = stored(unsure, "line-unsure")
@@ -314,7 +316,9 @@ def decisions(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 def judged_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """decisions, stored; the tables that led to them are removed."""
     since = mark()
-    return result(decisions(df, doc_id, text), "line-decisions", since)
+    out = result(decisions(df, doc_id, text), "line-decisions", since)
+    release(df.sparkSession)
+    return out
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import fresh, mark, result, stored
+from hourlake.llm.common import fresh, mark, release, result, stored
 from hourlake.llm.graph import components
 from hourlake.llm.membership import bit_filter, passing
 from hourlake.llm.words import word_hashes
@@ -139,6 +139,7 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: int = 80, doc_id:
     classes = stored(classes, "minhash-classes")
     candidates = candidate_links(classes.select("digest", "registers"), threshold)
     families = stored(_with_roots(components(candidates, "minhash-families")), "minhash-family")
+    release(df.sparkSession)
     links = confirmed_links(docs.select("doc_id", "text"), classes.select("digest", "least_id"), families, words, threshold)
     joined = stored(_with_roots(components(links, "minhash-components")), "minhash-roots")
     ids = classes.select("digest", "least_id").join(joined.withColumnRenamed("node", "digest"), "digest", "left")
@@ -156,6 +157,7 @@ def deduplicated(df: DataFrame, words: int = 5, threshold: int = 80, doc_id: str
     since = mark()
     kept = near_duplicates(df, words, threshold, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
     kept = result(kept, "minhash-kept", since)
+    release(df.sparkSession)
     digest, place = fresh(df, "_hash"), fresh(df, "_place")
     rows = df.withColumn(digest, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     rows = rows.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (F.col(digest) == F.col("_kept_hash")), "left_semi")
