@@ -4,6 +4,7 @@ Vectors of length 1 are projected to a few dimensions by a Gaussian (2-stable) m
 projected distance over that of the true one is chi-square distributed. Each part of the rows has a kd-tree
 of its projections. A query takes leaves in the order of their projected distance, verifies their vectors, and
 stops once a vector nearer than its current k-th would, by the chi-square test, have been met already.
+Of equal vectors only as many as an answer can hold are indexed, those with the least ids.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from hourlake.llm.vectors import matrix, unit, valid
 
 #: Projected dimensions (even), the share of vectors as near as the k-th that must have been met, rows of a leaf.
 PROJECTED, CONFIDENCE, LEAF = 8, 0.985, 64
+#: What rounding may add to the square of a projected distance: leaves as near as this to the bound are still opened.
+ROUNDING = 1e-9
 #: Parts of the index at least, rows of a part at most, and queries that a task answers at most.
 LEAST_PARTS, PART_ROWS, QUERY_ROWS = 12, 20_000, 2000
 
@@ -94,11 +97,11 @@ def search(tree: KdTree, rows: np.ndarray, ids: np.ndarray, query: np.ndarray, p
     """The k nearest verified rows as (cosine, place), stopping by the chi-square test with quantile `limit`."""
     best_cos, best_at = np.empty(0), np.empty(0, np.int64)
     for bound, at in tree.leaves(point):
-        if len(best_cos) >= k and bound >= limit * max(2 - 2 * best_cos[-1], 0):
+        if len(best_cos) >= k and bound > limit * max(2 - 2 * best_cos[-1], 0) + ROUNDING:
             break
         if own is not None:
             at = at[ids[at] != own]
-        cos = rows[at] @ query
+        cos = (rows[at] * query).sum(1)  # unlike a matrix product the same for equal rows, wherever they stand
         if len(best_cos) >= k:
             near = cos >= best_cos[-1]
             cos, at = cos[near], at[near]
@@ -112,8 +115,9 @@ def search(tree: KdTree, rows: np.ndarray, ids: np.ndarray, query: np.ndarray, p
 def nearest(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found for each row that is_query selects, by cosine, nearest first.
 
-    Every row is indexed, in parts dealt by a hash; every part answers all queries, in blocks; a query's
-    answers are merged, ties to the smaller id. A query's own id is no answer to it.
+    Every vector is indexed, in parts dealt by a hash, with the k + 1 least ids of its copies (one may be the query's own);
+    every part answers all queries, in blocks; a query's answers are merged, ties to the smaller id. A query's own id is no
+    answer to it.
 
     Nulls: rows with a null id or a vector that is null, empty, zero or has null or non-finite components take no part. Vectors of
     different lengths are never compared. Rows repeated in id and vector count once. With fewer than k other rows all are
@@ -125,7 +129,9 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id",
     counts = rows.agg(F.count("*"), F.count_if("asks")).first()
     parts = max(LEAST_PARTS, -(-counts[0] // PART_ROWS))
     blocks = max(1, -(-counts[1] // QUERY_ROWS))
-    index = rows.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    least = Window.partitionBy("v").orderBy("vec_id")
+    kept = rows.withColumn("copy", F.row_number().over(least)).where(F.col("copy") <= k + 1).drop("copy")
+    index = kept.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asking = rows.where("asks").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
     columns = ["dims", "part", "block", "query", "vec_id", "v"]
     both = index.withColumn("query", F.lit(False)).select(columns).union(asking.withColumn("query", F.lit(True)).select(columns))

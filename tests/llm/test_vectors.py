@@ -98,6 +98,42 @@ def test_neighbours(spark):
     assert hits >= 0.9 * total
 
 
+def test_search_gives_the_least_ids_of_copies():
+    rng = np.random.default_rng(6)
+    limit = neighbours.quantile(neighbours.CONFIDENCE, neighbours.PROJECTED)
+    for _ in range(20):
+        points = rng.normal(size=(900, 64))
+        points /= np.linalg.norm(points, axis=1, keepdims=True)
+        query = points[0]
+        at, ids = rng.permutation(900), rng.permutation(900)
+        points[at[:300]] = query  # more than a leaf holds
+        turn = neighbours.projection(64)
+        found = neighbours.search(neighbours.KdTree(points @ turn), points, ids, query, query @ turn, None, 5, limit)
+        copies = (points == query).all(1)
+        assert [int(ids[p]) for _, p in found] == sorted(ids[copies].tolist())[:5]
+
+
+def test_neighbours_with_a_third_of_the_rows_as_copies(spark):
+    rng = np.random.default_rng(7)
+    base = np.float32(rng.normal(size=(3000, 32)))
+    ids = rng.permutation(3000).tolist()
+    base[:1000], base[1000:1004] = base[0], base[1000]  # a large group, and one smaller than an answer
+    df = table(spark, [(i, v.tolist(), 0) for i, v in zip(ids, base, strict=True)])
+    got = {}
+    for r in neighbours.nearest(df, df["vec_id"] % 30 == 0).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    x = np.float64(base)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    large, hits, total = set(ids[:1000]), 0, 0
+    for q in (q for q, i in enumerate(ids) if i % 30 == 0):
+        found = [got[ids[q]][k] for k in range(1, 6)]
+        near = sorted((-round(float(x[q] @ x[o]), 12), i) for o, i in enumerate(ids) if o != q)[:5]
+        if ids[q] in large:
+            assert found == sorted(large - {ids[q]})[:5]
+        hits, total = hits + len(set(found) & {i for _, i in near}), total + 5
+    assert hits >= 0.9 * total
+
+
 def test_chi_square():
     assert abs(neighbours.chi_square(15.507, 8) - 0.95) < 1e-4
     assert abs(neighbours.quantile(0.95, 8) - 15.507) < 1e-2
