@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 
 from hourlake.llm.common import fresh
 
-# Known licence sentences, normalised, by identifier.
+# Known licence sentences, normalised, by identifier. Standard wordings that run across a mark which ends a
+# sentence stand here in the parts that the cut yields (apacheHead, apacheNotUse, gplTerms3, gplUseful and so on), and
+# also whole, for texts without the mark.
 SENTENCES = {
     "apacheHeader": "licensed under the apache license version 2 0",
     "apacheYou": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    "apacheHead": "licensed under the apache license version 2 0 the license",
+    "apacheNotUse": "you may not use this file except in compliance with the license",
     "apacheCopy": "you may obtain a copy of the license at",
     "apacheUrl": "http www apache org licenses license 2 0",
     "apacheAsIs": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
@@ -40,7 +44,18 @@ SENTENCES = {
     "gplFree3": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gplFree2": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "lgplFree21": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "gplTerms3": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gplTerms2": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "lgplTerms21": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "gplTerms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "lgplTerms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "orLater3": "either version 3 of the license or at your option any later version",
+    "orLater2": "either version 2 of the license or at your option any later version",
+    "orLater21": "either version 2 1 of the license or at your option any later version",
     "gplHope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "gplUseful": "this program is distributed in the hope that it will be useful but without any warranty",
+    "lgplUseful": "this library is distributed in the hope that it will be useful but without any warranty",
+    "gplImplied": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "gplSee": "see the gnu general public license for more details",
     "gplCopy": "you should have received a copy of the gnu general public license along with this program",
     "mplForm": "this source code form is subject to the terms of the mozilla public license v 2 0",
@@ -71,6 +86,20 @@ RULES = [
     (("apacheYou", "apacheCopy", "apacheUrl", "apacheAsIs", "apacheSee"), "Apache-2.0"),
     (("apacheYou", "apacheUrl", "apacheAsIs", "apacheSee"), "Apache-2.0"),
     (("apacheYou", "apacheCopy"), "Apache-2.0"),
+    (("apacheHead", "apacheNotUse", "apacheCopy", "apacheUrl", "apacheAsIs", "apacheSee"), "Apache-2.0"),
+    (("apacheHead", "apacheNotUse", "apacheUrl", "apacheAsIs", "apacheSee"), "Apache-2.0"),
+    (("apacheHead", "apacheNotUse", "apacheCopy"), "Apache-2.0"),
+    (("apacheHead", "apacheNotUse"), "Apache-2.0"),
+    (("gplTerms3", "gplUseful", "gplImplied", "gplSee", "gplCopy"), "GPL-3.0-or-later"),
+    (("gplTerms3", "gplUseful", "gplImplied", "gplSee"), "GPL-3.0-or-later"),
+    (("gplTerms2", "gplUseful", "gplImplied", "gplSee", "gplCopy"), "GPL-2.0-or-later"),
+    (("gplTerms2", "gplUseful", "gplImplied", "gplSee"), "GPL-2.0-or-later"),
+    (("lgplTerms21", "lgplUseful", "gplImplied"), "LGPL-2.1-or-later"),
+    (("gplTerms", "orLater3", "gplUseful", "gplImplied", "gplSee", "gplCopy"), "GPL-3.0-or-later"),
+    (("gplTerms", "orLater3", "gplUseful", "gplImplied", "gplSee"), "GPL-3.0-or-later"),
+    (("gplTerms", "orLater2", "gplUseful", "gplImplied", "gplSee", "gplCopy"), "GPL-2.0-or-later"),
+    (("gplTerms", "orLater2", "gplUseful", "gplImplied", "gplSee"), "GPL-2.0-or-later"),
+    (("lgplTerms", "orLater21", "lgplUseful", "gplImplied"), "LGPL-2.1-or-later"),
     (("gplFree3", "gplHope", "gplSee", "gplCopy"), "GPL-3.0-or-later"),
     (("gplFree3", "gplHope", "gplSee"), "GPL-3.0-or-later"),
     (("gplFree2", "gplHope", "gplSee", "gplCopy"), "GPL-2.0-or-later"),
@@ -80,11 +109,18 @@ RULES = [
     (("gplFree3",), "GPL-3.0-or-later"),
     (("gplFree2",), "GPL-2.0-or-later"),
     (("lgplFree21",), "LGPL-2.1-or-later"),
+    (("gplTerms", "orLater3"), "GPL-3.0-or-later"),
+    (("gplTerms", "orLater2"), "GPL-2.0-or-later"),
+    (("lgplTerms", "orLater21"), "LGPL-2.1-or-later"),
+    (("gplTerms3",), "GPL-3.0-or-later"),
+    (("gplTerms2",), "GPL-2.0-or-later"),
+    (("lgplTerms21",), "LGPL-2.1-or-later"),
     (("gpl3Work",), "GPL-3.0"),
     (("gpl3Ref",), "GPL-3.0"),
     (("gpl2Work",), "GPL-2.0"),
     (("apacheHeader",), "Apache-2.0"),
     (("apacheYou",), "Apache-2.0"),
+    (("apacheHead",), "Apache-2.0"),
     (("mitRef",), "MIT"),
     (("mitRefUnder",), "MIT"),
     (("mitRefThis",), "MIT"),
@@ -120,6 +156,9 @@ MARKS = ("licens", "copyright", "warrant")
 ENDS = "[.!?;:]+[ \\t\\r\\n]+|[\\r\\n]+"
 ENDS_UNWRAPPED = "[.!?;:]+[ \\t\\r\\n]+|[\\r\\n][ \\t]*[\\r\\n]+"
 GAP = "[^a-z0-9]+"
+#: Marks inside a known sentence whose rest alone names nothing ("mit", "2 0"): the white space after them is taken away, so
+#: that they do not end it.
+INSIDE = "(spdx-license-identifier:|mozilla[^a-z0-9]+public[^a-z0-9]+license[^a-z0-9]+v\\.)[ \\t]+"
 
 
 def has_any(text: Column, words: tuple[str, ...]) -> Column:
@@ -151,7 +190,7 @@ def scan(df: DataFrame, text: str = "text", into: str = "licence_scan") -> DataF
     lowered, cut, wrapped, ids = (fresh(df, c) for c in ("_lowered", "_lines", "_unwrapped", "_ids"))
     none = F.array().cast("array<string>")
     out = df.withColumn(lowered, F.lower(F.coalesce(F.col(text), F.lit(""))))
-    out = out.withColumn(lowered, F.when(has_any(F.col(lowered), ANCHORS), F.col(lowered)))
+    out = out.withColumn(lowered, F.when(has_any(F.col(lowered), ANCHORS), F.regexp_replace(F.col(lowered), INSIDE, "$1")))
     out = out.withColumn(cut, F.when(F.col(lowered).isNotNull(), _sentences(F.col(lowered), ENDS)).otherwise(none))
     out = out.withColumn(wrapped, F.when(F.col(lowered).isNotNull(), _sentences(F.col(lowered), ENDS_UNWRAPPED)).otherwise(none))
     out = out.withColumn(ids, F.struct(_identifiers(F.col(cut)).alias("a"), _identifiers(F.col(wrapped)).alias("b")))

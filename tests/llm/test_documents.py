@@ -206,6 +206,67 @@ def test_licences(spark):
     assert {i for run, _ in licences.RULES for i in run} <= set(licences.SENTENCES)
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is free software{mark} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{comma} either version {version} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program{end}
+"""
+GPL3 = GPL.format(mark=":", comma=",", version=3, end=".  If not, see <https://www.gnu.org/licenses/>.")
+GPL2 = GPL.format(mark=";", comma=";", version=2, end="; if not, write to the Free Software\nFoundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.")
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+"""
+SPDX = {"MIT": "MIT", "Apache-2.0": "Apache-2.0", "GPL-3.0-only": "GPL-3.0-only", "GPL-3.0-or-later": "GPL-3.0-or-later", "GPL-2.0-only": "GPL-2.0-only", "BSD-3-Clause": "BSD-3-Clause", "MPL-2.0": "MPL-2.0"}
+
+
+def test_licences_of_the_standard_notices(spark):
+    notices = [(APACHE, "Apache-2.0"), (GPL3, "GPL-3.0-or-later"), (GPL2, "GPL-2.0-or-later"), (LGPL, "LGPL-2.1-or-later"), (MPL, "MPL-2.0")]
+    # the parts that each notice names first, alone
+    notices += [("\n\n".join(t.split("\n\n")[:1]), n) for t, n in notices] + [(MPL.split(" If")[0], "MPL-2.0")]
+    texts = [(t, n) for t, n in notices]
+    texts += [(" ".join(t.split()), n) for t, n in notices]  # on one line
+    texts += [("\n".join(f"# {x}".rstrip() for x in t.splitlines()) + "\n", n) for t, n in notices]  # as a comment
+    texts += [(f"{a}SPDX-License-Identifier: {t}{z}", n) for t, n in SPDX.items() for a, z in (("", ""), ("# ", "\nimport os\n"), ("<!-- ", " -->\n"))]
+    df = documents(spark, [(k, t, "a") for k, (t, _) in enumerate(texts)] + [(len(texts), "mit\nlicence\n2.0", "a")])
+    got = {r["doc_id"]: r for r in licences.scan(df).select("doc_id", "licence_scan.*").collect()}
+    assert {k: got[k]["licences"] for k in range(len(texts))} == {k: [n] for k, (_, n) in enumerate(texts)}
+    assert got[0]["sentences"] == ["apacheHead", "apacheNotUse", "apacheCopy", "apacheUrl", "apacheAsIs", "apacheSee"]
+    assert got[1]["sentences"] == ["gplTerms3", "gplUseful", "gplImplied", "gplSee", "gplCopy"]
+    assert got[4]["sentences"] == ["mplForm", "mplCopy"]
+    assert got[len(texts)]["sentences"] == [] and got[len(texts)]["licences"] == []
+
+
 @pytest.mark.parametrize("run", [lambda d: minhash.near_duplicates(d), line_dedup.decisions, line_dedup.dedup_lines, mixing.mix, mixing.mixed_documents, licences.scan])
 def test_empty_tables(spark, run):
     assert run(documents(spark, []).limit(0)).count() == 0
