@@ -1,7 +1,9 @@
 """Operators on documents, against brute force on tables with nulls, empty and long texts, ties, repeated rows and clashing names."""
 
 import random
+from math import comb
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +116,27 @@ def test_estimates_are_near_the_index():
     assert minhash.sketch(minhash.shingle_set("", 2)).tolist() == [minhash.EMPTY] * minhash.REGISTERS
 
 
+def agreeing(same):
+    """Two rows of full registers of which `same` agree."""
+    left = np.arange(minhash.REGISTERS, dtype=np.uint16)[None]
+    right = left.copy()
+    right[0, same:] += 1000
+    return left, right
+
+
+def test_the_estimate_loses_no_more_pairs_than_the_bands():
+    n, j = minhash.REGISTERS, 0.8
+    lost = sum(comb(n, k) * j**k * (1 - j) ** (n - k) for k in range(n) if minhash.estimates(*agreeing(k))[0, 0] < minhash.least_estimate(80))
+    assert lost <= (1 - j**minhash.BAND) ** (n // minhash.BAND)
+
+
+def test_a_pair_with_few_agreeing_registers_is_a_candidate(spark):
+    left, right = agreeing(80)  # 80 of 128 at an index of 0.8: rare, but far from impossible
+    rows = [(bytearray(name), bytearray(r.tobytes())) for name, r in ((b"a", left), (b"b", right))]
+    found = minhash.candidate_links(spark.createDataFrame(rows, "digest binary, registers binary"), 80).collect()
+    assert {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in found} == {frozenset((b"a", b"b"))}
+
+
 def brute_lines(rows):
     order = lambda r: (r[0] is not None, r[0] or 0, r[2])
     docs = sorted({(i, t or "", h) for i, t, h in rows}, key=order)
