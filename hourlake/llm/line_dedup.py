@@ -4,7 +4,7 @@ A line is the set of its words. Words are ordered by rarity over the whole corpu
 Jaccard index reaches the threshold share a word among the rarest few of each (prefix filter). Lines that
 share one are compared by length, by the position of the word and by a 64-bit parity map of the set, whose
 differing bits bound the symmetric difference; what is left is verified on the full sets. A line goes
-if an earlier line, in the order of (doc_id, line number, hash), equals or matches it.
+if an earlier line, in the order of (doc_id, hash of the text, line number), equals or matches it.
 """
 
 from __future__ import annotations
@@ -13,24 +13,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import fresh, mark, release, result, stored
+from hourlake.llm.common import fresh, mark, result, stored
 from hourlake.llm.membership import SPARSE, bit_filter, merged, passing, sparse
 from hourlake.llm.words import BUFFER, buffer_words, mixed, word_hashes
 
 #: Jaccard index in hundredths from which lines match.
 THRESHOLD = 80
-#: Bits of a word's hash that sets hold; counters of the rarity sketch; rows of a block.
-HASH_BITS, COUNTERS, BLOCK = 48, 1 << 23, 1024
+#: Bits of a word's hash that sets hold, and counters of the rarity sketch.
+HASH_BITS, COUNTERS = 48, 1 << 23
+#: Lines of a prefix word from which it is heavy and its lines are dealt over several groups. With more than HEAVY << 20 rows
+#: of prefix words in all it grows, so that there are never more than HEAVY_WORDS such words.
+HEAVY, HEAVY_WORDS = 4096, 1 << 20
 #: Earlier candidates of a line that the first round verifies for each shared word; a line with more that all fail gets every one in a second.
-FIRST = 3
-#: Lines that are taken into arrays at once.
-LINES = 60_000
+FIRST = 2
+#: Lines that are taken into arrays at once; rows of prefix words that a task packs at once, and that a bucket holds on average at most.
+LINES, PACKED, BUCKET_ROWS = 60_000, 400_000, 500_000
+#: Rows of a group from which its pairs are compared in strips of the earliest lines, dropping lines that have FIRST candidates.
+STRIPS, STRIP = 256, 32
 
 _LOW = np.uint64((1 << HASH_BITS) - 1)
-LINE = "doc_id {id}, dh long, line int, key long, bits long, n int, words binary"
+#: Stands for a null id, if no row has this one.
+_NULL_ID = -(1 << 63)
 
 
 def line_sets(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -85,26 +92,47 @@ def unpack(data: bytes | memoryview) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, Column | None]:
+    """docs (doc_id, dh, text) with a long `doc` that is unique to, and ordered as, (doc_id, dh); and the expression of it, if one of doc_id is enough.
+
+    Whole numbers stand for themselves, if no id has two texts. Other ids get their rank, which is joined to the texts.
+    """
+    if docs.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long"):
+        own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))
+        several = docs.select(own.alias("doc"), "dh").distinct().groupBy("doc").count().where("count > 1")
+        if several.isEmpty():
+            return docs.withColumn("doc", own), own
+    ranks = docs.select("doc_id", "dh").distinct().orderBy(F.col("doc_id").asc_nulls_first(), "dh")
+    ranks = stored(ranks.withColumn("doc", F.monotonically_increasing_id()), "line-ranks")
+    return docs.join(ranks, docs["doc_id"].eqNullSafe(ranks["doc_id"]) & (docs["dh"] == ranks["dh"])).select(docs["doc_id"], docs["dh"], "text", "doc"), None
+
+
+LINE = "doc long, line int, key long, bits long, n int, words binary"
+_LINE_COLUMNS = [f.split()[0] for f in LINE.split(", ")]
+
+
 def corpus_lines(docs: DataFrame) -> DataFrame:
-    """A stored row of LINE for each line with words. words is empty where the task has met an equal, earlier line before."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """A stored row of LINE for each line with words of docs (doc, text). words is empty where the task has met an equal, earlier line before."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, tuple] = {}
+        seen: dict[tuple[int, int], tuple[int, int]] = {}
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            order = [(i is not None, 0 if i is None else i) for i in ids]
-            texts = ((k, (t.as_py() or "").encode("utf-8").lower()) for k, t in enumerate(batch.column(2)))
+            docs = batch.column(0).to_numpy()
+            texts = ((k, (t.as_py() or "").encode("utf-8").lower()) for k, t in enumerate(batch.column(1)))
             for data, parts in line_buffers(texts):
                 words, sizes, keys, bits = line_sets(data)
-                of = np.repeat([k for k, _, _ in parts], [n for _, _, n in parts])
+                of = docs[np.repeat([k for k, _, _ in parts], [n for _, _, n in parts])]
                 numbers = np.concatenate([np.arange(first, first + n) for _, first, n in parts])
                 keep = np.flatnonzero(sizes)
                 new = np.zeros(len(keep), bool)
-                for at, (k, number, key) in enumerate(zip(of[keep].tolist(), numbers[keep].tolist(), keys[keep].tolist(), strict=True)):
-                    place = (*order[k], number)
-                    if (before := seen.get(key)) is None or place < before:
-                        seen[key] = place
+                for at, (doc, number, *name) in enumerate(zip(of[keep].tolist(), numbers[keep].tolist(), keys[keep].tolist(), bits[keep].tolist(), strict=True)):
+                    place, name = (doc, number), tuple(name)
+                    if (before := seen.get(name)) is None or place < before:
+                        seen[name] = place
                         new[at] = True
                 if len(seen) > 400_000:
                     seen.clear()
@@ -113,11 +141,15 @@ def corpus_lines(docs: DataFrame) -> DataFrame:
                 ends = np.cumsum(np.where(new, sizes[keep], 0)) * (HASH_BITS // 8)
                 offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes())
                 binary = pa.Array.from_buffers(pa.binary(), len(keep), [None, offsets, pa.py_buffer(pack(words[np.repeat(some, sizes)]).tobytes())])
-                rows = pa.array(of[keep])
-                columns = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(numbers[keep].astype(np.int32)), pa.array(keys[keep].view(np.int64)), pa.array(bits[keep].view(np.int64)), pa.array(sizes[keep].astype(np.int32)), binary]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "dh", "line", "key", "bits", "n", "words"])
+                columns = [pa.array(of[keep]), pa.array(numbers[keep].astype(np.int32)), pa.array(keys[keep].view(np.int64)), pa.array(bits[keep].view(np.int64)), pa.array(sizes[keep].astype(np.int32)), binary]
+                yield pa.RecordBatch.from_arrays(columns, _LINE_COLUMNS)
+
+    return stored(docs.select("doc", "text").mapInArrow(work, LINE), "line-sets")
 
-    return stored(docs.mapInArrow(work, LINE.format(id=kind)), "line-sets")
+
+def joinable(lines: DataFrame) -> DataFrame:
+    """The lines that take part in the join: with so many words that not only equal lines match."""
+    return lines.where("n > 3 and octet_length(words) > 0")
 
 
 def rarity(lines: DataFrame) -> np.ndarray:
@@ -133,210 +165,378 @@ def rarity(lines: DataFrame) -> np.ndarray:
                 counts[place] += n.astype(np.uint32)
         yield sparse(counts)
 
-    parts = lines.where("n > 3 and octet_length(words) > 0").select("words").mapInArrow(work, SPARSE)
-    return merged(parts, COUNTERS, "uint32", True)
+    return merged(joinable(lines).select("words").mapInArrow(work, SPARSE), COUNTERS, "uint32", True)
+
 
+def prefix_length(sizes: np.ndarray) -> np.ndarray:
+    """How many of a line's rarest words another line must share one of to match it."""
+    return sizes * (100 - THRESHOLD) // 100 + 1
 
-COLUMNS = ["part", "doc_id", "line", "key", "bits", "shape"]
 
+def prefixes(batch: pa.RecordBatch, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, rows, places) of the rarest words of each row of a batch of LINE, but for words that occur in one line alone."""
+    sizes = batch.column("n").to_numpy().astype(np.int64)
+    words = unpack(b"".join(batch.column("words").to_pylist()))
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    count = often[(words & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.int64)
+    order = np.argsort(owner << 32 | count, kind="stable")  # by line, then by count; words of a line are sorted by hash already
+    words, count = words[order], count[order]
+    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    keep = np.flatnonzero((place < prefix_length(sizes)[owner]) & (count > 1))
+    return words[keep], owner[keep], place[keep]
 
-def prefix_rows(lines: DataFrame, counts) -> DataFrame:
-    """(part, doc_id, line, key, bits, shape) for the rarest words of each line.
 
-    part is a hash of the word and, where a word may be in more than BLOCK lines, of a pair of blocks; shape packs the line's
-    number of words, the word's place, and which block of the pair the line is in. Left out are words that occur in one line
-    alone, and lines so short that only equal ones match.
+def heavy_words(lines: DataFrame, counts: Broadcast, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted words, groups) of the words that more than `least` lines have among their rarest, counted exactly; such words' lines go to several groups.
+
+    Only words whose counter is above `least` need counting: the others occur in fewer lines anyway.
     """
-    kind = lines.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = np.frombuffer(counts.value, np.uint32)
         for whole in batches:
             for at in range(0, whole.num_rows, 5000):
-                batch = whole.slice(at, 5000)
-                sizes = batch.column("n").to_numpy().astype(np.int64)
-                words = unpack(b"".join(batch.column("words").to_pylist()))
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                count = often[(words & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64)
-                # By line, then by count, then by hash: stable sorts from the last of these to the first.
-                order = np.argsort(count, kind="stable")  # words of a line are sorted by hash already
-                order = order[np.argsort(owner[order], kind="stable")]
-                words, count = words[order], count[order].astype(np.int64)
-                place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                length = sizes - -(-THRESHOLD * sizes // 100) + 1
-                keep = np.flatnonzero((place < length[owner]) & (count > 1))
-                blocks = -(-count[keep] // BLOCK)
-                block = (mixed(batch.column("key").to_numpy().astype(np.uint64)[owner[keep]]) % blocks.astype(np.uint64)).astype(np.int64)
-                copy = np.repeat(np.arange(len(keep)), blocks)
-                other = np.arange(len(copy)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-                mine, keep = block[copy], keep[copy]
-                low, high = np.minimum(mine, other), np.maximum(mine, other)
-                part = mixed(words[keep] ^ (low << 24 | high).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-                side = np.where(low == high, 0, np.where(mine == low, 1, 2))
-                shape = sizes[owner[keep]] << 32 | place[keep] << 2 | side
-                of = pa.array(owner[keep])
-                columns = [pa.array((part >> np.uint64(32)).astype(np.uint32).view(np.int32))] + [batch.column(c).take(of) for c in COLUMNS[1:-1]] + [pa.array(shape)]
-                yield pa.RecordBatch.from_arrays(columns, COLUMNS)
-
-    return lines.where("n > 3 and octet_length(words) > 0").mapInArrow(work, f"part int, doc_id {kind}, line int, key long, bits long, shape long")
-
-
-def pairs_of(part: np.ndarray, key: np.ndarray, bits: np.ndarray, shape: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places (x, y) of pairs that pass the filters, x later than y, in rows sorted by part and by the order of lines; and which x have left out some."""
-    bits, n, pos, side = bits.view(np.uint64), shape >> 32, (shape & 0xFFFFFFFF) >> 2, shape & 3
-    group = np.cumsum(np.concatenate([[True], part[1:] != part[:-1]]))
-    # Of equal lines of a group only the first stays.
-    order = np.lexsort((bits, key, group))
-    same = (group[order][1:] == group[order][:-1]) & (key[order][1:] == key[order][:-1]) & (bits[order][1:] == bits[order][:-1])
-    at = np.sort(order[np.concatenate([[True], ~same])])
-    group, n, pos, side, bits = (v[at] for v in (group, n, pos, side, bits))
-    xs, ys, step, left = [], [], 1, np.arange(len(at))
-    while len(left := left[left + step < len(at)]) and len(left := left[group[left + step] == group[left]]):
-        y, x = left, left + step
-        small, large, total = np.minimum(n[x], n[y]), np.maximum(n[x], n[y]), n[x] + n[y]
-        need = -(-THRESHOLD * total // (100 + THRESHOLD))
-        ok = (100 * small >= THRESHOLD * large) & (np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need) & ((side[x] == 0) | (side[x] != side[y]))
-        ok[ok] = np.bitwise_count(bits[x[ok]] ^ bits[y[ok]]) <= (total - 2 * need)[ok]
-        xs.append(x[ok])
-        ys.append(y[ok])
-        step += 1
-    x, y = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (xs, ys))
-    order = np.lexsort((y, x))
-    x, y = x[order], y[order]
-    more = np.zeros(len(x), bool)
-    if first and len(x):
-        rank = np.arange(len(x)) - np.searchsorted(x, x)
-        more = np.isin(x, x[rank >= first])
-        x, y, more = x[rank < first], y[rank < first], more[rank < first]
-    return at[x], at[y], more
+                words, _, _ = prefixes(whole.slice(at, 5000), often)
+                words = words[often[(words & np.uint64(COUNTERS - 1)).astype(np.int64)] > least]
+                words, n = np.unique(words, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
+    found = joinable(lines).select("n", "words").mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > least)
+    rows = sorted((r["word"], r["n"]) for r in found.collect())  # fewer than HEAVY_WORDS, as `least` is at least their share of all rows
+    return np.array([w for w, _ in rows], np.uint64), np.array([-(-n // least) for _, n in rows], np.int64)
 
-PAIR = "x_key long, x_bits long, y_key long, y_bits long, more boolean"
 
+def needed(rows: DataFrame) -> Broadcast:
+    """A bit filter of the lines (doc, line)."""
+    return bit_filter(rows.select(F.xxhash64("doc", "line")))
+
+
+_PLANES = (("part", "<u4"), ("doc", "<i8"), ("line", "<u4"), ("bits", "<u8"), ("n", "<u4"), ("place", "<u4"))
+_WIDTH = sum(np.dtype(t).itemsize for _, t in _PLANES)
+#: Lowest bits of a packed place: the row may be the earlier line of a pair; the later one; its word is heavy.
+EARLIER, LATER, WEIGHTY = 1, 2, 4
+
+
+def packed(columns: list[np.ndarray]) -> bytes:
+    """Columns as planes of their bytes, so that bytes which are mostly zeros stand together."""
+    return np.concatenate([np.ascontiguousarray(c.astype(t).view(np.uint8).reshape(len(c), -1).T).reshape(-1) for c, (_, t) in zip(columns, _PLANES, strict=True)]).tobytes()
+
+
+def unpacked(blobs: list[bytes]) -> list[np.ndarray]:
+    out: list[list[np.ndarray]] = [[] for _ in _PLANES]
+    for blob in blobs:
+        raw, n, at = np.frombuffer(blob, np.uint8), len(blob) // _WIDTH, 0
+        for k, (_, kind) in enumerate(_PLANES):
+            width = np.dtype(kind).itemsize
+            out[k].append(np.ascontiguousarray(raw[at : at + n * width].reshape(width, n).T).reshape(-1).view(kind))
+            at += n * width
+    return [np.concatenate(c) for c in out]
 
-def candidate_pairs(rows: DataFrame, first: int) -> DataFrame:
-    """Pairs of a later line (x_key, x_bits) and an earlier one (y_key, y_bits) that pass the filters, with `more` where a later line has left out some.
 
-    For each word only the `first` earliest candidates of a later line are given; 0: all.
+def prefix_rows(lines: DataFrame, counts: Broadcast, heavy: Broadcast, buckets: int, least: int, asking: Broadcast | None = None, words_asked: Broadcast | None = None) -> DataFrame:
+    """(bucket, rows): the rarest words of each line, in buckets of a hash, many to a row.
+
+    A row of a word has the line's place, parity bits and number of words, and the place of the word. The lines of a heavy word
+    are dealt over groups. In the first round each of these groups also gets about `least` of the word's lines, chosen by a hash, as possible earlier
+    lines. In the second (with `asking`, a filter of lines, and `words_asked`, one of their words) the groups part all of them
+    and the lines that ask go to each.
     """
-    rows = rows.repartition("part").sortWithinPartitions("part", "doc_id", "line", "key", "bits").select("part", "key", "bits", "shape")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        often = np.frombuffer(counts.value, np.uint32)
+        heavy_words, heavy_groups = heavy.value
+        held: list[list[np.ndarray]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            bucket, *columns = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.argsort(bucket, kind="stable")
+            bucket = bucket[order]
+            columns = [c[order] for c in columns]
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+            for at in range(0, len(cuts), 4096):
+                ends = [*cuts[at + 1 : at + 4097], len(bucket)][: len(cuts[at : at + 4096])]
+                spans = list(zip(cuts[at : at + 4096], ends, strict=True))
+                blobs = [packed([c[a:z] for c in columns]) for a, z in spans]
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[[a for a, _ in spans]]), pa.array(blobs, pa.binary())], ["bucket", "rows"])
+            held.clear()
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 5000):
+                batch = whole.slice(at, 5000)
+                words, owner, place = prefixes(batch, often)
+                asks = np.ones(batch.num_rows, bool)
+                if asking is not None:
+                    asks = passing(asking, batch.column("h")).to_numpy(zero_copy_only=False)
+                    keep = passing(words_asked, pa.array(words.view(np.int64))).to_numpy(zero_copy_only=False)
+                    words, owner, place = words[keep], owner[keep], place[keep]
+                doc, line, bits, key, n = (batch.column(c).to_numpy()[owner] for c in ("doc", "line", "bits", "key", "n"))
+                role = np.where(asks[owner], EARLIER | LATER, EARLIER)
+                group = np.zeros(len(words), np.int64)
+                if len(heavy_words) and len(words):
+                    at_word = np.minimum(np.searchsorted(heavy_words, words), len(heavy_words) - 1)
+                    weighty = np.flatnonzero(heavy_words[at_word] == words)
+                    groups = heavy_groups[at_word[weighty]]
+                    chance = mixed(key.view(np.uint64)[weighty])
+                    group[weighty] = (chance % groups.astype(np.uint64)).astype(np.int64)
+                    role[weighty] |= WEIGHTY
+                    # To the other groups: in the first round as an earlier line, for one line of so many; then as a later line, if it asks.
+                    out = asks[owner[weighty]] if asking is not None else (chance >> np.uint64(32)) % groups.astype(np.uint64) == 0
+                    more, times = weighty[out], groups[out] - 1
+                    copy = np.repeat(more, times)
+                    other = np.arange(len(copy)) - np.repeat(np.cumsum(times) - times, times)
+                    other += other >= group[copy]
+                    words, doc, line, bits, n, place = (np.concatenate([c, c[copy]]) for c in (words, doc, line, bits, n, place))
+                    role = np.concatenate([role, np.full(len(copy), WEIGHTY | (LATER if asking is not None else EARLIER))])
+                    group = np.concatenate([group, other])
+                part = mixed(words ^ group.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+                held.append([((part & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32), part >> np.uint64(32), doc, line, bits, n, place << 3 | role])
+                if sum(len(h[0]) for h in held) > PACKED:
+                    yield from flush()
+        if held:
+            yield from flush()
+
+    names = ["doc", "line", "key", "bits", "n", "words", F.xxhash64("doc", "line").alias("h")]
+    return joinable(lines).select(names).mapInArrow(work, "bucket int, rows binary")
+
+
+class Rows:
+    """Rows of prefix words sorted by group, then by the order of lines, with the filters that tell which pairs are candidates."""
+
+    def __init__(self, part: np.ndarray, doc: np.ndarray, line: np.ndarray, bits: np.ndarray, n: np.ndarray, place: np.ndarray):
+        order = np.lexsort((line, doc, part))
+        part, doc, line = part[order], doc[order], line[order]
+        new = np.ones(len(order), bool)  # rows of repeated documents are alike
+        new[1:] = (part[1:] != part[:-1]) | (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
+        order = order[new]
+        self.part, self.doc, self.line, self.bits = part[new], doc[new], line[new], bits[order]
+        self.n, place = n[order].astype(np.int64), place[order].astype(np.int64)
+        self.role, self.rest = place & 7, self.n - (place >> 3)
+        self.starts = np.flatnonzero(np.diff(self.part.astype(np.int64), prepend=-1))
+        self.sizes = np.diff(self.starts, append=len(self.part))
+
+    def candidates(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which of the pairs (x later than y) can match: by length, role, position and parity bits."""
+        a, b = self.n[x], self.n[y]
+        ok = np.flatnonzero((100 * a >= THRESHOLD * b) & (100 * b >= THRESHOLD * a))
+        x, y, total = x[ok], y[ok], a[ok] + b[ok]
+        need = -(-THRESHOLD * total // (100 + THRESHOLD))
+        some = np.flatnonzero((np.minimum(self.rest[x], self.rest[y]) >= need) & (self.role[x] & LATER > 0) & (self.role[y] & EARLIER > 0))
+        ok, x, y, slack = ok[some], x[some], y[some], (total - 2 * need)[some]
+        return ok[np.bitwise_count(self.bits[x] ^ self.bits[y]) <= slack]
+
+    def pairs(self, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(x, y) of the candidate pairs and which x may have others; with `first` not 0 only so many earliest y of each x."""
+        xs, ys, more = [], [], np.zeros(len(self.part), bool)
+        size = np.repeat(self.sizes, self.sizes)
+        last = np.repeat(self.starts + self.sizes, self.sizes)
+        step, left = 1, np.flatnonzero((size > 1) & (size <= STRIPS))
+        while len(left := left[left + step < last[left]]):
+            ok = self.candidates(left + step, left)
+            xs.append(left[ok] + step)
+            ys.append(left[ok])
+            step += 1
+        for k in np.flatnonzero(self.sizes > STRIPS).tolist():
+            start, end = int(self.starts[k]), int(self.starts[k] + self.sizes[k])
+            alive = np.arange(start + 1, end)
+            alive = alive[self.role[alive] & LATER > 0]
+            have = np.zeros(end - start, np.int64)
+            for at in range(start, end, STRIP):
+                alive = alive[alive > at]
+                if not len(alive):
+                    break
+                strip = np.arange(at, min(at + STRIP, end))
+                x, y = np.tile(alive, len(strip)), np.repeat(strip, len(alive))
+                ok = np.flatnonzero(x > y)
+                ok = ok[self.candidates(x[ok], y[ok])]
+                xs.append(x[ok])
+                ys.append(y[ok])
+                if first:
+                    have += np.bincount(x[ok] - start, minlength=end - start)
+                    done = have[alive - start] >= first
+                    more[alive[done & (alive > strip[-1] + 1)]] = True
+                    alive = alive[~done]
+        x, y = (np.concatenate(v) if v else np.empty(0, np.int64) for v in (xs, ys))
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        if first and len(x):
+            rank = np.arange(len(x)) - np.searchsorted(x, x)
+            more[x[rank >= first]] = True
+            x, y = x[rank < first], y[rank < first]
+        return x, y, more
+
+
+PAIR = "doc long, line int, y_doc long, y_line int, more boolean"
+_PAIR_COLUMNS = [f.split()[0] for f in PAIR.split(", ")]
 
-        def done(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-            if parts and sum(len(p[0]) for p in parts) > 1:
-                part, key, bits, shape = (np.concatenate(c) for c in zip(*parts, strict=True))
-                x, y, more = pairs_of(part, key, bits, shape, first)
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key[x], bits[x], key[y], bits[y], more)], ["x_key", "x_bits", "y_key", "y_bits", "more"])
 
+def candidate_pairs(rows: DataFrame, first: int) -> DataFrame:
+    """Pairs of a later line (doc, line) and an earlier one (y_doc, y_line) that pass the filters.
+
+    For each word only the `first` earliest candidates of a later line are given; 0: all. A row without y_doc and with `more` is for a later
+    line that may have others.
+    """
+    rows = rows.repartition("bucket").sortWithinPartitions("bucket")
+
+    def found(blobs: list[bytes]) -> pa.RecordBatch:
+        table = Rows(*unpacked(blobs))
+        x, y, more = table.pairs(first)
+        if first:
+            more |= (table.role & (LATER | WEIGHTY)) == LATER | WEIGHTY  # it has met only some lines of its word
+        m = np.flatnonzero(more)
+        both = np.unique(np.stack([table.doc[x], table.line[x].astype(np.int64), table.doc[y], table.line[y].astype(np.int64)], 1), axis=0)
+        alone = np.unique(np.stack([table.doc[m], table.line[m].astype(np.int64)], 1), axis=0)
+        none = np.zeros(len(alone), np.int64)
+        lacking = np.arange(len(both) + len(alone)) >= len(both)
+        columns = [
+            pa.array(np.concatenate([both[:, 0], alone[:, 0]])),
+            pa.array(np.concatenate([both[:, 1], alone[:, 1]]).astype(np.int32)),
+            pa.array(np.concatenate([both[:, 2], none]), mask=lacking),
+            pa.array(np.concatenate([both[:, 3], none]).astype(np.int32), mask=lacking),
+            pa.array(lacking),
+        ]
+        return pa.RecordBatch.from_arrays(columns, _PAIR_COLUMNS)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
         for batch in batches:
-            columns = tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            part = columns[0]
-            if not len(part):
-                continue
-            other = np.flatnonzero(part != part[-1])
-            cut = int(other[-1]) + 1 if len(other) else 0
-            if cut or held and held[-1][0][-1] != part[0]:  # a group has ended
-                yield from done([*held, tuple(c[:cut] for c in columns)])
-                held = []
-            held.append(tuple(c[cut:] for c in columns))
-        yield from done(held)
+            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if held and bucket != last:
+                    yield found(held)
+                    held = []
+                last = bucket
+                held.append(blob.as_buffer())
+        if held:
+            yield found(held)
 
     return rows.mapInArrow(work, PAIR)
 
 
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The later lines (x_key, x_bits) of pairs whose full sets reach the threshold."""
-    sides = [pairs.select(F.col(f"{s}_key").alias("key"), F.col(f"{s}_bits").alias("bits")) for s in "xy"]
-    needed = bit_filter(sides[0].union(sides[1]).select(F.xxhash64("key", "bits")))
+    """The later lines (doc, line) of pairs whose full sets reach the threshold."""
+    pairs = pairs.select("doc", "line", "y_doc", "y_line").distinct()
+    wanted = needed(pairs.select("doc", "line").union(pairs.select("y_doc", "y_line")))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(passing(needed, batch.column("h"))).select(["key", "bits", "words"])
+            yield batch.filter(passing(wanted, batch.column("h"))).select(["doc", "line", "words"])
 
-    sets = lines.where("n > 3 and octet_length(words) > 0").select("key", "bits", "words", F.xxhash64("key", "bits").alias("h"))
-    sets = stored(sets.mapInArrow(some, "key long, bits long, words binary").groupBy("key", "bits").agg(F.first("words").alias("words")), "line-needed")
-    for side in "xy":
-        named = sets.select(F.col("key").alias(f"{side}_key"), F.col("bits").alias(f"{side}_bits"), F.col("words").alias(f"{side}_words"))
-        pairs = pairs.join(named, [f"{side}_key", f"{side}_bits"])
+    sets = joinable(lines).select("doc", "line", "words", F.xxhash64("doc", "line").alias("h")).mapInArrow(some, "doc long, line int, words binary")
+    sets = stored(sets.dropDuplicates(["doc", "line"]), "line-needed")
+    pairs = pairs.join(sets, ["doc", "line"])
+    pairs = pairs.join(sets.select(F.col("doc").alias("y_doc"), F.col("line").alias("y_line"), F.col("words").alias("y_words")), ["y_doc", "y_line"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for k, (x, y) in enumerate(zip(batch.column("x_words"), batch.column("y_words"), strict=True)):
+            for k, (x, y) in enumerate(zip(batch.column("words"), batch.column("y_words"), strict=True)):
                 a, b = unpack(x.as_py()), unpack(y.as_py())
                 shared = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
                 if 100 * shared >= THRESHOLD * (len(a) + len(b) - shared):
                     keep.append(k)
-            yield batch.select(["x_key", "x_bits"]).take(pa.array(keep, pa.int64()))
+            yield batch.select(["doc", "line"]).take(pa.array(keep, pa.int64()))
+
+    return pairs.select("doc", "line", "words", "y_words").mapInArrow(work, "doc long, line int").distinct()
+
 
-    return pairs.select("x_key", "x_bits", "x_words", "y_words").mapInArrow(work, "x_key long, x_bits long").distinct()
+def asked_words(lines: DataFrame, asking: Broadcast, counts: Broadcast) -> Broadcast:
+    """A bit filter of the rarest words of the lines that ask."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.frombuffer(counts.value, np.uint32)
+        for batch in batches:
+            batch = batch.filter(passing(asking, batch.column("h")))
+            for at in range(0, batch.num_rows, 5000):
+                words, _, _ = prefixes(batch.slice(at, 5000), often)
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(words).view(np.int64))], ["word"])
+
+    return bit_filter(joinable(lines).select("n", "words", F.xxhash64("doc", "line").alias("h")).mapInArrow(work, "word long"))
 
 
 def matched(lines: DataFrame) -> DataFrame:
-    """(key, bits) of the distinct lines that an earlier, different line matches."""
-    counts = lines.sparkSession.sparkContext.broadcast(rarity(lines).tobytes())  # COUNTERS of 4 bytes
-    release(lines.sparkSession)
-    rows = prefix_rows(lines, counts)
-    pairs = stored(candidate_pairs(rows, FIRST), "line-pairs")
-    release(lines.sparkSession)
-    found = stored(verified(pairs.drop("more").distinct(), lines), "line-found")
-    unsure = pairs.where("more").select("x_key", "x_bits").distinct().join(found, ["x_key", "x_bits"], "left_anti")
-    unsure = stored(unsure, "line-unsure")
+    """(doc, line) of the lines that an earlier, different line matches; of equal lines some."""
+    spark = lines.sparkSession
+    counts = spark.sparkContext.broadcast(rarity(lines).tobytes())  # COUNTERS of 4 bytes
+    total = joinable(lines).select(F.expr(f"sum(n * {100 - THRESHOLD}L div 100 + 1)")).first()[0] or 0
+    least = max(HEAVY, -(-total // HEAVY_WORDS))
+    heavy = spark.sparkContext.broadcast(heavy_words(lines, counts, least))
+    buckets = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ROWS))
+    pairs = stored(candidate_pairs(prefix_rows(lines, counts, heavy, buckets, least), FIRST), "line-pairs")
+    found = stored(verified(pairs.where("not more"), lines), "line-found")
+    unsure = stored(pairs.where("more").select("doc", "line").distinct().join(found, ["doc", "line"], "left_anti"), "line-unsure")
     if not unsure.isEmpty():  # lines whose first candidates all failed: every candidate of theirs
-        rest = candidate_pairs(rows, 0).drop("more").join(unsure, ["x_key", "x_bits"], "left_semi")
-        found = stored(found.union(verified(stored(rest.distinct(), "line-rest"), lines)).distinct(), "line-found")
-    return found.select(F.col("x_key").alias("key"), F.col("x_bits").alias("bits"))
+        asking = needed(unsure)
+        rows = prefix_rows(lines, counts, heavy, buckets, least, asking, asked_words(lines, asking, counts))
+        rest = stored(candidate_pairs(rows, 0).drop("more").join(unsure, ["doc", "line"], "left_semi"), "line-rest")
+        found = stored(found.union(verified(rest, lines)).distinct(), "line-found")
+    return found
+
+
+def repeated(lines: DataFrame) -> DataFrame:
+    """(doc, line) of the lines that an earlier line equals."""
+    place = F.struct("doc", "line")
+    slim = lines.select("doc", "line", "key", "bits")
+    firsts = stored(slim.groupBy("key", "bits").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last"), "line-firsts")
+    held = bit_filter(firsts.select(F.xxhash64("key", "bits")))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(passing(held, batch.column("h"))).select(["doc", "line", "key", "bits"])
+
+    again = slim.withColumn("h", F.xxhash64("key", "bits")).mapInArrow(some, "doc long, line int, key long, bits long")
+    return again.join(firsts, ["key", "bits"]).where(place != F.col("first")).select("doc", "line")
+
+
+def lines_with_words(text: Column) -> Column:
+    """How many lines of a text have words."""
+    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda s: s.rlike("[^\\x20\\x09-\\x0D]")))
+
+
+def removals(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, dh, removed) of the distinct documents of df that lose lines: dh is the hash of the text, removed the sorted numbers of the lines that go. Stored."""
+    since = mark()
+    docs = df.select(F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("dh"), F.col(text).alias("text"))
+    docs, own = numbered(docs)
+    lines = corpus_lines(docs)
+    gone = matched(lines).union(repeated(lines)).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    names = docs.select("doc_id", "dh", own.alias("doc") if own is not None else "doc").distinct()
+    return result(names.join(gone, "doc").select("doc_id", "dh", "removed"), "line-removals", since)
 
 
 def decisions(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, dh, n_lines, removed) of the distinct documents of df; dh is the hash of the text, removed the sorted numbers of lines that go.
+    """(doc_id, dh, n_lines, removed) of the distinct documents of df with words; dh is the hash of the text, removed the sorted numbers of lines that go.
 
     n_lines counts lines with words. Nulls: a null text has no lines; a null doc_id comes before all others.
     Rows equal in id and text are one document, whose decisions hold for each. Lines without words are never removed.
-    An empty table gives an empty result.
+    An empty table gives an empty result. Columns of df but the two named are not read.
     """
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("dh"), F.col(text).alias("text"))
-    lines = corpus_lines(docs)
-    place = F.struct("doc_id", "line", "dh")
-    slim = lines.select("doc_id", "dh", "line", "key", "bits")
-    firsts = stored(slim.groupBy("key", "bits").agg(F.min(place).alias("first")), "line-firsts")
-    gone = matched(lines).withColumn("gone", F.lit(True))
-    firsts = stored(firsts.join(gone, ["key", "bits"], "left").select("key", "bits", "first", F.coalesce("gone", F.lit(False)).alias("gone")), "line-fates")
-    judged = slim.join(firsts, ["key", "bits"])
-    again = ~place.eqNullSafe(F.col("first"))
-    return judged.groupBy("doc_id", "dh").agg(
-        F.countDistinct("line").alias("n_lines"),
-        F.sort_array(F.collect_set(F.when(again | F.col("gone"), F.col("line")))).alias("removed"),
-    )
-
-
-def judged_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """decisions, stored; the tables that led to them are removed."""
-    since = mark()
-    out = result(decisions(df, doc_id, text), "line-decisions", since)
-    release(df.sparkSession)
-    return out
+    docs = df.select(F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("dh"), lines_with_words(F.col(text)).alias("n_lines")).where("n_lines > 0").distinct()
+    gone = removals(df, doc_id, text)
+    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]) & (docs["dh"] == gone["dh"]), "left")
+    return joined.select(docs["doc_id"], docs["dh"], "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
+
+
+def with_removed(df: DataFrame, into: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """df with a column `into`: the sorted numbers of the lines of a row's text that go, null if none. Every row stays; a column of that name is replaced."""
+    df = df.drop(into)
+    gone = removals(df, doc_id, text).select(F.struct("doc_id", "dh", "removed").alias(held := fresh(df, "_gone")))
+    of = F.col(held)
+    rows = df.join(gone, F.col(doc_id).eqNullSafe(of["doc_id"]) & (_text_hash(F.col(text)) == of["dh"]), "left")
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], of["removed"].alias(into))
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str | None = None) -> DataFrame:
-    """df with the lines that `decisions` removes cut out of `text`, all other columns as they are.
+    """df with the lines that `decisions` removes cut out of `text`, all other columns as they are, whatever their names.
 
     With `removed`, a column of that name tells how many lines went. A document that loses every line it had words in is
-    left out, unless `removed` is given; one that had none stays.
+    left out, unless `removed` is given; one that had none stays. Nulls, empty texts, repeated rows and empty tables are as in `decisions`;
+    repeated rows all stay, each without the lines that go.
     """
-    dh, n, gone = (fresh(df, c) for c in ("_dh", "_lines", "_removed"))
-    judged = judged_documents(df, doc_id, text)
-    judged = judged.select(F.col("doc_id").alias(f"{dh}_id"), F.col("dh").alias(f"{dh}_hash"), F.col("n_lines").alias(n), F.col("removed").alias(gone))
-    rows = df.withColumn(dh, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = rows.join(judged, F.col(doc_id).eqNullSafe(F.col(f"{dh}_id")) & (F.col(dh) == F.col(f"{dh}_hash")), "left")
-    lines = F.split(F.col(text), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda s, k: ~F.array_contains(F.col(gone), k)), "\n")
+    gone = fresh(df, "_removed")
+    rows = with_removed(df, gone, doc_id, text)
+    kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda s, k: ~F.array_contains(F.col(gone), k)), "\n")
     lost = F.coalesce(F.size(F.col(gone)), F.lit(0))
-    out = rows.withColumn(text, F.when(lost > 0, kept).otherwise(F.col(text)))
     if removed is None:
-        out = out.where((lost == 0) | (lost < F.col(n)))
-        return out.select(*[F.col(f"`{c}`") for c in df.columns])
-    return out.withColumn(removed, lost.cast("long")).select(*[F.col(f"`{c}`") for c in df.columns if c != removed], removed)
+        rows = rows.where(F.col(gone).isNull() | (lost < lines_with_words(F.col(text))))
+    cut = F.when(F.col(gone).isNotNull(), kept).otherwise(F.col(text)).alias(text)
+    out = [cut if c == text else F.col(f"`{c}`") for c in df.columns if c != removed]
+    return rows.select(*out, *([lost.cast("long").alias(removed)] if removed else []))

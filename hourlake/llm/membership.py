@@ -27,6 +27,12 @@ def sparse(values: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(places, pa.binary()), pa.array(parts, pa.binary())], ["chunk", "at", "value"])
 
 
+def _added(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The sum, which stops at the most that the type holds."""
+    total = left + right
+    return np.where(total < left, np.iinfo(left.dtype).max, total)
+
+
 def merged(parts: DataFrame, total: int, dtype: str, add: bool) -> np.ndarray:
     """Rows of SPARSE joined by sum or by or on the executors, then gathered: `total` values, whatever the input."""
     width = total // CHUNKS
@@ -37,7 +43,7 @@ def merged(parts: DataFrame, total: int, dtype: str, add: bool) -> np.ndarray:
             for chunk, at, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 into = held.setdefault(chunk, np.zeros(width, dtype))
                 at, value = np.frombuffer(at, np.uint32), np.frombuffer(value, dtype)
-                into[at] = into[at] + value if add else into[at] | value
+                into[at] = _added(into[at], value) if add else into[at] | value
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], ["chunk", "value"])
 
     out = np.zeros(total, dtype)

@@ -67,14 +67,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    judged = line_dedup.judged_documents(docs)
-    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("dh"))
-    joined = rows.join(judged, rows["doc_id"].eqNullSafe(judged["doc_id"]) & (rows["dh"] == judged["dh"]), "left")
+    rows = line_dedup.with_removed(read(spark, sf_dir, "documents", "doc_id", "text"), "removed")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
-    return joined.select(
-        rows["doc_id"],
-        F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
+    return rows.select(
+        "doc_id",
+        line_dedup.lines_with_words(F.col("text")).cast("long").alias("n_lines"),
         F.size(removed).cast("long").alias("n_removed"),
         F.array_join(removed.cast("array<string>"), ",").alias("removed_lines"),
     )

@@ -155,7 +155,7 @@ def brute_lines(rows):
 
 
 def test_line_dedup(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "BLOCK", 7)
+    monkeypatch.setattr(line_dedup, "HEAVY", 7)
     monkeypatch.setattr(line_dedup, "FIRST", 1)
     rows = corpus(2)
     df = documents(spark, rows)
