@@ -2,9 +2,9 @@
 
 Every document gets an exponential key scaled by its quality weight. A source whose target exceeds
 its size is first taken in complete epochs; for the rest its documents are ordered by key, their
-sizes prefix-summed, and those within the token budget taken. The prefix sums run in two levels,
-slices of a source's keys and rows of a slice, about the square root of the source's documents each,
-so that one source with a third of all rows is still dealt over many tasks.
+sizes prefix-summed, and those within the token budget taken. The prefix sums narrow in on the key at which the
+budget ends: sums over slices of the keys find the slice that holds it, sums over parts of that slice the part, until few
+documents are left to sort. All others are taken or not by their key alone.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ MOST_EPOCHS = 3
 #: Words from which a document has the full default quality weight of 1, and the least such weight.
 FULL_WORDS = 200
 LEAST_QUALITY = 0.05
+#: Bits of a key's number and of its whole part (larger keys share the largest number), bits that a round of narrowing in looks at, and rows of a
+#: source that may be sorted together.
+KEY_BITS, KEY_LIMIT_BITS, STEP_BITS, FEW_ROWS = 52, 10, 13, 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -77,50 +80,94 @@ def mix(
     of positive weights. A document is taken `times` times, never more than MOST_EPOCHS.
 
     Nulls: a null text has size 0; null sources form one source, last in order; a null doc_id is hashed as
-    the empty id. Documents of size 0 take no words. Ties of keys (repeated rows) are broken by id and
-    size; repeated rows are documents of their own. An empty table gives an empty result. All columns of df
+    the empty id. Documents of size 0 take no words. Ties of keys are broken by id and size; repeated rows
+    are documents of their own, and where the budget ends among them as many as fit are taken. An empty table gives an empty result. All columns of df
     pass through, whatever their names; an existing column named `prefix` is replaced.
     """
     df = df.drop(prefix)
-    key, n, part, name = (fresh(df, c) for c in ("_key", "_size", "_slice", "_source"))
+    key, n, name, facts = (fresh(df, c) for c in ("_key", "_size", "_source", "_facts"))
     counted = F.coalesce(F.col(size), F.lit(0)).cast("long") if size else word_count(F.col(text))
     rows = df.withColumn(n, counted).withColumn(name, F.col(source))
     rows = rows.withColumn(key, exponential_key(F.col(doc_id), quality if quality is not None else default_quality(F.col(n)), seed))
 
-    slim = stored(rows.select(F.col(name).alias("source"), F.col(n).alias("size"), F.col(key).alias("key")), "mix-keys")
-    sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
-    targets = source_targets(sizes)
+    slim = stored(rows.select(F.col(name).alias("source"), F.col(n).alias("size"), F.col(key).alias("key"), F.col(doc_id).alias("id")), "mix-keys")
+    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     targets = targets.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    targets = stored(targets.withColumn("slices", F.ceil(F.sqrt("docs")).cast("long")), "mix-targets")
-
-    def slice_of(slices: Column, k: Column) -> Column:  # monotone in the key, even where weights are 1
-        return F.least(slices - 1, F.floor(slices * (1 - F.exp(-k))))
-
-    sliced = slim.join(targets.select("source", "slices"), slim["source"].eqNullSafe(targets["source"]))
-    sums = sliced.groupBy(slim["source"].alias("source"), slice_of(F.col("slices"), F.col("key")).alias("slice")).agg(F.sum("size").alias("words"))
-    upto = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    bases = stored(sums.select("source", "slice", F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("base")), "mix-slices")
-
-    facts = targets.select(F.struct("source", "source_size", "target", "epochs", "rest", "slices").alias(part))
-    with_facts = rows.join(facts, F.col(name).eqNullSafe(F.col(part)["source"]))
-    with_facts = with_facts.withColumn(part, F.struct(F.col(part).alias("of"), slice_of(F.col(part)["slices"], F.col(key)).alias("slice")))
-    based = fresh(with_facts, "_base")
-    bases = bases.select(F.struct("source", "slice", "base").alias(based))
-    with_base = with_facts.join(bases, F.col(name).eqNullSafe(F.col(based)["source"]) & (F.col(part)["slice"] == F.col(based)["slice"]))
-    order = Window.partitionBy(name, F.col(part)["slice"]).orderBy(key, doc_id, n)
-    before = F.coalesce(F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col(based)["base"]
-    of = F.col(part)["of"]
-    times = of["epochs"] + (before + F.col(n) * 0.5 <= of["rest"]).cast("long")
-    times = F.when(F.col(n) > 0, F.least(times, F.lit(MOST_EPOCHS))).otherwise(0).cast("long")
-    made = fresh(with_base, "_times")
-    out = with_base.withColumn(made, times)
-    fields = F.struct(F.col(n).alias("size"), of["source_size"].alias("source_size"), of["target"].alias("target"), (F.col(made) * F.col(n)).alias("taken"), F.col(made).alias("times"))
-    return out.withColumn(prefix, fields).select(*[F.col(f"`{c}`") for c in df.columns], prefix)
+    targets = stored(targets, "mix-targets")
+    cuts = stored(_cuts(slim, targets), "mix-cuts")
+
+    with_facts = rows.join(cuts.select(F.struct("*").alias(facts)), F.col(name).eqNullSafe(F.col(facts)["source"]))
+    of = F.col(facts)
+    at_cut = F.struct(F.col(key).alias("key"), F.col(doc_id).alias("id"), F.col(n).alias("size"))
+    tied = F.coalesce((at_cut == of["cut"]) & (of["ties"] > of["ties_taken"]), F.lit(False))
+    within = of["whole"] | F.coalesce(at_cut <= of["cut"], F.lit(False))
+
+    def taken(some: DataFrame, within: Column) -> DataFrame:
+        times = F.when(F.col(n) > 0, F.least(of["epochs"] + within.cast("long"), F.lit(MOST_EPOCHS))).otherwise(0).cast("long")
+        fields = F.struct(F.col(n).alias("size"), of["source_size"].alias("source_size"), of["target"].alias("target"), (times * F.col(n)).alias("taken"), times.alias("times"))
+        return some.select(*[F.col(f"`{c}`") for c in df.columns], fields.alias(prefix))
+
+    out = taken(with_facts.where(~tied), within)
+    if not cuts.where("ties > ties_taken").isEmpty():  # repeated rows of which some are taken: these alone are numbered
+        place = fresh(with_facts, "_place")
+        numbers = F.row_number().over(Window.partitionBy(name, key, doc_id, n).orderBy(F.lit(1)))
+        out = out.union(taken(with_facts.where(tied).withColumn(place, numbers), F.col(place) <= of["ties_taken"]))
+    return out
+
+
+def _cuts(slim: DataFrame, targets: DataFrame) -> DataFrame:
+    """targets with the last document that the rest of each source's budget takes: (cut: key, id, size), or `whole` if it takes all.
+
+    ties are the rows like it, ties_taken how many of them the budget takes. The keys are mapped to whole numbers of KEY_BITS bits in their order; a
+    round sums over the next STEP_BITS of those that begin like the cut does, on the executors, until at most FEW_ROWS rows
+    of each source are left or no bits are.
+    """
+    scale = float(1 << KEY_BITS - KEY_LIMIT_BITS)  # a power of two, so that numbers keep the order of keys exactly
+    number = F.least(F.floor(F.least(F.col("key"), F.lit(float(1 << KEY_LIMIT_BITS))) * scale).cast("long"), F.lit((1 << KEY_BITS) - 1))
+    rows = slim.where("size > 0").withColumn("number", number)
+    # at: the first bits of the cut's number; base: words of all rows before those; left: rows that begin so, null if the budget takes all.
+    bounds = targets.select(F.col("source").alias("of"), "rest", F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("base"))
+    shift = KEY_BITS
+    while True:
+        inside = rows.join(bounds, F.col("source").eqNullSafe(F.col("of"))).where(F.shiftright("number", shift) == F.col("at"))
+        shift -= STEP_BITS
+        sums = inside.groupBy("of", "rest", "base", F.shiftright("number", shift).alias("at")).agg(F.sum("size").alias("words"), F.count("*").alias("left"))
+        upto = F.col("base") + F.sum("words").over(Window.partitionBy("of").orderBy("at"))
+        sums = sums.withColumn("upto", upto).where("upto > rest")  # slices that end beyond the budget; the first holds its end
+        first = F.row_number().over(Window.partitionBy("of").orderBy("at"))
+        bounds = sums.withColumn("k", first).where("k = 1").select("of", "rest", "at", (F.col("upto") - F.col("words")).alias("base"), "left")
+        bounds = stored(bounds, "mix-bounds")
+        most = bounds.agg(F.max("left")).first()[0]
+        if (most or 0) <= FEW_ROWS or shift < STEP_BITS:
+            break
+        bounds = bounds.drop("left")
+    inside = rows.join(bounds, F.col("source").eqNullSafe(F.col("of")))
+    inside = inside.where(F.shiftright("number", shift) == F.col("at")).withColumn("row", F.struct("key", "id", "size"))
+    order = Window.partitionBy("of").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("base") + F.coalesce(F.sum("size").over(order), F.lit(0))
+    judged = inside.withColumn("fits", before + F.col("size") * 0.5 <= F.col("rest"))
+    same = judged.groupBy("of", "row").agg(F.count("*").alias("ties"), F.count_if("fits").alias("ties_taken"))
+    last = same.where("ties_taken > 0").groupBy("of").agg(F.max(F.struct("row", "ties", "ties_taken")).alias("last"))
+    found = bounds.select("of", "at").join(last.withColumnRenamed("of", "of_last"), F.col("of").eqNullSafe(F.col("of_last")), "left")
+    none = found.where("last is null").select("of", "at")
+    # The last row before the slice, for the few sources where no row of it fits.
+    before = rows.join(none, F.col("source").eqNullSafe(F.col("of"))).where(F.shiftright("number", shift) < F.col("at"))
+    before = before.groupBy("of").agg(F.max(F.struct("key", "id", "size")).alias("cut"))
+    cut = found.where("last is not null").select("of", F.col("last.row").alias("cut"), F.col("last.ties").alias("ties"), F.col("last.ties_taken").alias("ties_taken"))
+    cut = cut.union(before.select("of", "cut", F.lit(0).cast("long"), F.lit(0).cast("long")))
+    out = targets.join(bounds.select(F.col("of").alias("partial")).withColumn("some", F.lit(True)), F.col("source").eqNullSafe(F.col("partial")), "left")
+    out = out.join(cut, F.col("source").eqNullSafe(F.col("of")), "left")
+    return out.select("source", "source_size", "target", "epochs", F.col("some").isNull().alias("whole"), "cut", F.coalesce("ties", F.lit(0)).alias("ties"), F.coalesce("ties_taken", F.lit(0)).alias("ties_taken"))
 
 
 def mixed_documents(df: DataFrame, **options) -> DataFrame:
-    """The documents that the mix takes, each as often as it takes it, with df's columns."""
-    taken = mix(df, prefix="_mix", **options)
-    copies = taken.where(F.col("_mix.times") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix.times"))))
+    """The documents that the mix takes, each as often as it takes it, with df's columns, whatever their names.
+
+    Nulls, ties and repeated rows are as in `mix`; documents without words are never taken; an empty table gives an empty result.
+    """
+    made = fresh(df, "_mix")
+    taken = mix(df, prefix=made, **options)
+    copy = fresh(taken, "_copy")
+    copies = taken.where(F.col(made)["times"] > 0).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(made)["times"])))
     return copies.select(*[F.col(f"`{c}`") for c in df.columns])

@@ -207,6 +207,25 @@ def test_mixing(spark):
     assert copies.count() == sum(r["times"] for r in got) and copies.columns == documents(spark, rows).columns
 
 
+@pytest.mark.parametrize("few", [50_000, 1])
+def test_mixing_narrows_in_on_the_cut(spark, monkeypatch, few):
+    """Whatever the rows that may be sorted together, and with many repeated rows, the mix is that of one running sum."""
+    import duckdb
+    import pandas as pd
+
+    monkeypatch.setattr(mixing, "FEW_ROWS", few)
+    rnd = random.Random(few)
+    rows = [(k if rnd.random() < 0.9 else rnd.randrange(30), " ".join(["x"] * rnd.choice([0, 1, 1, 2, 3, 10, 50])), rnd.choice(["a", "b", "c", None])) for k in range(1500)]
+    rows += [(7, "w w w", "e")] * 300 + [(8, "w w w", "f")] * 1500
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken").collect()
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "source"]))
+    want = con.execute(queries.ORACLE["op3_mixing"]).fetchall()
+    rounded = lambda out: sorted((*r[:3], round(r[3], 6), r[4]) for r in out)
+    assert rounded(got) == rounded(want)
+
+
 def test_licences(spark):
     rows = [
         (1, "x\nReleased under the MIT License.\ny", "a"),
