@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
-import gc
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,16 +15,21 @@ from pyspark.sql import functions as F
 #: A word, wherever a query counts or shingles words: a run of anything but ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
+#: The setting by which Spark removes an execution's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _tables: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as spark.checkpoint.dir names it.
 
-    Where the setting is absent (tests on one machine) a temporary folder takes its place.
+    Where the setting is absent and all runs on this machine (tests) a temporary folder takes its place. On a cluster that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="hourlake-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -51,10 +58,25 @@ def _drop_all() -> None:
             return
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files: Spark removes them as each SQL execution ends. For executions whose result is written or collected."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with tidy(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -68,12 +90,6 @@ def result(df: DataFrame, name: str, since: int) -> DataFrame:
     return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let executors drop the shuffle files of plans that nothing holds any more, now and not when the driver next collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def mark() -> int:
     """How many tables of the shared folder there are so far."""
     return len(_tables)

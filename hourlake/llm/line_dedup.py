@@ -17,7 +17,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import fresh, mark, result, stored
+from hourlake.llm.common import fresh, mark, result, stored, tidy
 from hourlake.llm.membership import SPARSE, bit_filter, merged, passing, sparse
 from hourlake.llm.words import BUFFER, buffer_words, mixed, word_hashes
 
@@ -201,8 +201,9 @@ def heavy_words(lines: DataFrame, counts: Broadcast, least: int) -> tuple[np.nda
                 words, n = np.unique(words, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    found = joinable(lines).select("n", "words").mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > least)
-    rows = sorted((r["word"], r["n"]) for r in found.collect())  # fewer than HEAVY_WORDS, as `least` is at least their share of all rows
+    with tidy(lines.sparkSession):
+        found = joinable(lines).select("n", "words").mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > least)
+        rows = sorted((r["word"], r["n"]) for r in found.collect())  # fewer than HEAVY_WORDS, as `least` is at least their share of all rows
     return np.array([w for w, _ in rows], np.uint64), np.array([-(-n // least) for _, n in rows], np.int64)
 
 
@@ -413,7 +414,7 @@ def candidate_pairs(rows: DataFrame, first: int) -> DataFrame:
 
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """The later lines (doc, line) of pairs whose full sets reach the threshold."""
-    pairs = pairs.select("doc", "line", "y_doc", "y_line").distinct()
+    pairs = stored(pairs.select("doc", "line", "y_doc", "y_line"), "line-checked")
     wanted = needed(pairs.select("doc", "line").union(pairs.select("y_doc", "y_line")))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -421,7 +422,6 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
             yield batch.filter(passing(wanted, batch.column("h"))).select(["doc", "line", "words"])
 
     sets = joinable(lines).select("doc", "line", "words", F.xxhash64("doc", "line").alias("h")).mapInArrow(some, "doc long, line int, words binary")
-    sets = stored(sets.dropDuplicates(["doc", "line"]), "line-needed")
     pairs = pairs.join(sets, ["doc", "line"])
     pairs = pairs.join(sets.select(F.col("doc").alias("y_doc"), F.col("line").alias("y_line"), F.col("words").alias("y_words")), ["y_doc", "y_line"])
 
@@ -452,22 +452,27 @@ def asked_words(lines: DataFrame, asking: Broadcast, counts: Broadcast) -> Broad
     return bit_filter(joinable(lines).select("n", "words", F.xxhash64("doc", "line").alias("h")).mapInArrow(work, "word long"))
 
 
-def matched(lines: DataFrame) -> DataFrame:
-    """(doc, line) of the lines that an earlier, different line matches; of equal lines some."""
-    spark = lines.sparkSession
+def matched(lines: DataFrame, again: DataFrame) -> DataFrame:
+    """(doc, line) of the lines that an earlier, different line matches, without those of `again`."""
+    spark, name = lines.sparkSession, ["doc", "line"]
     counts = spark.sparkContext.broadcast(rarity(lines).tobytes())  # COUNTERS of 4 bytes
     total = joinable(lines).select(F.expr(f"sum(n * {100 - THRESHOLD}L div 100 + 1)")).first()[0] or 0
     least = max(HEAVY, -(-total // HEAVY_WORDS))
     heavy = spark.sparkContext.broadcast(heavy_words(lines, counts, least))
     buckets = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ROWS))
     pairs = stored(candidate_pairs(prefix_rows(lines, counts, heavy, buckets, least), FIRST), "line-pairs")
-    found = stored(verified(pairs.where("not more"), lines), "line-found")
-    unsure = stored(pairs.where("more").select("doc", "line").distinct().join(found, ["doc", "line"], "left_anti"), "line-unsure")
+    tallied = pairs.where("not more").join(again, name, "left_anti").groupBy(*name, "y_doc", "y_line").agg(F.count("*").alias("words"))
+    tallied = stored(tallied, "line-tallied")
+    # Of each line's candidates first the one that shares most rare words, the earliest of these; the others where that fails.
+    best = tallied.groupBy(*name).agg(F.min(F.struct((-F.col("words")).alias("words"), "y_doc", "y_line")).alias("y")).select(*name, "y.y_doc", "y.y_line")
+    found = stored(verified(best, lines), "line-found")
+    found = stored(found.union(verified(tallied.join(found, name, "left_anti"), lines)), "line-found")
+    unsure = stored(pairs.where("more").select(*name).distinct().join(found, name, "left_anti").join(again, name, "left_anti"), "line-unsure")
     if not unsure.isEmpty():  # lines whose first candidates all failed: every candidate of theirs
         asking = needed(unsure)
         rows = prefix_rows(lines, counts, heavy, buckets, least, asking, asked_words(lines, asking, counts))
-        rest = stored(candidate_pairs(rows, 0).drop("more").join(unsure, ["doc", "line"], "left_semi"), "line-rest")
-        found = stored(found.union(verified(rest, lines)).distinct(), "line-found")
+        rest = candidate_pairs(rows, 0).drop("more").join(unsure, name, "left_semi").distinct()
+        found = stored(found.union(verified(rest, lines)), "line-found")
     return found
 
 
@@ -497,7 +502,8 @@ def removals(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     docs = df.select(F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("dh"), F.col(text).alias("text"))
     docs, own = numbered(docs)
     lines = corpus_lines(docs)
-    gone = matched(lines).union(repeated(lines)).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    again = stored(repeated(lines).distinct(), "line-repeated")
+    gone = matched(lines, again).union(again).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("removed"))
     names = docs.select("doc_id", "dh", own.alias("doc") if own is not None else "doc").distinct()
     return result(names.join(gone, "doc").select("doc_id", "dh", "removed"), "line-removals", since)
 

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 
+from hourlake.llm.common import tidy
+
 CHUNKS = 256
 #: Bits of a filter.
 FILTER = 1 << 25
@@ -47,7 +49,9 @@ def merged(parts: DataFrame, total: int, dtype: str, add: bool) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())], ["chunk", "value"])
 
     out = np.zeros(total, dtype)
-    for row in parts.repartition("chunk").mapInArrow(work, "chunk int, value binary").collect():
+    with tidy(parts.sparkSession):
+        rows = parts.repartition("chunk").mapInArrow(work, "chunk int, value binary").collect()
+    for row in rows:
         out[row["chunk"] * width : (row["chunk"] + 1) * width] = np.frombuffer(row["value"], dtype)
     return out
 
