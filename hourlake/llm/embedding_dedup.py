@@ -2,7 +2,8 @@
 
 Centroids are fitted to a bounded sample; every vector has the cell of its nearest centroid and visits each
 cell whose bisector with its own is near enough that a linked vector may lie beyond it, so that no link
-is lost at a border. Inside a cell, vectors of one label are compared by blocked cosine products.
+is lost at a border. Cells that hold many rows are parted in the same way by centroids of their own. Inside a cell, vectors of
+one label are compared by blocked cosine products.
 """
 
 from __future__ import annotations
@@ -14,13 +15,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import stored
+from hourlake.llm.common import stored, tidy
 from hourlake.llm.graph import components
-from hourlake.llm.minhash import _in_blocks, _with_roots, forest, groups
+from hourlake.llm.minhash import _with_roots, groups
 from hourlake.llm.vectors import matrix, unit, valid
 
-#: Rows that centroids are fitted on (in the order of a hash), vectors for each cell, most cells, rounds of k-means.
-SAMPLE, CELL_ROWS, MOST_CELLS, ROUNDS = 20_000, 1000, 1024, 8
+#: Vectors that a set of centroids is fitted on, about (chosen by a hash), and rounds of k-means.
+SAMPLE, ROUNDS = 20_000, 8
+#: Vectors for each cell; cells at least and at most of a set of centroids; rows from which a cell is parted again.
+CELL_ROWS, LEAST_CELLS, MOST_CELLS, PARTED = 4096, 8, 1024, 32_768
+#: Numbers of all centroids of parted cells together, which bounds what is broadcast (4 bytes each).
+CENTROID_NUMBERS = 1 << 23
+#: Rows of a block: groups are compared in pairs of blocks.
+BLOCK = 1024
 THRESHOLD = 0.98
 
 
@@ -42,23 +49,35 @@ def cells_of(rows: np.ndarray, centres: np.ndarray, reach: float) -> tuple[np.nd
     near = rows @ centres.T
     home = near.argmax(1)
     apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
-    return home, near[np.arange(len(rows)), home][:, None] - near <= reach * apart[home] + 1e-9
+    return home, near[np.arange(len(rows)), home][:, None] - near <= reach * apart[home] + 1e-6
 
 
-def links_of(rows: np.ndarray, home: np.ndarray, visits: np.ndarray, cell: int, threshold: float) -> np.ndarray:
-    """Which pairs of rows are linked and counted in this cell: in the lesser of their two cells where both are there, else in the other."""
-    hit = rows @ rows.T >= threshold
+def counted(home: np.ndarray, visits: np.ndarray, cell: int) -> np.ndarray:
+    """Which pairs of a cell's rows count here: in the lesser of their two cells where both are there, else in the other."""
     here = home == cell
-    once = np.zeros_like(hit)
+    once = np.zeros((len(home), len(home)), bool)
     once[np.ix_(here, here)] = True
     x, y = np.flatnonzero(here), np.flatnonzero(~here)
     if len(x) and len(y):
         mixed = (cell < home[y])[None, :] | ~visits[np.ix_(x, home[y])]
         once[np.ix_(x, y)] = mixed
         once[np.ix_(y, x)] = mixed.T
-    hit &= once
-    np.fill_diagonal(hit, False)
-    return hit
+    return once
+
+
+def spanning(hit: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of a symmetric matrix of links."""
+    left, out = hit.any(1), []
+    for start in np.flatnonzero(left).tolist():
+        todo = [start] if left[start] else []
+        left[start] = False
+        while todo:
+            at = todo.pop()
+            new = np.flatnonzero(hit[at] & left).tolist()
+            left[new] = False
+            out += [(at, k) for k in new]
+            todo += new
+    return out
 
 
 def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
@@ -89,61 +108,124 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, vec_id: str = "
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _centres(classes: DataFrame) -> dict[int, np.ndarray]:
-    """Centroids for each vector length, fitted on the driver to at most SAMPLE vectors of the most frequent length."""
-    sizes = classes.groupBy("dims").count().orderBy(F.desc("count"), "dims").limit(1).collect()
-    if not sizes:
-        return {}
-    dims, n = sizes[0]
-    k = int(min(MOST_CELLS, max(1, -(-n // CELL_ROWS))))
-    sample = classes.where(F.col("dims") == dims).orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("v").toArrow().column(0)
-    return {dims: k_means(unit(matrix([x.as_py() for x in sample])), k)} if k > 1 else {}
+def _fitted(rows: DataFrame, keys: list[str]) -> dict[tuple, np.ndarray]:
+    """Centroids for each group of rows (*keys, n, cells, node, unit), fitted on executors to about SAMPLE rows of each; n is a group's rows."""
+    sample = rows.where(F.pmod(F.xxhash64("node"), F.col("n")) < SAMPLE).select(*keys, "cells", "node", "unit")
+    sample = sample.repartition(*keys).sortWithinPartitions(*keys, "node").select(*keys, "cells", "unit")
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in groups(batches, len(keys)):
+            units = np.frombuffer(b"".join(g["unit"]), np.float64).reshape(len(g["unit"]), -1)
+            k = min(MOST_CELLS, max(LEAST_CELLS, g["cells"][0]))
+            centres = k_means(units, k).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array([g[c][0]], pa.int32()) for c in keys] + [pa.array([centres.tobytes()], pa.binary())], [*keys, "centres"])
 
-def _compared(classes: DataFrame, threshold: float) -> DataFrame:
-    """Rows (a, null, links) with links found for node a, and (a, b, null) of a spanning forest of the links, for each pair of blocks."""
-    centres = _centres(classes)
-    # Two vectors with this cosine are so far apart; one of them is within half of it of the bisector between their cells.
-    reach = float(np.sqrt(max(2 - 2 * threshold, 0))) / 2 + 1e-6
+    with tidy(rows.sparkSession):
+        made = sample.mapInArrow(work, ", ".join(f"{c} int" for c in keys) + ", centres binary").collect()
+    return {tuple(r[c] for c in keys): np.frombuffer(r["centres"], np.float32).reshape(-1, r["dims"]).astype(np.float64) for r in made}
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+_PLACED = "cell int, home int, visits binary"
+
+
+def _placed(rows: DataFrame, centres: dict[tuple, np.ndarray], keys: list[str], level: int, reach: float) -> DataFrame:
+    """rows, each once for every cell that it visits, with cell, home and visits (a bit for each cell) of a level; cell 0 alone where no centroids are fitted."""
+    held = rows.sparkSession.sparkContext.broadcast({k: v.astype(np.float32) for k, v in centres.items()})
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2000):
+                batch = whole.slice(start, 2000)
+                names = list(zip(*(batch.column(c).to_pylist() for c in keys), strict=True))
+                units = batch.column("unit")
+                for name in set(names):
+                    at = np.array([k for k, x in enumerate(names) if x == name])
+                    if name in held.value:
+                        rows = np.frombuffer(b"".join(units.take(pa.array(at)).to_pylist()), np.float64).reshape(len(at), -1)
+                        home, visits = cells_of(rows, held.value[name].astype(np.float64), reach)
+                    else:
+                        home, visits = np.zeros(len(at), int), np.ones((len(at), 1), bool)
+                    bits = [b.tobytes() for b in np.packbits(visits, axis=1)]
+                    row, cell = np.nonzero(visits)
+                    more = [pa.array(cell.astype(np.int32)), pa.array(home[row].astype(np.int32)), pa.array([bits[k] for k in row], pa.binary())]
+                    out = batch.take(pa.array(at[row]))
+                    yield pa.RecordBatch.from_arrays([*out.columns, *more], [*out.schema.names, f"cell{level}", f"home{level}", f"visits{level}"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(work, f"{kinds}, " + ", ".join(f"{n}{level} {k}" for n, k in (c.split() for c in _PLACED.split(", "))))
+
+
+def _units(classes: DataFrame) -> DataFrame:
+    """classes with their vectors scaled to length 1, in double precision, as bytes."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, labels, counts, all_dims = (batch.column(c).to_pylist() for c in ("node", "label", "copies", "dims"))
-            for dims in set(all_dims):
+            names = ["node", "label", "copies", "dims"]
+            packed: list = [None] * batch.num_rows
+            for dims in set(all_dims := batch.column("dims").to_pylist()):
                 at = [k for k, d in enumerate(all_dims) if d == dims]
-                rows = unit(matrix([batch.column("v")[k].as_py() for k in at]))
-                home, visits = cells_of(rows, centres[dims], reach) if dims in centres else (np.zeros(len(rows), int), np.ones((len(rows), 1), bool))
-                bits = np.packbits(visits, axis=1)
-                row, cell = np.nonzero(visits)
-                of = [at[k] for k in row]
-                columns = [pa.array([nodes[k] for k in of]), pa.array([labels[k] for k in of], batch.schema.field("label").type), pa.array([counts[k] for k in of], pa.int64()), pa.array([dims] * len(of), pa.int32())]
-                columns += [pa.array(cell.astype(np.int32)), pa.array(home[row].astype(np.int32)), pa.array([bits[k].tobytes() for k in row], pa.binary()), pa.array([rows[k].tobytes() for k in row], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "label", "copies", "dims", "cell", "home", "visits", "unit"])
+                for k, row in zip(at, unit(matrix([batch.column("v")[k].as_py() for k in at])), strict=True):
+                    packed[k] = row.tobytes()
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(packed, pa.binary())], [*names, "unit"])
 
     kind = classes.schema["label"].dataType.simpleString()
-    placed = stored(classes.select("node", "label", "copies", "dims", "v").mapInArrow(place, f"node string, label {kind}, copies long, dims int, cell int, home int, visits binary, unit binary"), "vector-cells")
-    sizes = stored(placed.groupBy("label", "dims", "cell").agg(F.count("*").alias("n")).where("n > 1"), "vector-sizes")
-    rows = _in_blocks(placed.join(sizes, ["label", "dims", "cell"]), "cell", "n", "node")
-    rows = rows.select("label", "dims", "cell", "i", "j", "block", "node", "copies", "home", "visits", "unit")
-    keys = ["label", "dims", "cell", "i", "j"]
+    return stored(classes.select("node", "label", "copies", "dims", "v").mapInArrow(work, f"node string, label {kind}, copies long, dims int, unit binary"), "vector-units")
+
+
+def _in_cells(units: DataFrame, reach: float) -> DataFrame:
+    """units in the cells that they visit, of two levels, stored."""
+    cells = F.ceil(F.col("n") / CELL_ROWS).cast("long")
+    sizes = stored(units.groupBy("dims").agg(F.count("*").alias("n")).withColumn("cells", cells), "vector-dims")
+    placed = stored(_placed(units, _fitted(units.join(sizes, "dims"), ["dims"]), ["dims"], 1, reach), "vector-cells")
+    keys = ["dims", "cell1"]
+    large = stored(placed.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > PARTED).withColumn("cells", cells), "vector-large")
+    numbers = large.agg(F.sum(F.col("dims") * F.col("cells"))).first()[0]
+    if numbers is None:
+        return placed.select("*", F.lit(0).alias("cell2"), F.lit(0).alias("home2"), F.lit(b"\x80").alias("visits2"))
+    share = max(1.0, numbers / CENTROID_NUMBERS)  # of cells that would be too many together each gets fewer
+    fewer = large.withColumn("cells", F.ceil(F.col("cells") / share).cast("long"))
+    return stored(_placed(placed, _fitted(placed.join(fewer, keys), keys), keys, 2, reach), "vector-parts")
+
+
+def _bits(packed: list[bytes]) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1), axis=1).astype(bool)
+
+
+def _compared(classes: DataFrame, threshold: float) -> DataFrame:
+    """Rows (a, null, links) with links found for node a, and (a, b, null) of a spanning forest of the links, for each pair of blocks."""
+    # Two vectors with this cosine are so far apart; one of them is within half of it of the bisector between their cells.
+    reach = float(np.sqrt(max(2 - 2 * threshold, 0))) / 2 + 1e-6
+    placed = _in_cells(_units(classes), reach)
+    keys = ["label", "dims", "cell1", "cell2"]
+    sizes = stored(placed.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1"), "vector-sizes")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = placed.join(sizes, keys).withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    keys += ["i", "j"]
+    rows = rows.select(*keys, "block", "node", "copies", "home1", "visits1", "home2", "visits2", "unit")
     rows = rows.repartition(*keys).sortWithinPartitions(*keys)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in groups(batches, len(keys)):
             units = np.frombuffer(b"".join(g["unit"]), np.float64).reshape(len(g["node"]), -1)
-            home, block, copies = np.array(g["home"]), np.array(g["block"]), np.array(g["copies"])
-            visits = np.unpackbits(np.frombuffer(b"".join(g["visits"]), np.uint8).reshape(len(home), -1), axis=1).astype(bool)
-            hit = links_of(units, home, visits, g["cell"][0], threshold)
-            if g["i"][0] != g["j"][0]:  # pairs inside a block belong to the task of that block alone
-                hit &= block[:, None] != block[None, :]
+            hit = units @ units.T >= threshold
+            np.fill_diagonal(hit, False)
             if not hit.any():
                 continue
-            counts = hit @ copies
-            some = np.flatnonzero(counts)
-            edges = forest(np.where(hit, 1.0, -1.0))
-            a = [g["node"][k] for k in some] + [g["node"][e[0]] for e in edges]
-            b = [None] * len(some) + [g["node"][e[1]] for e in edges]
-            links = counts[some].tolist() + [None] * len(edges)
+            some = np.flatnonzero(hit.any(1))  # the others have no part in what follows
+            hit = hit[np.ix_(some, some)]
+            for level in "12":
+                home, visits = np.array(g[f"home{level}"])[some], _bits([g[f"visits{level}"][k] for k in some])
+                hit &= counted(home, visits, g[f"cell{level}"][0])
+            if g["i"][0] != g["j"][0]:  # pairs inside a block belong to the task of that block alone
+                block = np.array(g["block"])[some]
+                hit &= block[:, None] != block[None, :]
+            names, counts = [g["node"][k] for k in some], hit @ np.array(g["copies"])[some]
+            linked, edges = np.flatnonzero(counts), spanning(hit)
+            a = [names[k] for k in linked] + [names[e[0]] for e in edges]
+            b = [None] * len(linked) + [names[e[1]] for e in edges]
+            links = counts[linked].tolist() + [None] * len(edges)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(links, pa.int64())], ["a", "b", "links"])
 
     return rows.mapInArrow(work, "a string, b string, links long")
