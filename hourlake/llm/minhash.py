@@ -4,6 +4,9 @@ A document's set of word shingles is sketched by one permutation into buckets; a
 keeps the leading zeros of its least hash and a few mantissa bits. Bands of registers give candidate
 groups; inside a group the collision-corrected estimate of the Jaccard index picks a spanning forest
 of candidates, whose components are families; the families are compared on the full sets.
+
+A group of more than BLOCK rows is dealt over several tasks. First each of them also gets about BLOCK pilots of the group, which
+link most of a group of near copies; then only rows that these have left over are compared with all the others.
 """
 
 from __future__ import annotations
@@ -13,13 +16,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.llm.common import fresh, mark, result, stored
 from hourlake.llm.graph import components
 from hourlake.llm.membership import bit_filter, passing
-from hourlake.llm.words import word_hashes
+from hourlake.llm.words import mixed, word_hashes
 
 #: Registers of a sketch, registers of a band, and mantissa bits of a register.
 REGISTERS = 128
@@ -29,7 +32,9 @@ EMPTY = 0xFFFF
 #: Standard deviations of the estimate below the threshold down to which candidates go on to the full sets: so many that the
 #: estimate loses no more pairs at the threshold of 0.8 than the bands do.
 DEVIATIONS = 6.0
-#: Rows of a block: groups are compared block by block, in tasks of two blocks each.
+#: Bands with fewer filled registers than this also have a check on the whole least hashes, as the registers of unrelated small sets often agree.
+FILLED = 3
+#: Rows of a group that one task compares with each other, beside as many pilots.
 BLOCK = 512
 
 
@@ -49,11 +54,14 @@ def shingle_set(text: str, words: int) -> np.ndarray:
     return np.unique(out)
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """Registers: leading zeros of a bucket's least hash, then the bits after its first one; smaller hash, larger count."""
-    registers = np.full(REGISTERS, EMPTY, np.uint16)
+def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(registers, checks). A register has the leading zeros of its bucket's least hash, then the bits after the first one; smaller hash, larger count.
+
+    A band's check is a hash of its whole least hashes, where fewer than FILLED of its buckets have one, and else 0.
+    """
+    registers, checks = np.full(REGISTERS, EMPTY, np.uint16), np.zeros(REGISTERS // BAND, np.uint16)
     if not len(hashes):
-        return registers
+        return registers, checks
     shift = 64 - REGISTERS.bit_length() + 1
     bucket = (hashes >> np.uint64(shift)).astype(np.int64)
     first = np.flatnonzero(np.diff(bucket, prepend=-1))  # hashes are sorted: the least of each bucket
@@ -61,7 +69,11 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     exponent = np.frexp(rest.astype(np.float64))[1]  # position of the first one
     high = np.where(exponent > MANTISSA, rest >> np.maximum(exponent - 1 - MANTISSA, 0).astype(np.uint64), rest << np.maximum(MANTISSA + 1 - exponent, 0).astype(np.uint64))
     registers[bucket[first]] = ((np.minimum(shift - exponent, 62) << MANTISSA) | (high & np.uint64((1 << MANTISSA) - 1)).astype(np.int64)).astype(np.uint16)
-    return registers
+    band = bucket[first] // BAND
+    starts = np.flatnonzero(np.diff(band, prepend=-1))
+    sums = np.add.reduceat(mixed(hashes[first]), starts) >> np.uint64(48)
+    checks[band[starts]] = np.where(np.diff(starts, append=len(band)) < FILLED, sums, 0).astype(np.uint16)
+    return registers, checks
 
 
 def collision_share() -> float:
@@ -119,12 +131,18 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[dict[str, l
         yield held
 
 
-def _in_blocks(df: DataFrame, key: str, size: str, by: str) -> DataFrame:
-    """Each row once for every pair of blocks of its group that holds its block: columns i <= j, and its own block."""
-    blocks = F.ceil(F.col(size) / BLOCK).cast("int")
-    df = df.withColumn("block", F.pmod(F.xxhash64(by), blocks).cast("int"))
-    df = df.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return df.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", size)
+def _dealt(df: DataFrame, size: str, by: str, everywhere: Column) -> DataFrame:
+    """Rows of groups of `size` rows dealt over `parts` parts of about BLOCK rows by a hash of `by`: column part; rows marked `everywhere` go to all. own: the row's own part."""
+    parts = F.ceil(F.col(size) / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64(by), parts).cast("int")
+    df = df.withColumn("parts", parts).withColumn("part", F.explode(F.when(everywhere, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(own))))
+    return df.withColumn("own", F.col("part") == own)
+
+
+def _pilot(size: str, by: str) -> Column:
+    """About BLOCK rows of a group that has more than that, by a hash; none of others."""
+    parts = F.ceil(F.col(size) / BLOCK)
+    return (parts > 1) & (F.pmod(F.xxhash64(F.lit(1), by), parts) == 0)
 
 
 EDGE = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -161,24 +179,31 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: int = 80, doc_id:
 
 
 def deduplicated(df: DataFrame, words: int = 5, threshold: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df that near_duplicates keeps, with df's columns; of repeated rows one."""
+    """The rows of df that near_duplicates keeps, with df's columns, whatever their names; of rows repeated in id and text one.
+
+    Empty and null texts are linked with nothing, so such a row stays; so does one row with a null id whose text has no copy with an id. Of rows
+    that differ in other columns alone the one whose columns come first in their order as text stays. An empty table gives an empty result.
+    """
     since = mark()
-    kept = near_duplicates(df, words, threshold, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
+    kept = near_duplicates(df, words, threshold, doc_id, text).where("kept").groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"))
     kept = result(kept, "minhash-kept", since)
-    digest, place = fresh(df, "_hash"), fresh(df, "_place")
+    digest, match = fresh(df, "_hash"), fresh(df, "_kept")
     rows = df.withColumn(digest, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = rows.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (F.col(digest) == F.col("_kept_hash")), "left_semi")
-    first = Window.partitionBy(doc_id, digest).orderBy(F.lit(1))
-    return rows.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*[F.col(f"`{c}`") for c in df.columns])
+    of = F.col(match)
+    rows = rows.join(kept.select(F.struct("*").alias(match)), F.col(doc_id).eqNullSafe(of["doc_id"]) & (F.col(digest) == of["text_hash"]))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    row, one = F.struct(*columns), fresh(df, "_row")
+    first = rows.where(of["rows"] > 1).groupBy(of["doc_id"], of["text_hash"]).agg(F.min_by(row, F.to_json(row)).alias(one))
+    return rows.where(of["rows"] == 1).select(*columns).union(first.select(*[F.col(one)[c].alias(c) for c in df.columns]))
 
 
 def sketched(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, digest, registers) of documents (doc_id, text, text_hash), stored. Equal sets have equal digests."""
+    """(doc_id, text_hash, n_shingles, digest, registers) of documents (doc_id, text, text_hash), stored. Equal sets have equal digests. After the registers come the bands' checks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = (shingle_set(t.as_py() or "", words) for t in batch.column(1))
-            rows = [(len(s), xxhash.xxh3_128_digest(s.tobytes()), sketch(s).tobytes()) for s in sets]
+            rows = [(len(s), xxhash.xxh3_128_digest(s.tobytes()), b"".join(c.tobytes() for c in sketch(s))) for s in sets]
             n, digests, registers = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(registers, pa.binary())], ["doc_id", "text_hash", "n_shingles", "digest", "registers"])
 
@@ -186,31 +211,79 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
     return stored(docs.mapInArrow(work, f"doc_id {kind}, text_hash long, n_shingles long, digest binary, registers binary"), "minhash-nodes")
 
 
-def candidate_links(classes: DataFrame, threshold: int) -> DataFrame:
-    """A spanning forest (a, b) of the pairs that share a band and whose estimate is near the threshold, for each pair of blocks."""
-    width = 2 * BAND
-    empty = F.lit(b"\xff" * width)
-    band = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda b: F.struct(b.alias("band"), F.substring("registers", b * width + 1, F.lit(width)).alias("part")))
-    bands = classes.select("digest", F.explode(band).alias("x")).where(F.col("x.part") != empty).select("digest", F.xxhash64("x.band", "x.part").alias("band"))
-    full = stored(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "minhash-bands")
-    rows = _in_blocks(bands.join(full, "band"), "band", "n", "digest")
-    rows = rows.join(classes, "digest").select("band", "i", "j", "block", "digest", "registers")
-    rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    least = least_estimate(threshold)
+def _edges(names: list[bytes], edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([names[e[k]] for e in edges], pa.binary()) for k in (0, 1)], schema=EDGE)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in groups(batches, 3):
-            if len(g["digest"]) < 2:
-                continue
-            registers = np.frombuffer(b"".join(g["registers"]), np.uint16).reshape(-1, REGISTERS)
-            weights = estimates(registers, registers)
-            np.fill_diagonal(weights, -1)
-            weights[weights < least] = -1
-            edges = forest(weights)
-            if edges:
-                yield pa.RecordBatch.from_arrays([pa.array([g["digest"][e[k]] for e in edges], pa.binary()) for k in (0, 1)], schema=EDGE)
 
-    return rows.mapInArrow(work, "a binary, b binary")
+def _bands(classes: DataFrame) -> DataFrame:
+    """(digest, band): a hash of each band that has a filled register."""
+    width, checks = 2 * BAND, 2 * REGISTERS
+    piece = lambda at, n: F.substring("registers", at + 1, F.lit(n))
+    band = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda b: F.struct(b.alias("band"), piece(b * width, width).alias("part"), piece(b * 2 + checks, 2).alias("check")))
+    bands = classes.select("digest", F.explode(band).alias("x")).where(F.col("x.part") != F.lit(b"\xff" * width))
+    return bands.select("digest", F.xxhash64("x.band", "x.part", "x.check").alias("band"))
+
+
+def _candidate_groups(classes: DataFrame) -> DataFrame:
+    """(band, n, digest) of the bands that n > 1 sets share, stored; of bands that the same sets share only one."""
+    bands = _bands(classes)
+    shared = stored(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "minhash-bands")
+    held = bit_filter(shared.select("band"))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(passing(held, batch.column("band")))
+
+    members = stored(bands.mapInArrow(some, "digest binary, band long").join(shared, "band"), "minhash-members")
+    alike = members.groupBy("band", "n").agg(F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("y"))
+    chosen = stored(alike.groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"), "minhash-groups")
+    return stored(members.join(chosen, "band"), "minhash-members")
+
+
+def candidate_links(classes: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) that join all pairs which share a band and whose estimate is near the threshold, stored.
+
+    Of a group that one task holds they are a spanning forest of these pairs. Of larger ones all rows that are linked with any in their part
+    are joined, which may join more than those pairs; rows that are not are compared with the whole group.
+    """
+    least = least_estimate(threshold)
+    members = _candidate_groups(classes)
+
+    def compared(rows: DataFrame, asks: bool) -> DataFrame:
+        rows = rows.join(classes, "digest").select("band", "part", "parts", "own", "marked", "digest", "registers")
+        rows = rows.repartition("band", "part").sortWithinPartitions("band", "part")
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for g in groups(batches, 2):
+                names = g["digest"]
+                if len(names) < 2 and g["parts"][0] == 1:
+                    continue
+                registers = np.stack([np.frombuffer(r, np.uint16)[:REGISTERS] for r in g["registers"]])
+                weights = estimates(registers, registers)
+                np.fill_diagonal(weights, -1)
+                weights[weights < least] = -1
+                edges = forest(weights)
+                if g["parts"][0] > 1 and not asks:  # marked rows are the pilots, which all parts have
+                    linked = (weights >= 0).any(1)
+                    pilots = [k for k, m in enumerate(g["marked"]) if m]
+                    hub = min(pilots, key=lambda k: names[k]) if pilots else 0
+                    edges += [(hub, k) for k in np.flatnonzero(linked).tolist() if k != hub]
+                    left = [names[k] for k in np.flatnonzero(~linked).tolist() if g["own"][k]]
+                    yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.nulls(len(left), pa.binary()), pa.array([g["band"][0]] * len(left), pa.int64())], ["a", "b", "band"])
+                found = _edges(names, edges)
+                yield pa.RecordBatch.from_arrays([*found.columns, pa.nulls(len(edges), pa.int64())], ["a", "b", "band"])
+
+        return rows.mapInArrow(work, "a binary, b binary, band long")
+
+    first = _dealt(members, "n", "digest", _pilot("n", "digest")).withColumn("marked", _pilot("n", "digest"))
+    found = stored(compared(first, False), "minhash-candidates")
+    links, left = found.where("b is not null").select("a", "b"), found.where("b is null").select(F.col("a").alias("digest"), "band")
+    if left.isEmpty():
+        return links
+    marked = members.join(left.select("band").distinct(), "band", "left_semi").join(left.withColumn("marked", F.lit(True)), ["band", "digest"], "left")
+    marked = marked.withColumn("marked", F.coalesce("marked", F.lit(False)))
+    rest = compared(_dealt(marked, "n", "digest", F.col("marked")), True)
+    return stored(links.union(rest.select("a", "b")), "minhash-candidates")
 
 
 def _with_roots(found: DataFrame) -> DataFrame:
@@ -219,7 +292,7 @@ def _with_roots(found: DataFrame) -> DataFrame:
 
 
 def confirmed_links(docs: DataFrame, classes: DataFrame, families: DataFrame, words: int, threshold: int) -> DataFrame:
-    """A spanning forest (a, b) of the true links in each family, for each pair of blocks, from the full sets."""
+    """True links (a, b) from the full sets, stored, whose components in each family (node, root) are those of all its true links."""
     sizes = stored(families.groupBy("root").agg(F.count("*").alias("n")), "minhash-sizes")
     members = families.join(sizes, "root").join(classes, families["node"] == classes["digest"]).select("digest", "least_id", "root", "n")
     members = stored(members, "minhash-members")
@@ -234,19 +307,35 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, families: DataFrame, wo
 
     sets = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(to_sets, "digest binary, hashes binary")
     sets = stored(sets.join(members.select("digest"), "digest", "left_semi"), "minhash-sets")
-    rows = _in_blocks(members.select("digest", "root", "n"), "root", "n", "digest")
-    rows = rows.join(sets, "digest").select("root", "i", "j", "block", "digest", "hashes")
-    rows = rows.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in groups(batches, 3):
-            unique = dict(zip(g["digest"], g["hashes"], strict=True))
-            names = list(unique)
-            edges = true_forest([np.frombuffer(h, np.uint64) for h in unique.values()], threshold)
-            if edges:
-                yield pa.RecordBatch.from_arrays([pa.array([names[e[k]] for e in edges], pa.binary()) for k in (0, 1)], schema=EDGE)
-
-    return rows.mapInArrow(work, "a binary, b binary")
+    def compared(rows: DataFrame) -> DataFrame:
+        rows = rows.join(sets, "digest").select("root", "part", "digest", "hashes")
+        rows = rows.repartition("root", "part").sortWithinPartitions("root", "part")
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for g in groups(batches, 2):
+                unique = dict(zip(g["digest"], g["hashes"], strict=True))
+                edges = true_forest([np.frombuffer(h, np.uint64) for h in unique.values()], threshold)
+                if edges:
+                    yield _edges(list(unique), edges)
+
+        return rows.mapInArrow(work, "a binary, b binary")
+
+    members = members.select("digest", "root", "n")
+    links = stored(compared(_dealt(members, "n", "digest", _pilot("n", "digest"))), "minhash-links")
+    large = members.where(F.col("n") > BLOCK)
+    if large.isEmpty():
+        return links
+    # What the pilots have left outside the largest component of its family is compared with the whole family.
+    joined = _with_roots(components(links, "minhash-parts")).select(F.col("node").alias("digest"), F.col("root").alias("component"))
+    large = stored(large.join(joined, "digest", "left").withColumn("component", F.coalesce("component", "digest")), "minhash-large")
+    most = large.groupBy("root", "component").agg(F.count("*").alias("m")).groupBy("root").agg(F.max(F.struct("m", "component")).alias("most"))
+    marked = large.join(stored(most.where("most.m > 0").select("root", "most.component"), "minhash-most").withColumnRenamed("component", "largest"), "root")
+    marked = stored(marked.select("digest", "root", "n", (F.col("component") != F.col("largest")).alias("left")), "minhash-left")
+    if marked.where("left").isEmpty():
+        return links
+    marked = marked.join(marked.where("left").select("root").distinct(), "root", "left_semi")
+    return stored(links.union(compared(_dealt(marked, "n", "digest", F.col("left")))), "minhash-links")
 
 
 def true_forest(sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
