@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourlake.llm.common import fresh, mark, result, stored, tidy
@@ -23,8 +23,8 @@ from hourlake.llm.words import BUFFER, buffer_words, mixed, word_hashes
 
 #: Jaccard index in hundredths from which lines match.
 THRESHOLD = 80
-#: Bits of a word's hash that sets hold, and counters of the rarity sketch.
-HASH_BITS, COUNTERS = 48, 1 << 23
+#: Bits of a word's hash that sets hold, counters of the rarity sketch, and words from which a line has a second parity map.
+HASH_BITS, COUNTERS, WIDE = 48, 1 << 23, 64
 #: Lines of a prefix word from which it is heavy and its lines are dealt over several groups. With more than HEAVY << 20 rows
 #: of prefix words in all it grows, so that there are never more than HEAVY_WORDS such words.
 HEAVY, HEAVY_WORDS = 4096, 1 << 20
@@ -32,6 +32,8 @@ HEAVY, HEAVY_WORDS = 4096, 1 << 20
 FIRST = 2
 #: Lines that are taken into arrays at once; rows of prefix words that a task packs at once, and that a bucket holds on average at most.
 LINES, PACKED, BUCKET_ROWS = 60_000, 400_000, 500_000
+#: Lines that a task remembers, to tell which it has met before.
+SEEN = 200_000
 #: Rows of a group from which its pairs are compared in strips of the earliest lines, dropping lines that have FIRST candidates.
 STRIPS, STRIP = 256, 32
 
@@ -40,8 +42,11 @@ _LOW = np.uint64((1 << HASH_BITS) - 1)
 _NULL_ID = -(1 << 63)
 
 
-def line_sets(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For lines of a buffer, at most 65,536: all sorted set words in a row, each line's number of words, key, and parity bits."""
+def line_sets(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For lines of a buffer, at most 65,536: all sorted set words in a row, each line's number of words, key, parity bits, and those of one half of the words.
+
+    With the second map, lines of more than WIDE words are compared on 128 bits; 64 would be too full to tell them apart.
+    """
     if len(data) <= BUFFER // 2 or b"\n" in data:
         hashes, starts = buffer_words(data)
         breaks = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
@@ -52,13 +57,16 @@ def line_sets(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     both = np.unique(owner << np.uint64(HASH_BITS) | (hashes & _LOW))
     words, owner = both & _LOW, (both >> np.uint64(HASH_BITS)).astype(np.int64)
     sizes = np.bincount(owner, minlength=len(breaks) + 1)
-    keys, bits = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
+    keys, bits, half = (np.zeros(len(sizes), np.uint64) for _ in range(3))
     some = np.flatnonzero(sizes)
     if len(some):
         starts = (np.cumsum(sizes) - sizes)[some]
         keys[some] = mixed(np.add.reduceat(mixed(words), starts) + sizes[some].astype(np.uint64))
-        bits[some] = np.bitwise_xor.reduceat(np.uint64(1) << (words >> np.uint64(HASH_BITS - 6)), starts)
-    return words, sizes, keys, bits
+        slots = np.uint64(1) << (words >> np.uint64(HASH_BITS - 6))
+        bits[some] = np.bitwise_xor.reduceat(slots, starts)
+        half[some] = np.bitwise_xor.reduceat(slots * (words >> np.uint64(HASH_BITS - 7) & np.uint64(1)), starts)
+        half[sizes <= WIDE] = 0
+    return words, sizes, keys, bits, half
 
 
 def line_buffers(texts: Iterator[tuple[int, bytes]]) -> Iterator[tuple[bytes, list[tuple[int, int, int]]]]:
@@ -97,51 +105,55 @@ def _text_hash(text: Column) -> Column:
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, Column | None]:
-    """docs (doc_id, dh, text) with a long `doc` that is unique to, and ordered as, (doc_id, dh); and the expression of it, if one of doc_id is enough.
+    """docs (doc_id, text) with a long `doc` that is unique to, and ordered as, (doc_id, hash of the text); and the expression of it, if one of doc_id is enough.
 
-    Whole numbers stand for themselves, if no id has two texts. Other ids get their rank, which is joined to the texts.
+    Whole numbers stand for themselves, if no id has two texts. Other ids get their rank, which is joined to the texts; `dh` is the hash then.
     """
     if docs.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long"):
         own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))
-        several = docs.select(own.alias("doc"), "dh").distinct().groupBy("doc").count().where("count > 1")
-        if several.isEmpty():
+        several = stored(docs.groupBy(own.alias("doc")).agg(F.count("*").alias("n")).where("n > 1").select("doc"), "line-several")
+        texts = docs.join(several, own == F.col("doc")).groupBy("doc").agg(F.min(_text_hash(F.col("text"))).alias("least"), F.max(_text_hash(F.col("text"))).alias("most"))
+        if several.isEmpty() or texts.where("least <> most").isEmpty():
             return docs.withColumn("doc", own), own
+    docs = docs.withColumn("dh", _text_hash(F.col("text")))
     ranks = docs.select("doc_id", "dh").distinct().orderBy(F.col("doc_id").asc_nulls_first(), "dh")
     ranks = stored(ranks.withColumn("doc", F.monotonically_increasing_id()), "line-ranks")
     return docs.join(ranks, docs["doc_id"].eqNullSafe(ranks["doc_id"]) & (docs["dh"] == ranks["dh"])).select(docs["doc_id"], docs["dh"], "text", "doc"), None
 
 
-LINE = "doc long, line int, key long, bits long, n int, words binary"
+LINE = "doc long, line int, key long, bits long, half long, n int, again boolean, words binary"
 _LINE_COLUMNS = [f.split()[0] for f in LINE.split(", ")]
 
 
 def corpus_lines(docs: DataFrame) -> DataFrame:
-    """A stored row of LINE for each line with words of docs (doc, text). words is empty where the task has met an equal, earlier line before."""
+    """A stored row of LINE for each line with words of docs (doc, text). again: the task has met an equal, earlier line before; words is empty then."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[int, int], tuple[int, int]] = {}
+        seen: dict[bytes, int] = {}
         for batch in batches:
             docs = batch.column(0).to_numpy()
             texts = ((k, (t.as_py() or "").encode("utf-8").lower()) for k, t in enumerate(batch.column(1)))
             for data, parts in line_buffers(texts):
-                words, sizes, keys, bits = line_sets(data)
+                words, sizes, keys, bits, half = line_sets(data)
                 of = docs[np.repeat([k for k, _, _ in parts], [n for _, _, n in parts])]
                 numbers = np.concatenate([np.arange(first, first + n) for _, first, n in parts])
                 keep = np.flatnonzero(sizes)
-                new = np.zeros(len(keep), bool)
-                for at, (doc, number, *name) in enumerate(zip(of[keep].tolist(), numbers[keep].tolist(), keys[keep].tolist(), bits[keep].tolist(), strict=True)):
-                    place, name = (doc, number), tuple(name)
+                new = np.ones(len(keep), bool)
+                names = np.stack([keys[keep], bits[keep]], 1).view("V16")[:, 0].tolist()
+                for at, (name, doc, number) in enumerate(zip(names, of[keep].tolist(), numbers[keep].tolist(), strict=True)):
+                    place = doc << 32 | number
                     if (before := seen.get(name)) is None or place < before:
                         seen[name] = place
-                        new[at] = True
-                if len(seen) > 400_000:
+                    else:
+                        new[at] = place == before
+                if len(seen) > SEEN:
                     seen.clear()
                 some = np.zeros(len(sizes), bool)
                 some[keep] = new
                 ends = np.cumsum(np.where(new, sizes[keep], 0)) * (HASH_BITS // 8)
                 offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes())
                 binary = pa.Array.from_buffers(pa.binary(), len(keep), [None, offsets, pa.py_buffer(pack(words[np.repeat(some, sizes)]).tobytes())])
-                columns = [pa.array(of[keep]), pa.array(numbers[keep].astype(np.int32)), pa.array(keys[keep].view(np.int64)), pa.array(bits[keep].view(np.int64)), pa.array(sizes[keep].astype(np.int32)), binary]
+                columns = [pa.array(of[keep]), pa.array(numbers[keep].astype(np.int32)), *(pa.array(c[keep].view(np.int64)) for c in (keys, bits, half)), pa.array(sizes[keep].astype(np.int32)), pa.array(~new), binary]
                 yield pa.RecordBatch.from_arrays(columns, _LINE_COLUMNS)
 
     return stored(docs.select("doc", "text").mapInArrow(work, LINE), "line-sets")
@@ -149,7 +161,7 @@ def corpus_lines(docs: DataFrame) -> DataFrame:
 
 def joinable(lines: DataFrame) -> DataFrame:
     """The lines that take part in the join: with so many words that not only equal lines match."""
-    return lines.where("n > 3 and octet_length(words) > 0")
+    return lines.where("n > 3 and not again")
 
 
 def rarity(lines: DataFrame) -> np.ndarray:
@@ -212,7 +224,7 @@ def needed(rows: DataFrame) -> Broadcast:
     return bit_filter(rows.select(F.xxhash64("doc", "line")))
 
 
-_PLANES = (("part", "<u4"), ("doc", "<i8"), ("line", "<u4"), ("bits", "<u8"), ("n", "<u4"), ("place", "<u4"))
+_PLANES = (("part", "<u4"), ("doc", "<i8"), ("line", "<u4"), ("bits", "<u8"), ("half", "<u8"), ("n", "<u4"), ("place", "<u4"))
 _WIDTH = sum(np.dtype(t).itemsize for _, t in _PLANES)
 #: Lowest bits of a packed place: the row may be the earlier line of a pair; the later one; its word is heavy.
 EARLIER, LATER, WEIGHTY = 1, 2, 4
@@ -239,7 +251,7 @@ def prefix_rows(lines: DataFrame, counts: Broadcast, heavy: Broadcast, buckets:
 
     A row of a word has the line's place, parity bits and number of words, and the place of the word. The lines of a heavy word
     are dealt over groups. In the first round each of these groups also gets about `least` of the word's lines, chosen by a hash, as possible earlier
-    lines. In the second (with `asking`, a filter of lines, and `words_asked`, one of their words) the groups part all of them
+    lines. In the second (with `asking`, a filter of lines, and `words_asked`, one of the names of their groups) the groups part all of them
     and the lines that ask go to each.
     """
 
@@ -248,6 +260,10 @@ def prefix_rows(lines: DataFrame, counts: Broadcast, heavy: Broadcast, buckets:
         heavy_words, heavy_groups = heavy.value
         held: list[list[np.ndarray]] = []
 
+        def dealt(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            h = mixed(words)
+            return ((h & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32), h >> np.uint64(32)
+
         def flush() -> Iterator[pa.RecordBatch]:
             bucket, *columns = (np.concatenate(c) for c in zip(*held, strict=True))
             order = np.argsort(bucket, kind="stable")
@@ -268,9 +284,10 @@ def prefix_rows(lines: DataFrame, counts: Broadcast, heavy: Broadcast, buckets:
                 asks = np.ones(batch.num_rows, bool)
                 if asking is not None:
                     asks = passing(asking, batch.column("h")).to_numpy(zero_copy_only=False)
-                    keep = passing(words_asked, pa.array(words.view(np.int64))).to_numpy(zero_copy_only=False)
+                    of_bucket, part = dealt(words)
+                    keep = passing(words_asked, pa.array(group_name(of_bucket, part))).to_numpy(zero_copy_only=False) | np.isin(words, heavy_words)
                     words, owner, place = words[keep], owner[keep], place[keep]
-                doc, line, bits, key, n = (batch.column(c).to_numpy()[owner] for c in ("doc", "line", "bits", "key", "n"))
+                doc, line, bits, half, key, n = (batch.column(c).to_numpy()[owner] for c in ("doc", "line", "bits", "half", "key", "n"))
                 role = np.where(asks[owner], EARLIER | LATER, EARLIER)
                 group = np.zeros(len(words), np.int64)
                 if len(heavy_words) and len(words):
@@ -286,30 +303,30 @@ def prefix_rows(lines: DataFrame, counts: Broadcast, heavy: Broadcast, buckets:
                     copy = np.repeat(more, times)
                     other = np.arange(len(copy)) - np.repeat(np.cumsum(times) - times, times)
                     other += other >= group[copy]
-                    words, doc, line, bits, n, place = (np.concatenate([c, c[copy]]) for c in (words, doc, line, bits, n, place))
+                    words, doc, line, bits, half, n, place = (np.concatenate([c, c[copy]]) for c in (words, doc, line, bits, half, n, place))
                     role = np.concatenate([role, np.full(len(copy), WEIGHTY | (LATER if asking is not None else EARLIER))])
                     group = np.concatenate([group, other])
-                part = mixed(words ^ group.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-                held.append([((part & np.uint64(0xFFFFFFFF)) % np.uint64(buckets)).astype(np.int32), part >> np.uint64(32), doc, line, bits, n, place << 3 | role])
+                held.append([*dealt(words ^ group.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), doc, line, bits, half, n, place << 3 | role])
                 if sum(len(h[0]) for h in held) > PACKED:
                     yield from flush()
         if held:
             yield from flush()
 
-    names = ["doc", "line", "key", "bits", "n", "words", F.xxhash64("doc", "line").alias("h")]
+    names = ["doc", "line", "key", "bits", "half", "n", "words", F.xxhash64("doc", "line").alias("h")]
     return joinable(lines).select(names).mapInArrow(work, "bucket int, rows binary")
 
 
 class Rows:
     """Rows of prefix words sorted by group, then by the order of lines, with the filters that tell which pairs are candidates."""
 
-    def __init__(self, part: np.ndarray, doc: np.ndarray, line: np.ndarray, bits: np.ndarray, n: np.ndarray, place: np.ndarray):
+    def __init__(self, part: np.ndarray, doc: np.ndarray, line: np.ndarray, bits: np.ndarray, half: np.ndarray, n: np.ndarray, place: np.ndarray):
         order = np.lexsort((line, doc, part))
         part, doc, line = part[order], doc[order], line[order]
         new = np.ones(len(order), bool)  # rows of repeated documents are alike
         new[1:] = (part[1:] != part[:-1]) | (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
         order = order[new]
         self.part, self.doc, self.line, self.bits = part[new], doc[new], line[new], bits[order]
+        self.half = half[order]
         self.n, place = n[order].astype(np.int64), place[order].astype(np.int64)
         self.role, self.rest = place & 7, self.n - (place >> 3)
         self.starts = np.flatnonzero(np.diff(self.part.astype(np.int64), prepend=-1))
@@ -323,7 +340,13 @@ class Rows:
         need = -(-THRESHOLD * total // (100 + THRESHOLD))
         some = np.flatnonzero((np.minimum(self.rest[x], self.rest[y]) >= need) & (self.role[x] & LATER > 0) & (self.role[y] & EARLIER > 0))
         ok, x, y, slack = ok[some], x[some], y[some], (total - 2 * need)[some]
-        return ok[np.bitwise_count(self.bits[x] ^ self.bits[y]) <= slack]
+        apart = self.bits[x] ^ self.bits[y]
+        some = np.flatnonzero(np.bitwise_count(apart) <= slack)
+        ok, x, y, apart, slack = ok[some], x[some], y[some], apart[some], slack[some]
+        wide = np.flatnonzero((self.n[x] > WIDE) & (self.n[y] > WIDE))
+        half = self.half[x[wide]] ^ self.half[y[wide]]
+        far = wide[np.bitwise_count(half).astype(np.int64) + np.bitwise_count(apart[wide] ^ half) > slack[wide]]
+        return np.delete(ok, far)
 
     def pairs(self, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(x, y) of the candidate pairs and which x may have others; with `first` not 0 only so many earliest y of each x."""
@@ -366,6 +389,11 @@ class Rows:
         return x, y, more
 
 
+def group_name(bucket: int | np.ndarray, part: np.ndarray) -> np.ndarray:
+    """A long that names a group of a bucket."""
+    return mixed(np.uint64(0x9E3779B97F4A7C15) * (np.atleast_1d(bucket).astype(np.uint64) + np.uint64(1)) ^ part.astype(np.uint64)).view(np.int64)
+
+
 PAIR = "doc long, line int, y_doc long, y_line int, more boolean"
 _PAIR_COLUMNS = [f.split()[0] for f in PAIR.split(", ")]
 
@@ -373,26 +401,24 @@ _PAIR_COLUMNS = [f.split()[0] for f in PAIR.split(", ")]
 def candidate_pairs(rows: DataFrame, first: int) -> DataFrame:
     """Pairs of a later line (doc, line) and an earlier one (y_doc, y_line) that pass the filters.
 
-    For each word only the `first` earliest candidates of a later line are given; 0: all. A row without y_doc and with `more` is for a later
-    line that may have others.
+    For each word only the `first` earliest candidates of a later line are given; 0: all. A row with `more` and without y_line is for a later
+    line that may have others, and has the word's group, or null for a heavy word, in y_doc.
     """
     rows = rows.repartition("bucket").sortWithinPartitions("bucket")
 
-    def found(blobs: list[bytes]) -> pa.RecordBatch:
+    def found(bucket: int, blobs: list[bytes]) -> pa.RecordBatch:
         table = Rows(*unpacked(blobs))
         x, y, more = table.pairs(first)
         if first:
             more |= (table.role & (LATER | WEIGHTY)) == LATER | WEIGHTY  # it has met only some lines of its word
         m = np.flatnonzero(more)
         both = np.unique(np.stack([table.doc[x], table.line[x].astype(np.int64), table.doc[y], table.line[y].astype(np.int64)], 1), axis=0)
-        alone = np.unique(np.stack([table.doc[m], table.line[m].astype(np.int64)], 1), axis=0)
-        none = np.zeros(len(alone), np.int64)
-        lacking = np.arange(len(both) + len(alone)) >= len(both)
+        lacking = np.arange(len(both) + len(m)) >= len(both)
         columns = [
-            pa.array(np.concatenate([both[:, 0], alone[:, 0]])),
-            pa.array(np.concatenate([both[:, 1], alone[:, 1]]).astype(np.int32)),
-            pa.array(np.concatenate([both[:, 2], none]), mask=lacking),
-            pa.array(np.concatenate([both[:, 3], none]).astype(np.int32), mask=lacking),
+            pa.array(np.concatenate([both[:, 0], table.doc[m]])),
+            pa.array(np.concatenate([both[:, 1], table.line[m]]).astype(np.int32)),
+            pa.array(np.concatenate([both[:, 2], group_name(bucket, table.part[m])]), mask=np.concatenate([np.zeros(len(both), bool), table.role[m] & WEIGHTY > 0])),
+            pa.array(np.concatenate([both[:, 3], np.zeros(len(m), np.int64)]).astype(np.int32), mask=lacking),
             pa.array(lacking),
         ]
         return pa.RecordBatch.from_arrays(columns, _PAIR_COLUMNS)
@@ -402,12 +428,12 @@ def candidate_pairs(rows: DataFrame, first: int) -> DataFrame:
         for batch in batches:
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if held and bucket != last:
-                    yield found(held)
+                    yield found(last, held)
                     held = []
                 last = bucket
                 held.append(blob.as_buffer())
         if held:
-            yield found(held)
+            yield found(last, held)
 
     return rows.mapInArrow(work, PAIR)
 
@@ -438,20 +464,6 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return pairs.select("doc", "line", "words", "y_words").mapInArrow(work, "doc long, line int").distinct()
 
 
-def asked_words(lines: DataFrame, asking: Broadcast, counts: Broadcast) -> Broadcast:
-    """A bit filter of the rarest words of the lines that ask."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.frombuffer(counts.value, np.uint32)
-        for batch in batches:
-            batch = batch.filter(passing(asking, batch.column("h")))
-            for at in range(0, batch.num_rows, 5000):
-                words, _, _ = prefixes(batch.slice(at, 5000), often)
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(words).view(np.int64))], ["word"])
-
-    return bit_filter(joinable(lines).select("n", "words", F.xxhash64("doc", "line").alias("h")).mapInArrow(work, "word long"))
-
-
 def matched(lines: DataFrame, again: DataFrame) -> DataFrame:
     """(doc, line) of the lines that an earlier, different line matches, without those of `again`."""
     spark, name = lines.sparkSession, ["doc", "line"]
@@ -461,51 +473,46 @@ def matched(lines: DataFrame, again: DataFrame) -> DataFrame:
     heavy = spark.sparkContext.broadcast(heavy_words(lines, counts, least))
     buckets = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ROWS))
     pairs = stored(candidate_pairs(prefix_rows(lines, counts, heavy, buckets, least), FIRST), "line-pairs")
-    tallied = pairs.where("not more").join(again, name, "left_anti").groupBy(*name, "y_doc", "y_line").agg(F.count("*").alias("words"))
-    tallied = stored(tallied, "line-tallied")
-    # Of each line's candidates first the one that shares most rare words, the earliest of these; the others where that fails.
-    best = tallied.groupBy(*name).agg(F.min(F.struct((-F.col("words")).alias("words"), "y_doc", "y_line")).alias("y")).select(*name, "y.y_doc", "y.y_line")
-    found = stored(verified(best, lines), "line-found")
-    found = stored(found.union(verified(tallied.join(found, name, "left_anti"), lines)), "line-found")
-    unsure = stored(pairs.where("more").select(*name).distinct().join(found, name, "left_anti").join(again, name, "left_anti"), "line-unsure")
-    if not unsure.isEmpty():  # lines whose first candidates all failed: every candidate of theirs
-        asking = needed(unsure)
-        rows = prefix_rows(lines, counts, heavy, buckets, least, asking, asked_words(lines, asking, counts))
-        rest = candidate_pairs(rows, 0).drop("more").join(unsure, name, "left_semi").distinct()
+    tallied = pairs.where("not more").drop("more").distinct().join(again, name, "left_anti")
+    found = stored(verified(tallied, lines), "line-found")
+    doubtful = pairs.where("more").select(*name, F.col("y_doc").alias("word")).join(found, name, "left_anti").join(again, name, "left_anti")
+    doubtful = stored(doubtful, "line-unsure")
+    if not doubtful.isEmpty():  # lines whose first candidates all failed: every candidate of theirs
+        rows = prefix_rows(lines, counts, heavy, buckets, least, needed(doubtful), bit_filter(doubtful.where("word is not null").select("word")))
+        rest = candidate_pairs(rows, 0).drop("more").join(doubtful.select(*name).distinct(), name, "left_semi").distinct()
         found = stored(found.union(verified(rest, lines)), "line-found")
     return found
 
 
 def repeated(lines: DataFrame) -> DataFrame:
-    """(doc, line) of the lines that an earlier line equals."""
-    place = F.struct("doc", "line")
-    slim = lines.select("doc", "line", "key", "bits")
-    firsts = stored(slim.groupBy("key", "bits").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last"), "line-firsts")
-    held = bit_filter(firsts.select(F.xxhash64("key", "bits")))
-
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(passing(held, batch.column("h"))).select(["doc", "line", "key", "bits"])
-
-    again = slim.withColumn("h", F.xxhash64("key", "bits")).mapInArrow(some, "doc long, line int, key long, bits long")
-    return again.join(firsts, ["key", "bits"]).where(place != F.col("first")).select("doc", "line")
+    """(doc, line) of the lines that an earlier line equals: where not the line's own task has met one, one of another task, of which there is a row for each at most."""
+    order = F.row_number().over(Window.partitionBy("key", "bits").orderBy("doc", "line"))
+    firsts = lines.where("not again").select("doc", "line", "key", "bits").distinct()
+    return lines.where("again").select("doc", "line").union(firsts.withColumn("k", order).where("k > 1").select("doc", "line"))
 
 
 def lines_with_words(text: Column) -> Column:
     """How many lines of a text have words."""
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda s: s.rlike("[^\\x20\\x09-\\x0D]")))
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^\\x20\\x09-\\x0D][^\\n]*"))
 
 
-def removals(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, dh, removed) of the distinct documents of df that lose lines: dh is the hash of the text, removed the sorted numbers of the lines that go. Stored."""
+def with_removed(df: DataFrame, into: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """df with a column `into`: the sorted numbers of the lines of a row's text that go, null if none. Every row stays; a column of that name is replaced."""
+    df = df.drop(into)
     since = mark()
-    docs = df.select(F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("dh"), F.col(text).alias("text"))
-    docs, own = numbered(docs)
+    docs, own = numbered(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     lines = corpus_lines(docs)
-    again = stored(repeated(lines).distinct(), "line-repeated")
+    again = stored(repeated(lines), "line-repeated")
     gone = matched(lines, again).union(again).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("removed"))
-    names = docs.select("doc_id", "dh", own.alias("doc") if own is not None else "doc").distinct()
-    return result(names.join(gone, "doc").select("doc_id", "dh", "removed"), "line-removals", since)
+    of = F.col(held := fresh(df, "_gone"))
+    if own is not None:
+        gone = result(gone, "line-removals", since)
+        same = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)) == of["doc"]
+    else:
+        gone = result(docs.select("doc_id", "dh", "doc").distinct().join(gone, "doc").drop("doc"), "line-removals", since)
+        same = F.col(doc_id).eqNullSafe(of["doc_id"]) & (_text_hash(F.col(text)) == of["dh"])
+    rows = df.join(gone.select(F.struct("*").alias(held)), same, "left")
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], of["removed"].alias(into))
 
 
 def decisions(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -515,19 +522,9 @@ def decisions(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     Rows equal in id and text are one document, whose decisions hold for each. Lines without words are never removed.
     An empty table gives an empty result. Columns of df but the two named are not read.
     """
-    docs = df.select(F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("dh"), lines_with_words(F.col(text)).alias("n_lines")).where("n_lines > 0").distinct()
-    gone = removals(df, doc_id, text)
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]) & (docs["dh"] == gone["dh"]), "left")
-    return joined.select(docs["doc_id"], docs["dh"], "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
-
-
-def with_removed(df: DataFrame, into: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df with a column `into`: the sorted numbers of the lines of a row's text that go, null if none. Every row stays; a column of that name is replaced."""
-    df = df.drop(into)
-    gone = removals(df, doc_id, text).select(F.struct("doc_id", "dh", "removed").alias(held := fresh(df, "_gone")))
-    of = F.col(held)
-    rows = df.join(gone, F.col(doc_id).eqNullSafe(of["doc_id"]) & (_text_hash(F.col(text)) == of["dh"]), "left")
-    return rows.select(*[F.col(f"`{c}`") for c in df.columns], of["removed"].alias(into))
+    rows = with_removed(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "removed")
+    removed = F.coalesce("removed", F.array().cast("array<int>")).alias("removed")
+    return rows.select("doc_id", _text_hash(F.col("text")).alias("dh"), lines_with_words(F.col("text")).alias("n_lines"), removed).where("n_lines > 0").distinct()
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str | None = None) -> DataFrame:
