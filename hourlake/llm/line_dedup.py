@@ -486,8 +486,8 @@ def matched(lines: DataFrame, again: DataFrame) -> DataFrame:
 
 def repeated(lines: DataFrame) -> DataFrame:
     """(doc, line) of the lines that an earlier line equals: where not the line's own task has met one, one of another task, of which there is a row for each at most."""
-    order = F.row_number().over(Window.partitionBy("key", "bits").orderBy("doc", "line"))
-    firsts = lines.where("not again").select("doc", "line", "key", "bits").distinct()
+    order = F.rank().over(Window.partitionBy("key", "bits").orderBy("doc", "line"))  # rows of repeated documents have one rank
+    firsts = lines.where("not again").select("doc", "line", "key", "bits")
     return lines.where("again").select("doc", "line").union(firsts.withColumn("k", order).where("k > 1").select("doc", "line"))
 
 
@@ -496,23 +496,30 @@ def lines_with_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^\\x20\\x09-\\x0D][^\\n]*"))
 
 
-def with_removed(df: DataFrame, into: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df with a column `into`: the sorted numbers of the lines of a row's text that go, null if none. Every row stays; a column of that name is replaced."""
+def with_removed(df: DataFrame, into: str, doc_id: str = "doc_id", text: str = "text", columns: list[Column] | None = None) -> DataFrame:
+    """df, or these columns of it, with a column `into`: the sorted numbers of the lines of a row's text that go, null if none.
+
+    Every row stays; a column of df of that name is replaced. The columns given, and not the texts, go through the last join.
+    """
     df = df.drop(into)
     since = mark()
     docs, own = numbered(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     lines = corpus_lines(docs)
     again = stored(repeated(lines), "line-repeated")
     gone = matched(lines, again).union(again).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("removed"))
-    of = F.col(held := fresh(df, "_gone"))
     if own is not None:
         gone = result(gone, "line-removals", since)
-        same = F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)) == of["doc"]
+        key = F.struct(F.coalesce(F.col(doc_id).cast("long"), F.lit(_NULL_ID)).alias("doc"))
     else:
         gone = result(docs.select("doc_id", "dh", "doc").distinct().join(gone, "doc").drop("doc"), "line-removals", since)
-        same = F.col(doc_id).eqNullSafe(of["doc_id"]) & (_text_hash(F.col(text)) == of["dh"])
-    rows = df.join(gone.select(F.struct("*").alias(held)), same, "left")
-    return rows.select(*[F.col(f"`{c}`") for c in df.columns], of["removed"].alias(into))
+        key = F.struct(F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("dh"))
+    columns = columns if columns is not None else [F.col(f"`{c}`") for c in df.columns]
+    kept = df.select(*columns)
+    own_key, held = fresh(kept, "_key"), fresh(kept, "_gone")
+    rows = df.select(*columns, key.alias(own_key)).join(
+        gone.select(F.struct("*").alias(held)).hint("merge"), [F.col(own_key)[c].eqNullSafe(F.col(held)[c]) for c in gone.columns[:-1]], "left"
+    )
+    return rows.select(*[F.col(f"`{c}`") for c in kept.columns], F.col(held)["removed"].alias(into))
 
 
 def decisions(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -522,9 +529,9 @@ def decisions(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     Rows equal in id and text are one document, whose decisions hold for each. Lines without words are never removed.
     An empty table gives an empty result. Columns of df but the two named are not read.
     """
-    rows = with_removed(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "removed")
-    removed = F.coalesce("removed", F.array().cast("array<int>")).alias("removed")
-    return rows.select("doc_id", _text_hash(F.col("text")).alias("dh"), lines_with_words(F.col("text")).alias("n_lines"), removed).where("n_lines > 0").distinct()
+    columns = [F.col(doc_id).alias("doc_id"), _text_hash(F.col(text)).alias("dh"), lines_with_words(F.col(text)).alias("n_lines")]
+    rows = with_removed(df, "removed", doc_id, text, columns).where("n_lines > 0")
+    return rows.withColumn("removed", F.coalesce("removed", F.array().cast("array<int>"))).distinct()
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", removed: str | None = None) -> DataFrame:

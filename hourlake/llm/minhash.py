@@ -190,7 +190,7 @@ def deduplicated(df: DataFrame, words: int = 5, threshold: int = 80, doc_id: str
     digest, match = fresh(df, "_hash"), fresh(df, "_kept")
     rows = df.withColumn(digest, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     of = F.col(match)
-    rows = rows.join(kept.select(F.struct("*").alias(match)), F.col(doc_id).eqNullSafe(of["doc_id"]) & (F.col(digest) == of["text_hash"]))
+    rows = rows.join(kept.select(F.struct("*").alias(match)).hint("merge"), F.col(doc_id).eqNullSafe(of["doc_id"]) & (F.col(digest) == of["text_hash"]))
     columns = [F.col(f"`{c}`") for c in df.columns]
     row, one = F.struct(*columns), fresh(df, "_row")
     first = rows.where(of["rows"] > 1).groupBy(of["doc_id"], of["text_hash"]).agg(F.min_by(row, F.to_json(row)).alias(one))

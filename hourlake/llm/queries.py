@@ -67,11 +67,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = line_dedup.with_removed(read(spark, sf_dir, "documents", "doc_id", "text"), "removed")
+    columns = [F.col("doc_id"), line_dedup.lines_with_words(F.col("text")).cast("long").alias("n_lines")]
+    rows = line_dedup.with_removed(read(spark, sf_dir, "documents", "doc_id", "text"), "removed", columns=columns)
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return rows.select(
         "doc_id",
-        line_dedup.lines_with_words(F.col("text")).cast("long").alias("n_lines"),
+        "n_lines",
         F.size(removed).cast("long").alias("n_removed"),
         F.array_join(removed.cast("array<string>"), ",").alias("removed_lines"),
     )
