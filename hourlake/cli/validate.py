@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = create_session("validate-silver")
     try:
         report = validate(spark, silver, args.quarantine_dir or f"{silver}_quarantine", args.manifest or f"{settings.raw_dir}/manifest.json", codes, args.full_scan)
+        cleaned = clean_sidecars(report.cleanup_candidates, spark) if args.clean_sidecars else None
     finally:
         spark.stop()
     if args.report:
@@ -44,8 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     if not args.show_cleanup_candidates:
         shown["cleanup_candidates"] = shown["cleanup_candidates"][:SHOWN]
     print(json.dumps(shown, indent=2, ensure_ascii=False))
-    if args.clean_sidecars:
-        print(f"{clean_sidecars(report.cleanup_candidates)} sidecar files deleted")
+    if cleaned is not None:
+        print(f"{cleaned} sidecar files deleted")
     return int(report.status != "pass")
 
 

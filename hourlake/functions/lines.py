@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.sources.names import dump_date, dump_hour
+from hourlake.sources.names import dump_date, dump_hour, dump_stamp
 
 #: Reasons, in the order in which they are tried.
 REASONS = ("invalid_filename", "malformed_line", "missing_required_value", "non_numeric_metric", "negative_metric", "unsupported_source_project")
@@ -52,9 +52,9 @@ def invalid_reason(n_tokens: Column, date: Column, hour: Column, code: Column, t
 
 def parsed(raw: DataFrame) -> DataFrame:
     """raw (value, source_file, source_filename) with tokens, numbers, date and hour."""
-    out = raw.withColumn("parts", tokens(F.col("value")))
+    out = raw.withColumns({"parts": tokens(F.col("value")), "stamp": dump_stamp(F.col("source_filename"))})
     out = out.withColumns({name: token(F.col("parts"), k) for k, name in enumerate(("source_project", "page_title", "view_count_raw", "response_size_raw"))})
-    out = out.withColumns({"n_tokens": F.size("parts"), "date": dump_date(F.col("source_filename")), "hour": dump_hour(F.col("source_filename"))}).drop("parts")
+    out = out.withColumns({"n_tokens": F.size("parts"), "date": dump_date(F.col("stamp")), "hour": dump_hour(F.col("stamp"))}).drop("parts", "stamp")
     return out.withColumns({"view_count": metric(F.col("view_count_raw")), "response_size": metric(F.col("response_size_raw"))})
 
 

@@ -27,18 +27,8 @@ PROJECTS = {
     "www.wd": Project("wikidata", None, "wikidata", "desktop"),
     "www.wd.m": Project("wikidata", None, "wikidata", "mobile"),
 }
-#: The codes in scope where nothing else is said.
-DEFAULT_CODES = tuple(code for code in PROJECTS if code != "www.wd.m")
-
-
-def lookup(code: str) -> Project | None:
-    return PROJECTS.get(code)
-
-
-def language_and_family(code: str) -> tuple[str | None, str]:
-    """(language, family); (None, 'other') for a code that is not supported."""
-    found = PROJECTS.get(code)
-    return (found.language, found.project_family) if found else (None, "other")
+#: The codes in scope where nothing else is said: all but the mobile site of wikidata.
+DEFAULT_CODES = ("en", "en.m", "vi", "vi.m", "commons.m", "commons.m.m", "www.wd")
 
 
 def allowlist(codes: Iterable[str]) -> list[str]:

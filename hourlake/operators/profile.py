@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -148,6 +149,39 @@ def extra(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFr
     return missing(actual, expected, keys)
 
 
-def file_inventory(spark, path: str) -> DataFrame:
-    """(path, length) of the Parquet files below a folder, from the listing alone."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "length")
+def file_inventory(spark, path: str, names: str = "*.parquet") -> DataFrame:
+    """(path, length) of the files below a folder whose names fit, from the listing alone."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", "true").load(str(path)).select("path", "length")
+
+
+def dump_inventory(spark, path: str) -> DataFrame:
+    """(filename, size_bytes) of the dumps below a folder: the listing that `inventory` compares with a manifest."""
+    return file_inventory(spark, path, "pageviews-*.gz").select(F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("size_bytes"))
+
+
+def first_lines(spark, paths: Sequence[str], rows: int) -> DataFrame:
+    """(source_filename, line, value) of the first lines of each gzip file. A cut or corrupt file gives the lines before the fault; it does not fail the scan.
+
+    A file is one task, which stops reading once it has its lines; nothing is shuffled or sorted.
+    """
+    lines = spark.read.option("ignoreCorruptFiles", "true").text(list(map(str, paths))).select(F.col("_metadata.file_name").alias("source_filename"), "value")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, n = None, 0
+        for batch in batches:
+            names, at, places = batch.column(0).to_pylist(), [], []
+            for k, name in enumerate(names):
+                last, n = (last, n + 1) if name == last else (name, 1)
+                if n <= rows:
+                    at.append(k)
+                    places.append(n)
+            some = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(places, pa.int32()), some.column(1)], ["source_filename", "line", "value"])
+
+    return lines.mapInArrow(work, "source_filename string, line int, value string")
+
+
+def first_rows(spark, path: str, rows: int) -> DataFrame:
+    """The first rows of each Parquet file below a folder, with its name and the row's place: by the row index that the reader gives, without a shuffle."""
+    table = spark.read.option("recursiveFileLookup", "true").parquet(str(path))
+    return table.select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index")).where(F.col("row_index") < rows)

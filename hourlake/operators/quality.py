@@ -11,8 +11,9 @@ from pyspark.sql import SparkSession
 
 from hourlake.functions.projects import PROJECTS
 from hourlake.operators.profile import quality_counts
+from hourlake.sources import storage
 from hourlake.sources.manifest import load_json
-from hourlake.sources.names import parse_partition
+from hourlake.sources.names import parse_relative
 from hourlake.sources.schemas import LINEAGE, REQUIRED
 
 
@@ -29,26 +30,32 @@ class Report:
     cleanup_candidates: list[str] = field(default_factory=list)
 
 
-def parquet_files(path: str | Path) -> list[Path]:
-    return sorted(Path(path).rglob("*.parquet")) if Path(path).is_dir() else []
+def parquet_files(spark: SparkSession, path: str | Path) -> dict[str, int]:
+    """Sizes of the Parquet files below a folder by their relative paths."""
+    return {p: n for p, n in storage.files(spark, path).items() if p.endswith(".parquet")}
 
 
-def sidecars(path: str | Path) -> list[Path]:
+def sidecars(spark: SparkSession, path: str | Path) -> list[str]:
     """Markers and checksums that a writer leaves beside its data."""
-    return sorted(p for p in Path(path).rglob("*") if p.is_file() and _is_sidecar(p)) if Path(path).is_dir() else []
+    return [f"{path}/{p}" for p in storage.files(spark, path) if p and _is_sidecar(p)]
 
 
-def _is_sidecar(path: Path) -> bool:
-    return path.name == "_SUCCESS" or path.suffix == ".crc"
+def _is_sidecar(path: str | Path) -> bool:
+    name = str(path).rpartition("/")[2]
+    return name == "_SUCCESS" or name.endswith(".crc")
 
 
-def clean_sidecars(paths: list[str | Path]) -> int:
-    """Delete sidecars; ValueError for anything else, before any is deleted."""
-    paths = [Path(p) for p in paths]
+def clean_sidecars(paths: list[str | Path], spark: SparkSession | None = None) -> int:
+    """Delete sidecars; ValueError for anything else, before any is deleted. Other file systems than the local one need a session."""
     if odd := [str(p) for p in paths if not _is_sidecar(p)]:
         raise ValueError(f"not sidecar files: {odd}")
     for p in paths:
-        p.unlink(missing_ok=True)
+        if (own := storage.local_path(p)) is not None:
+            own.unlink(missing_ok=True)
+        elif spark is None:
+            raise ValueError(f"{p} can only be deleted by a session")
+        else:
+            storage.delete(spark, p)
     return len(paths)
 
 
@@ -71,16 +78,15 @@ def validate(spark: SparkSession, silver_dir: str | Path, quarantine_dir: str |
 
     The layout is read from file names on the driver, as it is bounded by files and not rows; row checks are one Spark scan.
     """
-    silver_dir, quarantine_dir = Path(silver_dir), Path(quarantine_dir)
     pairs = expected_pairs(codes)
     errors, warnings = [], []
-    files, quarantined = parquet_files(silver_dir), parquet_files(quarantine_dir)
-    if not silver_dir.is_dir():
+    files, quarantined = parquet_files(spark, silver_dir), parquet_files(spark, quarantine_dir)
+    if not storage.exists(spark, silver_dir):
         errors.append(f"Silver directory is missing: {silver_dir}")
     elif not files:
         errors.append("Silver has no Parquet files")
-    places = {p: parse_partition(p, silver_dir) for p in files}
-    if outside := [str(p) for p, at in places.items() if at is None]:
+    places = {p: parse_relative(p) for p in files}
+    if outside := [p for p, at in places.items() if at is None]:
         errors.append(f"{len(outside)} files lie outside the partition layout")
     parts = {at for at in places.values() if at}
     hours, wanted_hours = {at[:2] for at in parts}, expected_hours(manifest_path)
@@ -92,9 +98,9 @@ def validate(spark: SparkSession, silver_dir: str | Path, quarantine_dir: str |
             into.append(f"{len(found)} {what}")
     metrics = {
         "silver_parquet_files": len(files),
-        "silver_bytes": sum(p.stat().st_size for p in files),
+        "silver_bytes": sum(files.values()),
         "quarantine_parquet_files": len(quarantined),
-        "quarantine_bytes": sum(p.stat().st_size for p in quarantined),
+        "quarantine_bytes": sum(quarantined.values()),
         "dates": len({at[0] for at in parts}),
         "hours": len(hours),
         "partitions": len(parts),
@@ -119,7 +125,7 @@ def validate(spark: SparkSession, silver_dir: str | Path, quarantine_dir: str |
             errors += [f"{n} rows with {name}" for name, n in counts.items() if n]
     if not (full_scan and files):
         warnings.append("rows were not scanned")
-    left = [str(p) for d in (silver_dir, quarantine_dir) for p in sidecars(d)]
+    left = [p for d in (silver_dir, quarantine_dir) for p in sidecars(spark, d)]
     if left:
         warnings.append(f"{len(left)} sidecar files")
     return Report(datetime.now(UTC).isoformat(), str(silver_dir), str(quarantine_dir), str(manifest_path), "fail" if errors else "pass", errors, warnings, metrics, left)

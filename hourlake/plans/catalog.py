@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from hourlake.functions import projects
 from hourlake.functions.lines import classified, metric, normalized_title, parsed
 from hourlake.operators import profile, silver
-from hourlake.sources.names import dump_date, dump_hour, hour_spine, partition_columns
+from hourlake.sources.names import dump_date, dump_hour, dump_stamp, hour_spine, partition_columns
 from hourlake.sources.schemas import LINEAGE
 
 CODE = "case event_id % 9 when 0 then 'en' when 1 then 'en.m' when 2 then 'vi' when 3 then 'vi.m' when 4 then 'commons.m' when 5 then 'commons.m.m' when 6 then 'www.wd' when 7 then 'www.wd.m' else 'fr' end"
@@ -161,8 +161,9 @@ def q_raw_lines(spark, sf_dir):
 
 @_query("select distinct source_filename, date, hour from parsed")
 def q_filename_parse(spark, sf_dir):
-    name = F.col("source_filename")
-    return raw_lines(spark, sf_dir).select("source_filename").distinct().select("source_filename", dump_date(name).alias("date"), dump_hour(name).alias("hour"))
+    stamp = F.col("stamp")
+    names = raw_lines(spark, sf_dir).select("source_filename").distinct().withColumn("stamp", dump_stamp(F.col("source_filename")))
+    return names.select("source_filename", dump_date(stamp).alias("date"), dump_hour(stamp).alias("hour"))
 
 
 @_query("select distinct concat('date=', date, '/hour=', hour, '/project=', project, '/access_mode=', access_mode, '/part-00000.parquet') as path, date, hour, project, access_mode from silver union all select 'other/part-00000.parquet', null, null, null, null")

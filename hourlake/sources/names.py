@@ -22,14 +22,19 @@ def parse_dump_name(name: str) -> tuple[str, int]:
     return f"{m[1]}-{m[2]}-{m[3]}", int(m[4])
 
 
-def dump_date(name: Column) -> Column:
-    """Date of a dump's file name; null where the name has none or it is no date."""
-    return F.concat_ws("-", *[F.regexp_extract(name, DUMP_NAME, k) for k in (1, 2, 3)]).try_cast("date")
+def dump_stamp(name: Column) -> Column:
+    """'YYYYMMDD-HH' of a dump's file name, or the empty text: the one pattern match that a line needs."""
+    return F.regexp_extract(name, r"pageviews-(\d{8}-\d{2})0000\.gz$", 1)
 
 
-def dump_hour(name: Column) -> Column:
-    """Hour of a dump's file name; null where the name has none or it is not within a day."""
-    hour = F.regexp_extract(name, DUMP_NAME, 4).try_cast("int")
+def dump_date(stamp: Column) -> Column:
+    """Date of a dump_stamp; null where it is empty or no date."""
+    return F.concat_ws("-", F.substring(stamp, 1, 4), F.substring(stamp, 5, 2), F.substring(stamp, 7, 2)).try_cast("date")
+
+
+def dump_hour(stamp: Column) -> Column:
+    """Hour of a dump_stamp; null where it is empty or not within a day."""
+    hour = F.substring(stamp, 10, 2).try_cast("int")
     return F.when(hour.between(0, 23), hour)
 
 
@@ -82,5 +87,10 @@ def partition_columns(path: Column) -> list[Column]:
 
 def parse_partition(path: str | Path, table: str | Path) -> tuple[str, int, str, str] | None:
     """(date, hour, project, access_mode) of a Silver file, or None."""
-    m = re.fullmatch(SILVER_PATH, Path(path).relative_to(table).as_posix())
+    return parse_relative(Path(path).relative_to(table).as_posix())
+
+
+def parse_relative(path: str) -> tuple[str, int, str, str] | None:
+    """The same of a path relative to the table."""
+    m = re.fullmatch(SILVER_PATH, path)
     return (m[1], int(m[2]), m[3], m[4]) if m else None

@@ -66,9 +66,11 @@ def plan(tmp_path, **more):
 
 def test_plan(tmp_path):
     assert manifest.load_plan(plan(tmp_path, expected_hours=24)).base_urls == ("https://a", "https://b")
-    for bad in ({"expected_hours": 23}, {"end_date": "2025-12-31"}, {"base_urls": ["http://a"]}, {"base_urls": []}, {"download_workers": 9}, {"download_attempts": 0}, {"download_timeout_seconds": 1}):
+    for bad in ({"expected_hours": 23}, {"end_date": "2025-12-31"}, {"base_urls": ["http://a"]}, {"base_urls": "https://a"}, {"download_workers": 9}, {"download_attempts": 0}, {"download_timeout_seconds": 1}):
         with pytest.raises(ValueError):
             manifest.load_plan(plan(tmp_path, **bad))
+    for none in ({"base_urls": []}, {"base_urls": None}):  # the official site
+        assert manifest.load_plan(plan(tmp_path, **none)).base_urls == (manifest.OFFICIAL_URL,)
     with pytest.raises(ValueError):
         manifest.check_overrides(True, hours="1")
     assert manifest.rotated(("a", "b", "c"), 4) == ("b", "c", "a")
@@ -104,7 +106,19 @@ def test_command_lines(tmp_path, capsys):
     from hourlake.cli import build_silver, download
 
     assert download.main(["--plan", str(plan(tmp_path)), "--dry-run"]) == 0
-    assert json.loads(capsys.readouterr().out)["files"] == 24
+    shown = json.loads(capsys.readouterr().out)
+    assert shown["files"] == shown["hours"] == shown["files_to_download"] == 24 and shown["trust_manifest_on_resume"] is False
+    assert shown["base_urls"] == ["https://a", "https://b"] and shown["download_timeout_seconds"] == 30
+    trusting = ["--plan", str(plan(tmp_path, trust_manifest_on_resume=True)), "--dry-run"]
+    for more, trust in ([], True), (["--verify-existing"], False), (["--overwrite"], False):
+        assert download.main(trusting + more) == 0
+        assert json.loads(capsys.readouterr().out)["trust_manifest_on_resume"] is trust
+    days = ["--start-date", "2026-01-01", "--end-date", "2026-01-02", "--output-dir", str(tmp_path), "--dry-run"]
+    assert download.main([*days, "--hours", "0,23"]) == 0
+    shown = json.loads(capsys.readouterr().out)
+    assert shown["hours"] == 4 and shown["base_urls"] == [manifest.OFFICIAL_URL] and shown["plan_id"] == "manual-2026-01-01-2026-01-02"
+    with pytest.raises(ValueError):
+        download.main([*days, "--hours", "24"])
     (tmp_path / "manifest.json").write_text('{"files": []}')
     assert build_silver.main(["--raw-dir", str(tmp_path), "--silver-dir", str(tmp_path / "s"), "--dry-run"]) == 0
     assert json.loads(capsys.readouterr().out)["would_refuse_without_overwrite"] is False

@@ -55,4 +55,4 @@ def test_allowlist(spark):
     with pytest.raises(ValueError):
         projects.dimension(spark, [])
     assert projects.dimension(spark, ["vi.m", "commons.m"]).collect() == [("vi.m", "vi", "vi", "wikipedia", "mobile"), ("commons.m", "commons", None, "commons", "desktop")]
-    assert projects.language_and_family("zz") == (None, "other") and projects.lookup("zz") is None
+    assert set(projects.DEFAULT_CODES) == set(projects.PROJECTS) - {"www.wd.m"} and "zz" not in projects.PROJECTS

@@ -65,7 +65,49 @@ def test_stream(spark, bronze):
 
     query = start(spark, str(bronze / "Tâm raw"), str(bronze / "s"), str(bronze / "q"), str(bronze / "c"), ["en"])
     query.awaitTermination()
-    assert spark.read.parquet(str(bronze / "s")).count() == 2
+    assert silver.read_silver(spark, bronze / "s").count() == 2
+    report = quality.validate(spark, bronze / "s", bronze / "q", bronze / "manifest.json", ["en"], full_scan=True)
+    assert report.status == "pass" and report.metrics["row_count"] == 2
+
+
+def test_a_repeated_batch_replaces_its_files(spark, tmp_path):
+    from hourlake.streaming.silver_stream import put
+
+    for rows in (3, 2):
+        spark.range(rows).selectExpr("id", "id % 2 as k").coalesce(1).write.mode("overwrite").partitionBy("k").parquet(str(tmp_path / "aside"))
+        put(spark, str(tmp_path / "aside"), str(tmp_path / "t"), "batch-1-")
+    put_in = spark.read.parquet(str(tmp_path / "t"))
+    assert put_in.count() == 2 and not (tmp_path / "aside").exists()
+
+
+def test_uris_and_options(spark, bronze):
+    to = [(bronze / n).as_uri() for n in ("s", "q")]
+    summary = silver.build_tables(spark, files(bronze), *to, ["en"], python_reasons=True, rows_per_file=1, parse_once=False)
+    assert (summary.silver_rows, summary.quarantine_rows) == (2, 3)
+    assert len([p for p in (bronze / "s").rglob("*.parquet")]) == 2
+    assert {r["invalid_reason"] for r in silver.read_quarantine(spark, to[1]).collect()} == {"malformed_supported_project_line"}
+    assert silver.has_payload(to[0]) and silver.has_payload(to[0], spark)
+    with pytest.raises(FileExistsError):
+        silver.build_tables(spark, files(bronze), *to, ["en"])
+    assert quality.validate(spark, *to, bronze / "manifest.json", ["en"], full_scan=True).status == "pass"
+    with pytest.raises(ValueError):
+        silver.has_payload("s3://bucket/table")
+
+
+def test_samples_and_listing(spark, bronze):
+    from hourlake.operators import profile
+
+    (path,) = files(bronze)
+    cut = path.with_name("pageviews-20260101-010000.gz")
+    cut.write_bytes(path.read_bytes()[:-12])
+    lines = profile.first_lines(spark, [path, cut], 2).collect()
+    assert [(r["line"], r["value"]) for r in lines if r["source_filename"] == path.name] == [(1, "en Main_Page 10 100"), (2, "fr Page_d_accueil 5 50")]
+    actual = profile.dump_inventory(spark, str(bronze / "Tâm raw"))
+    joined = profile.inventory(manifest.manifest_frame(spark, bronze / "manifest.json"), actual).collect()
+    assert {(r["filename"], r["found"], r["size_matches"]) for r in joined} == {(path.name, "both", True), (cut.name, "right_only", False)}
+    silver.build_tables(spark, [path], bronze / "s", bronze / "q", ["en"])
+    rows = profile.first_rows(spark, str(bronze / "s"), 1).collect()
+    assert len(rows) == 1 and rows[0]["row_index"] == 0
 
 
 def test_missing_tables(spark, tmp_path):
