@@ -42,6 +42,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority by which Spark resolves it, so that every machine and library means the same place."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    return f"file://{full.removeprefix('file:')}" if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a path through the file system that its scheme names."""
     jvm = spark.sparkContext._jvm

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import stored, tidy
+from hourlake.llm.common import mark, result, stored, tidy
 from hourlake.llm.graph import components
 from hourlake.llm.minhash import _with_roots, groups
 from hourlake.llm.vectors import matrix, unit, valid
@@ -95,6 +95,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, vec_id: str = "
     node = F.when(part, F.concat_ws("-", F.hex(F.xxhash64("label", "v")), F.hex(F.xxhash64(F.lit(1), "v", "label"))))
     nodes = rows.withColumn("node", node)
     classes = nodes.where("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least_id"), F.first("label").alias("label"), F.first("v").alias("v"))
+    since = mark()
     classes = stored(classes.withColumn("dims", F.size("v")), "vector-classes")
     found = stored(_compared(classes, threshold), "vector-found")
     counts = stored(found.where("b is null").groupBy("a").agg(F.sum("links").alias("links")), "vector-counts")
@@ -102,7 +103,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, vec_id: str = "
     ids = classes.select("node", "copies", "least_id").join(roots, "node", "left").join(counts, F.col("node") == F.col("a"), "left")
     ids = stored(ids.select("node", "copies", "least_id", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "vector-nodes")
     least = stored(ids.groupBy("root").agg(F.min("least_id").alias("component_id")), "vector-least")
-    ids = stored(ids.join(least, "root").select("node", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id"), "vector-ids")
+    ids = result(ids.join(least, "root").select("node", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id"), "vector-ids", since)
     out = nodes.select("vec_id", "node").join(ids, "node", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -161,7 +161,7 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: int = 80, doc_id:
     copies and links, or null if there are none. Repeated rows are copies. An empty table gives an empty result.
     """
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
-    nodes = sketched(docs, words)
+    nodes, since = sketched(docs, words), mark()
     classes = nodes.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.first("registers").alias("registers"))
     classes = stored(classes, "minhash-classes")
     candidates = candidate_links(classes.select("digest", "registers"), threshold)
@@ -171,7 +171,7 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: int = 80, doc_id:
     ids = classes.select("digest", "least_id").join(joined.withColumnRenamed("node", "digest"), "digest", "left")
     ids = ids.withColumn("root", F.coalesce("root", "digest"))
     least = stored(ids.groupBy("root").agg(F.min("least_id").alias("component_id")), "minhash-least")
-    ids = stored(ids.select("digest", "root").join(least, "root").select("digest", "component_id"), "minhash-ids")
+    ids = result(ids.select("digest", "root").join(least, "root").select("digest", "component_id"), "minhash-ids", since)
     out = nodes.select("doc_id", "n_shingles", "text_hash", "digest").join(ids, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     kept = F.col("doc_id").eqNullSafe(component)

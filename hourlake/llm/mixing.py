@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import WORD, fresh, stored
+from hourlake.llm.common import WORD, fresh, mark, result, stored
 
 #: Weights of the sources in code point order, repeating; the most a target may be in multiples of its source's size.
 WEIGHTS = (5, 2, 1)
@@ -90,12 +90,13 @@ def mix(
     rows = df.withColumn(n, counted).withColumn(name, F.col(source))
     rows = rows.withColumn(key, exponential_key(F.col(doc_id), quality if quality is not None else default_quality(F.col(n)), seed))
 
+    since = mark()
     slim = stored(rows.select(F.col(name).alias("source"), F.col(n).alias("size"), F.col(key).alias("key"), F.col(doc_id).alias("id")), "mix-keys")
     targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     targets = targets.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     targets = stored(targets, "mix-targets")
-    cuts = stored(_cuts(slim, targets), "mix-cuts")
+    cuts = result(_cuts(slim, targets), "mix-cuts", since)
 
     with_facts = rows.join(cuts.select(F.struct("*").alias(facts)), F.col(name).eqNullSafe(F.col(facts)["source"]))
     of = F.col(facts)

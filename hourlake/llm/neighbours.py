@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import stored, tidy
+from hourlake.llm.common import mark, result, stored, tidy
 from hourlake.llm.minhash import groups
 from hourlake.llm.vectors import matrix, unit, valid
 
@@ -296,6 +296,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id",
     """
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.where(valid(F.col("v")) & F.col("vec_id").isNotNull()).withColumn("dims", F.size("v")).withColumn("of", F.xxhash64("v"))
+    since = mark()
     rows = stored(rows.dropDuplicates(["vec_id", "v"]), "neighbour-rows")
     least = Window.partitionBy("v").orderBy("vec_id")
     index = rows.withColumn("copy", F.row_number().over(least)).where(F.col("copy") <= k + 1).drop("copy")
@@ -314,7 +315,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id",
     kth = near.where("vec_id is not null").withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select("query_id", "of", F.col("score").alias("known"))
     asking = asking.withColumnRenamed("cell", "home").join(kth.withColumnRenamed("query_id", "vec_id"), ["vec_id", "of"], "left")
     rest = _allowed(asking, boxes).join(parts, ["dims", "cell"]).withColumn("part", everywhere)
-    answers = stored(near.union(_answers(index, rest, k)), "neighbour-answers")
+    answers = result(near.union(_answers(index, rest, k)), "neighbour-answers", since)
     verified = F.sum("verified").over(Window.partitionBy("query_id", "of")).alias("verified")
     out = answers.select("query_id", F.row_number().over(best).alias("rank"), "vec_id", "score", verified)
     return out.where((F.col("rank") <= k) & F.col("vec_id").isNotNull())

@@ -298,7 +298,7 @@ def encoded(text: Column, path: str, bos: bool = True, eos: bool = True) -> Colu
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text", into: str = "pieces") -> DataFrame:
-    """encode_documents, with the text decoded from the ids as a third field, `decoded`, in the same pass."""
+    """encode_documents, with the text decoded from the ids as a third field, `decoded`, in the same pass. Nulls and all else as there."""
     return df.withColumn(into, _coded(F.coalesce(F.col(text), F.lit("")), path, True, True, True))
 
 
@@ -326,5 +326,9 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", into: str = "
 
 
 def decode_documents(df: DataFrame, path: str, ids: str, into: str = "decoded") -> DataFrame:
-    """Add `into`, the text of the packed ids in column `ids` (null for null)."""
+    """Add `into`, the text of the packed ids in column `ids`.
+
+    Nulls: null ids give a null text, no ids the empty one. Other columns pass through; an existing column named `into` is replaced. Ids of
+    any number are decoded whole, repeated rows each; an empty table stays empty.
+    """
     return df.withColumn(into, decoded(F.col(ids), path))

@@ -247,13 +247,17 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, othe
 
     At most toxic_rows and other_rows labelled rows are used, in the order of a hash of the id; only
     their ids are joined to the texts by broadcast, and only the model comes to the driver.
+
+    Nulls: rows with a null doc_id, and labels with a null toxic, are not learnt from; a null text is the empty one. An id with several labels is toxic if
+    one says so; of an id with several texts the first in their order is taken, so that the model is the same in every run. Without labelled rows, or with empty
+    tables, every score is the same. Other columns are not read.
     """
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     labels = labels.withColumn("place", F.xxhash64("doc_id"))
     parts = [labels.where(F.col("toxic") == kind).orderBy("place", "doc_id").limit(most) for kind, most in ((1, toxic_rows), (0, other_rows))]
     chosen = stored(parts[0].union(parts[1]), "toxicity-sample")
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    sample = sample.select("place", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").repartition(1).sortWithinPartitions("place", "doc_id")
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("place", "doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    sample = sample.select("place", "doc_id", "text", "toxic").repartition(1).sortWithinPartitions("place", "doc_id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, toxic = [], []

@@ -18,7 +18,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import new_path, stored
+from hourlake.llm.common import mark, new_path, qualified, result, stored
 
 INDEX_SCHEMA = "page_id long, url string, archive string, offset long, length long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 RECORD_SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -26,16 +26,19 @@ RECORD_SCHEMA = "page_id long, url string, payload_bytes long, payload_digest st
 ARCHIVE_BYTES = 256 << 20
 NEAR_BYTES = 64 << 10
 READ_BYTES = 8 << 20
+#: Bytes of archives that a task reads about.
+TASK_BYTES = 256 << 20
 DATE = "2024-01-01T00:00:00Z"
 #: Records with payloads below this size are never revisits.
 LEAST_PAYLOAD = 0
 
 
 def file_system(path: str) -> tuple[arrow_fs.FileSystem, str]:
-    """The file system of a path's scheme, and the path in it."""
+    """The file system of a path's scheme, and the path in it. A path without one could mean another place here than on the driver."""
     if "://" not in path:
-        path = path.replace("file:", "", 1)
-        return arrow_fs.LocalFileSystem(), path
+        raise ValueError(f"{path} names no file system")
+    if path.startswith("file://"):
+        return arrow_fs.LocalFileSystem(), path.removeprefix("file://")
     scheme, _, rest = path.partition("://")
     return arrow_fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
 
@@ -112,6 +115,7 @@ def write_archives(pages: DataFrame, folder: str, least_payload: int = LEAST_PAY
     any other, so such a row is a response only if no equal payload has an id. Repeated rows with the largest id are
     responses each. An empty table writes nothing and gives an empty index. Other columns of pages are not read.
     """
+    since, folder = mark(), qualified(pages.sparkSession, folder)
     pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     slim = pages.select("page_id", F.sha1(F.col("html").cast("binary")).alias("digest"), F.octet_length("html").alias("size"))
     groups = slim.where(F.col("size") >= least_payload).groupBy("digest").agg(F.max("page_id").alias("largest"), F.count("*").alias("n"))
@@ -145,7 +149,7 @@ def write_archives(pages: DataFrame, folder: str, least_payload: int = LEAST_PAY
         if out is not None:
             out.close()
 
-    return stored(joined.mapInArrow(write, INDEX_SCHEMA), "warc-index")
+    return result(joined.mapInArrow(write, INDEX_SCHEMA), "warc-index", since)
 
 
 def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
@@ -155,7 +159,10 @@ def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
     are read together, up to READ_BYTES. With payloads=False the column payload is left out. An empty selection
     gives an empty result; index rows selected twice give their record twice.
     """
-    wanted = index.select("archive", "offset", "length").repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    spark, wanted = index.sparkSession, index.select("archive", "offset", "length")
+    size = wanted.agg(F.sum("length")).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))  # a count, or all index rows would be few enough for one task
+    wanted = wanted.repartitionByRange(parts, "archive", "offset").sortWithinPartitions("archive", "offset")
     fields = RECORD_SCHEMA if payloads else RECORD_SCHEMA.rpartition(",")[0]
     schema = _arrow(fields)
 

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from hourlake.llm import licences, line_dedup, minhash, mixing, queries
 
 SCHEMA = "doc_id long, text string, source string, digest string, block long, line string, n long, root string, words string, _key string, licence_scan string, removed string"
+#: Names that the operators give to columns of their own.
+CLASHES = ["_gone", "_removed", "_hash", "_kept", "_row", "_mix", "_copy", "_size", "_source", "_facts", "_place", "_toxicity", "_dh_id", "_dh_hash", "_kept_id", "doc", "dh", "text_hash", "component_id", "kept", "part", "rows", "taken", "size", "key", "mix", "id"]
 
 
 def documents(spark, rows):
-    return spark.createDataFrame([(i, t, s, *[None, 3, "x", None, "y", "z", "k", "l", "r"]) for i, t, s in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, s, *[None, 3, "x", None, "y", "z", "k", "l", "r"], *CLASHES) for i, t, s in rows], SCHEMA + "".join(f", `{c}` string" for c in CLASHES))
 
 
 def corpus(seed=1, n=60):
@@ -309,7 +311,28 @@ def test_licences_of_the_standard_notices(spark):
     assert got[len(texts)]["sentences"] == [] and got[len(texts)]["licences"] == []
 
 
-@pytest.mark.parametrize("run", [lambda d: minhash.near_duplicates(d), line_dedup.decisions, line_dedup.dedup_lines, mixing.mix, mixing.mixed_documents, licences.scan])
+@pytest.mark.parametrize("run", [line_dedup.dedup_lines, minhash.deduplicated, mixing.mixed_documents])
+def test_columns_of_any_name_pass_through(spark, run):
+    df = documents(spark, corpus(5)[:30])
+    out = run(df)
+    assert out.columns == df.columns
+    for row in out.collect():
+        assert [row[c] for c in CLASHES] == CLASHES and row["block"] == 3
+
+
+def test_ids_that_are_no_numbers_and_ids_with_several_texts(spark):
+    rows = [("b", "one two three four five six", 0), ("a", "one two three four five six", 0), ("a", "seven\none two three four five six", 0), (None, "seven", 0)]
+    for kind in ("string", "long"):
+        ids = {"a": 1, "b": 2, None: None} if kind == "long" else {"a": "a", "b": "b", None: None}
+        df = spark.createDataFrame([(ids[i], t) for i, t, _ in rows], f"doc_id {kind}, text string")
+        order = {r["text"]: r["h"] for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+        texts = {h: t for t, h in order.items()}
+        want = brute_lines([(({None: None, "a": 1, "b": 2}[i]), t, order[t]) for i, t, _ in rows])
+        got = {({v: {"a": 1, "b": 2}.get(k) for k, v in ids.items()}[r["doc_id"]], texts[r["dh"]]): (r["n_lines"], r["removed"]) for r in line_dedup.decisions(df).collect()}
+        assert got == want
+
+
+@pytest.mark.parametrize("run", [lambda d: minhash.near_duplicates(d), minhash.deduplicated, line_dedup.decisions, line_dedup.dedup_lines, mixing.mix, mixing.mixed_documents, licences.scan])
 def test_empty_tables(spark, run):
     assert run(documents(spark, []).limit(0)).count() == 0
 
