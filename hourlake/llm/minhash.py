@@ -32,8 +32,8 @@ EMPTY = 0xFFFF
 #: Standard deviations of the estimate below the threshold down to which candidates go on to the full sets: so many that the
 #: estimate loses no more pairs at the threshold of 0.8 than the bands do.
 DEVIATIONS = 6.0
-#: Bands with fewer filled registers than this also have a check on the whole least hashes, as the registers of unrelated small sets often agree.
-FILLED = 3
+#: Filled registers, or hashes, that a band or part has at least to make a key, and keys about that a set of fewer shingles than registers has.
+FILLED, PART_KEYS = 2, 40
 #: Rows of a group that one task compares with each other, beside as many pilots.
 BLOCK = 512
 
@@ -54,14 +54,11 @@ def shingle_set(text: str, words: int) -> np.ndarray:
     return np.unique(out)
 
 
-def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(registers, checks). A register has the leading zeros of its bucket's least hash, then the bits after the first one; smaller hash, larger count.
-
-    A band's check is a hash of its whole least hashes, where fewer than FILLED of its buckets have one, and else 0.
-    """
-    registers, checks = np.full(REGISTERS, EMPTY, np.uint16), np.zeros(REGISTERS // BAND, np.uint16)
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Registers: leading zeros of a bucket's least hash, then the bits after its first one; smaller hash, larger count."""
+    registers = np.full(REGISTERS, EMPTY, np.uint16)
     if not len(hashes):
-        return registers, checks
+        return registers
     shift = 64 - REGISTERS.bit_length() + 1
     bucket = (hashes >> np.uint64(shift)).astype(np.int64)
     first = np.flatnonzero(np.diff(bucket, prepend=-1))  # hashes are sorted: the least of each bucket
@@ -69,11 +66,45 @@ def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     exponent = np.frexp(rest.astype(np.float64))[1]  # position of the first one
     high = np.where(exponent > MANTISSA, rest >> np.maximum(exponent - 1 - MANTISSA, 0).astype(np.uint64), rest << np.maximum(MANTISSA + 1 - exponent, 0).astype(np.uint64))
     registers[bucket[first]] = ((np.minimum(shift - exponent, 62) << MANTISSA) | (high & np.uint64((1 << MANTISSA) - 1)).astype(np.int64)).astype(np.uint16)
-    band = bucket[first] // BAND
-    starts = np.flatnonzero(np.diff(band, prepend=-1))
-    sums = np.add.reduceat(mixed(hashes[first]), starts) >> np.uint64(48)
-    checks[band[starts]] = np.where(np.diff(starts, append=len(band)) < FILLED, sums, 0).astype(np.uint16)
-    return registers, checks
+    return registers
+
+
+def band_keys(registers: np.ndarray) -> np.ndarray:
+    """A key for each band of registers of which FILLED are filled at least: one least hash alone would join all sets with a common shingle."""
+    bands = registers.reshape(-1, BAND)
+    some = np.flatnonzero((bands != EMPTY).sum(1) >= FILLED)
+    keys = np.ascontiguousarray(bands[some]).view(np.uint64)[:, 0] if BAND == 4 else np.array([xxhash.xxh3_64_intdigest(b.tobytes()) for b in bands[some]], np.uint64)
+    return mixed(mixed(keys) + some.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def part_keys(hashes: np.ndarray, threshold: int) -> np.ndarray:
+    """Keys of a set that fills few registers, for its partners among sets of fewer than REGISTERS shingles.
+
+    Sets of a size class that reach the threshold differ in `apart` shingles at most, so that of apart + 1 parts of the hash space one at least holds the same of both.
+    There is a key for each part that holds FILLED hashes or more, of several partings, as that one part may hold fewer.
+    """
+    out, n = [np.empty(0, np.uint64)], len(hashes)
+    top = min(100 * n // threshold, REGISTERS - 1)  # the largest set that may match
+    for kind in range(n.bit_length() - 1, top.bit_length()):  # sizes from 2 ** kind to 2 ** (kind + 1) - 1 of the larger set
+        apart = (100 - threshold) * ((2 << kind) - 1) // threshold
+        if not apart:
+            continue  # equal sets only
+        parts = apart + 1
+        partings = np.arange(max(2, -(-PART_KEYS // parts)), dtype=np.uint64)
+        chance = mixed(hashes[None, :] ^ (partings[:, None] + np.uint64(kind << 16)) * np.uint64(0xD6E8FEB86659FD93))
+        at = (chance % np.uint64(parts) + partings[:, None] * np.uint64(parts)).astype(np.int64).ravel()
+        sums = np.zeros(len(partings) * parts, np.uint64)
+        np.add.at(sums, at, np.tile(mixed(hashes), len(partings)))
+        some = np.flatnonzero(np.bincount(at, minlength=len(sums)) >= FILLED)
+        out.append(mixed(sums[some] ^ (some + (kind << 32) + (1 << 48)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    return np.concatenate(out)
+
+
+def keys_of(hashes: np.ndarray, registers: np.ndarray, threshold: int) -> np.ndarray:
+    """The keys that a set shares with any that reaches the threshold, but for rare bad luck: of parts for partners below REGISTERS shingles, of bands for others."""
+    small = part_keys(hashes, threshold) if 0 < len(hashes) < REGISTERS else np.empty(0, np.uint64)
+    large = band_keys(registers) if 100 * len(hashes) >= threshold * REGISTERS else np.empty(0, np.uint64)
+    return np.concatenate([small, large])
 
 
 def collision_share() -> float:
@@ -153,18 +184,17 @@ def near_duplicates(df: DataFrame, words: int = 5, threshold: int = 80, doc_id:
 
     kept marks the row whose id is the least that links reach. Copies (equal sets) are one node, so they are never paired with
     each other. Every link inside a family of candidates is decided on the full sets; a pair that no other links join is lost
-    if no band of its sketches agrees, about 5 in 10**8 at a Jaccard index of 0.8, or if its estimate is below
-    least_estimate, about 3 in 10**8 there (for large sets; of pairs
-    with four of five shingles about 3 in 10**6 are lost, by simulation).
+    if it shares no key (see keys_of) or if its estimate is below least_estimate. Each happens to less than one pair in 10**5 at the threshold, and to fewer
+    above it; a test measures it on pairs of sets of many sizes.
 
     Nulls: a null text is an empty set, linked with nothing; a row with a null id has its component among the ids of its
     copies and links, or null if there are none. Repeated rows are copies. An empty table gives an empty result.
     """
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"))
-    nodes, since = sketched(docs, words), mark()
-    classes = nodes.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.first("registers").alias("registers"))
+    nodes, since = sketched(docs, words, threshold), mark()
+    classes = nodes.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.first("registers").alias("registers"), F.first("keys").alias("keys"))
     classes = stored(classes, "minhash-classes")
-    candidates = candidate_links(classes.select("digest", "registers"), threshold)
+    candidates = candidate_links(classes.select("digest", "registers", "keys"), threshold)
     families = stored(_with_roots(components(candidates, "minhash-families")), "minhash-family")
     links = confirmed_links(docs.select("doc_id", "text"), classes.select("digest", "least_id"), families, words, threshold)
     joined = stored(_with_roots(components(links, "minhash-components")), "minhash-roots")
@@ -197,36 +227,31 @@ def deduplicated(df: DataFrame, words: int = 5, threshold: int = 80, doc_id: str
     return rows.where(of["rows"] == 1).select(*columns).union(first.select(*[F.col(one)[c].alias(c) for c in df.columns]))
 
 
-def sketched(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, digest, registers) of documents (doc_id, text, text_hash), stored. Equal sets have equal digests. After the registers come the bands' checks."""
+def sketched(docs: DataFrame, words: int, threshold: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, digest, registers, keys) of documents (doc_id, text, text_hash), stored. Equal sets have equal digests."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["n_shingles", "digest", "registers", "keys"], [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
         for batch in batches:
-            sets = (shingle_set(t.as_py() or "", words) for t in batch.column(1))
-            rows = [(len(s), xxhash.xxh3_128_digest(s.tobytes()), b"".join(c.tobytes() for c in sketch(s))) for s in sets]
-            n, digests, registers = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(registers, pa.binary())], ["doc_id", "text_hash", "n_shingles", "digest", "registers"])
+            rows = []
+            for text in batch.column(1):
+                hashes = shingle_set(text.as_py() or "", words)
+                registers = sketch(hashes)
+                rows.append((len(hashes), xxhash.xxh3_128_digest(hashes.tobytes()), registers.tobytes(), keys_of(hashes, registers, threshold).view(np.int64)))
+            columns = zip(*rows, strict=True) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["doc_id", "text_hash", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return stored(docs.mapInArrow(work, f"doc_id {kind}, text_hash long, n_shingles long, digest binary, registers binary"), "minhash-nodes")
+    return stored(docs.mapInArrow(work, f"doc_id {kind}, text_hash long, n_shingles long, digest binary, registers binary, keys array<long>"), "minhash-nodes")
 
 
 def _edges(names: list[bytes], edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([names[e[k]] for e in edges], pa.binary()) for k in (0, 1)], schema=EDGE)
 
 
-def _bands(classes: DataFrame) -> DataFrame:
-    """(digest, band): a hash of each band that has a filled register."""
-    width, checks = 2 * BAND, 2 * REGISTERS
-    piece = lambda at, n: F.substring("registers", at + 1, F.lit(n))
-    band = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda b: F.struct(b.alias("band"), piece(b * width, width).alias("part"), piece(b * 2 + checks, 2).alias("check")))
-    bands = classes.select("digest", F.explode(band).alias("x")).where(F.col("x.part") != F.lit(b"\xff" * width))
-    return bands.select("digest", F.xxhash64("x.band", "x.part", "x.check").alias("band"))
-
-
 def _candidate_groups(classes: DataFrame) -> DataFrame:
     """(band, n, digest) of the bands that n > 1 sets share, stored; of bands that the same sets share only one."""
-    bands = _bands(classes)
+    bands = classes.select("digest", F.explode("keys").alias("band"))
     shared = stored(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "minhash-bands")
     held = bit_filter(shared.select("band"))
 
@@ -250,7 +275,16 @@ def candidate_links(classes: DataFrame, threshold: int) -> DataFrame:
     members = _candidate_groups(classes)
 
     def compared(rows: DataFrame, asks: bool) -> DataFrame:
-        rows = rows.join(classes, "digest").select("band", "part", "parts", "own", "marked", "digest", "registers")
+        registers = classes.select("digest", "registers")
+        if asks:  # few of them
+            held = bit_filter(rows.select(F.xxhash64("digest")))
+
+            def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    yield batch.filter(passing(held, batch.column("h"))).select(["digest", "registers"])
+
+            registers = registers.withColumn("h", F.xxhash64("digest")).mapInArrow(some, "digest binary, registers binary")
+        rows = rows.join(registers, "digest").select("band", "part", "parts", "own", "marked", "digest", "registers")
         rows = rows.repartition("band", "part").sortWithinPartitions("band", "part")
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,12 +296,13 @@ def candidate_links(classes: DataFrame, threshold: int) -> DataFrame:
                 weights = estimates(registers, registers)
                 np.fill_diagonal(weights, -1)
                 weights[weights < least] = -1
-                edges = forest(weights)
-                if g["parts"][0] > 1 and not asks:  # marked rows are the pilots, which all parts have
+                if g["parts"][0] == 1 or asks:
+                    edges = forest(weights)
+                else:  # marked rows are the pilots, which all parts have
                     linked = (weights >= 0).any(1)
                     pilots = [k for k, m in enumerate(g["marked"]) if m]
                     hub = min(pilots, key=lambda k: names[k]) if pilots else 0
-                    edges += [(hub, k) for k in np.flatnonzero(linked).tolist() if k != hub]
+                    edges = [(hub, k) for k in np.flatnonzero(linked).tolist() if k != hub and (g["own"][k] or not pilots)]
                     left = [names[k] for k in np.flatnonzero(~linked).tolist() if g["own"][k]]
                     yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.nulls(len(left), pa.binary()), pa.array([g["band"][0]] * len(left), pa.int64())], ["a", "b", "band"])
                 found = _edges(names, edges)
@@ -282,7 +317,7 @@ def candidate_links(classes: DataFrame, threshold: int) -> DataFrame:
         return links
     marked = members.join(left.select("band").distinct(), "band", "left_semi").join(left.withColumn("marked", F.lit(True)), ["band", "digest"], "left")
     marked = marked.withColumn("marked", F.coalesce("marked", F.lit(False)))
-    rest = compared(_dealt(marked, "n", "digest", F.col("marked")), True)
+    rest = compared(_dealt(stored(marked, "minhash-marked"), "n", "digest", F.col("marked")), True)
     return stored(links.union(rest.select("a", "b")), "minhash-candidates")
 
 
@@ -296,20 +331,23 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, families: DataFrame, wo
     sizes = stored(families.groupBy("root").agg(F.count("*").alias("n")), "minhash-sizes")
     members = families.join(sizes, "root").join(classes, families["node"] == classes["digest"]).select("digest", "least_id", "root", "n")
     members = stored(members, "minhash-members")
-    needed = bit_filter(members.select(F.xxhash64("least_id")))
 
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(passing(needed, batch.column(1)))
-            for at in range(0, batch.num_rows, 512):
-                sets = [shingle_set(t.as_py() or "", words).tobytes() for t in batch.column(0).slice(at, 512)]
-                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["digest", "hashes"])
+    def sets_of(some: DataFrame) -> DataFrame:
+        """(digest, hashes) of the members given, and of few others: made again from the texts."""
+        needed = bit_filter(some.select(F.xxhash64("least_id")))
+
+        def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                batch = batch.filter(passing(needed, batch.column(1)))
+                for at in range(0, batch.num_rows, 512):
+                    sets = [shingle_set(t.as_py() or "", words).tobytes() for t in batch.column(0).slice(at, 512)]
+                    yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["digest", "hashes"])
 
-    sets = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(to_sets, "digest binary, hashes binary")
-    sets = stored(sets.join(members.select("digest"), "digest", "left_semi"), "minhash-sets")
+        sets = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(to_sets, "digest binary, hashes binary")
+        return sets.groupBy("digest").agg(F.first("hashes").alias("hashes"))
 
-    def compared(rows: DataFrame) -> DataFrame:
-        rows = rows.join(sets, "digest").select("root", "part", "digest", "hashes")
+    def compared(some: DataFrame, everywhere: Column) -> DataFrame:
+        rows = _dealt(some, "n", "digest", everywhere).join(sets_of(some), "digest").select("root", "part", "digest", "hashes")
         rows = rows.repartition("root", "part").sortWithinPartitions("root", "part")
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,8 +359,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, families: DataFrame, wo
 
         return rows.mapInArrow(work, "a binary, b binary")
 
-    members = members.select("digest", "root", "n")
-    links = stored(compared(_dealt(members, "n", "digest", _pilot("n", "digest"))), "minhash-links")
+    links = stored(compared(members, _pilot("n", "digest")), "minhash-links")
     large = members.where(F.col("n") > BLOCK)
     if large.isEmpty():
         return links
@@ -331,11 +368,11 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, families: DataFrame, wo
     large = stored(large.join(joined, "digest", "left").withColumn("component", F.coalesce("component", "digest")), "minhash-large")
     most = large.groupBy("root", "component").agg(F.count("*").alias("m")).groupBy("root").agg(F.max(F.struct("m", "component")).alias("most"))
     marked = large.join(stored(most.where("most.m > 0").select("root", "most.component"), "minhash-most").withColumnRenamed("component", "largest"), "root")
-    marked = stored(marked.select("digest", "root", "n", (F.col("component") != F.col("largest")).alias("left")), "minhash-left")
+    marked = stored(marked.select("digest", "least_id", "root", "n", (F.col("component") != F.col("largest")).alias("left")), "minhash-left")
     if marked.where("left").isEmpty():
         return links
     marked = marked.join(marked.where("left").select("root").distinct(), "root", "left_semi")
-    return stored(links.union(compared(_dealt(marked, "n", "digest", F.col("left")))), "minhash-links")
+    return stored(links.union(compared(stored(marked, "minhash-marked"), F.col("left"))), "minhash-links")
 
 
 def true_forest(sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:

@@ -113,9 +113,9 @@ def test_estimates_are_near_the_index():
     rnd = random.Random(5)
     a = [f"a{k}" for k in range(2000)]
     b = a[:1600] + [f"b{rnd.random()}" for _ in range(400)]
-    left, right = (minhash.sketch(minhash.shingle_set(" ".join(x), 1))[0][None] for x in (a, b))
+    left, right = (minhash.sketch(minhash.shingle_set(" ".join(x), 1))[None] for x in (a, b))
     assert abs(minhash.estimates(left, right)[0, 0] - 1600 / 2400) < 4 * 0.042
-    assert minhash.sketch(minhash.shingle_set("", 2))[0].tolist() == [minhash.EMPTY] * minhash.REGISTERS
+    assert minhash.sketch(minhash.shingle_set("", 2)).tolist() == [minhash.EMPTY] * minhash.REGISTERS
 
 
 def agreeing(same):
@@ -134,11 +134,28 @@ def test_the_estimate_loses_no_more_pairs_than_the_bands():
 
 def test_a_pair_with_few_agreeing_registers_is_a_candidate(spark):
     left, right = agreeing(80)  # 80 of 128 at an index of 0.8: rare, but far from impossible
-    rows = [(bytearray(name), bytearray(r.tobytes())) for name, r in ((b"a", left), (b"b", right))]
-    found = minhash.candidate_links(spark.createDataFrame(rows, "digest binary, registers binary"), 80).collect()
+    rows = [(bytearray(name), bytearray(r.tobytes()), minhash.band_keys(r[0]).view(np.int64).tolist()) for name, r in ((b"a", left), (b"b", right))]
+    found = minhash.candidate_links(spark.createDataFrame(rows, "digest binary, registers binary, keys array<long>"), 80).collect()
     assert {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in found} == {frozenset((b"a", b"b"))}
 
 
+@pytest.mark.parametrize("union", [5, 10, 15, 20, 35, 60, 100, 125, 130, 155, 160, 200, 400, 1000])
+def test_pairs_at_the_threshold_are_candidates(union):
+    """Of thousands of pairs of sets with a Jaccard index of exactly 0.8, of any size, all share a key and none has too low an estimate."""
+    rng = np.random.default_rng(union)
+    lost = 0
+    for _ in range(1500 if union < 300 else 300):
+        h = np.unique(rng.integers(0, 1 << 64, union, np.uint64, endpoint=False))
+        shared, rest = h[rng.permutation(len(h))[: union * 4 // 5]], None
+        rest = np.setdiff1d(h, shared)
+        cut = rng.integers(0, len(rest) + 1)
+        sets = [np.sort(np.concatenate([shared, r])) for r in (rest[:cut], rest[cut:])]
+        registers = [minhash.sketch(s) for s in sets]
+        keys = [set(minhash.keys_of(s, r, 80).tolist()) for s, r in zip(sets, registers, strict=True)]
+        lost += not keys[0] & keys[1] or minhash.estimates(registers[0][None], registers[1][None])[0, 0] < minhash.least_estimate(80)
+    assert lost == 0
+
+
 def brute_lines(rows):
     order = lambda r: (r[0] is not None, r[0] or 0, r[2])
     docs = sorted({(i, t or "", h) for i, t, h in rows}, key=order)
@@ -294,6 +311,74 @@ file, You can obtain one at http://mozilla.org/MPL/2.0/.
 SPDX = {"MIT": "MIT", "Apache-2.0": "Apache-2.0", "GPL-3.0-only": "GPL-3.0-only", "GPL-3.0-or-later": "GPL-3.0-or-later", "GPL-2.0-only": "GPL-2.0-only", "BSD-3-Clause": "BSD-3-Clause", "MPL-2.0": "MPL-2.0"}
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some Holder
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD = """Copyright (c) 2020, Some Holder
+All rights reserved{end}
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{more}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE.
+"""
+NAME = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """ISC License
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS.
+"""
+
+
+def test_licences_of_whole_texts(spark):
+    """Texts of licences, with a holder's lines between their sentences, are named by their SPDX identifiers."""
+    texts = [(MIT, {"MIT"}), (BSD.format(end=".", more=NAME), {"BSD-3-Clause"}), (BSD.format(end=".", more=""), {"BSD-2-Clause"}), (ISC, {"ISC"})]
+    texts += [("\n".join(f" * {x}".rstrip() for x in t.splitlines()), n) for t, n in texts[:1]]
+    df = documents(spark, [(k, t, "a") for k, (t, _) in enumerate(texts)])
+    got = {r["doc_id"]: set(r["licences"]) - {"All-Rights-Reserved"} for r in licences.scan(df).select("doc_id", "licence_scan.*").collect()}
+    assert got == {k: n for k, (_, n) in enumerate(texts)}
+    assert len(set(licences.SENTENCES.values())) == len(licences.SENTENCES)
+    assert {n for _, n in licences.RULES} - {"All-Rights-Reserved", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"} <= set(licences.SPDX)
+
+
 def test_licences_of_the_standard_notices(spark):
     notices = [(APACHE, "Apache-2.0"), (GPL3, "GPL-3.0-or-later"), (GPL2, "GPL-2.0-or-later"), (LGPL, "LGPL-2.1-or-later"), (MPL, "MPL-2.0")]
     # the parts that each notice names first, alone
