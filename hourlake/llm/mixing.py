@@ -23,6 +23,8 @@ LEAST_QUALITY = 0.05
 #: Bits of a key's number and of its whole part (larger keys share the largest number), bits that a round of narrowing in looks at, and rows of a
 #: source that may be sorted together.
 KEY_BITS, KEY_LIMIT_BITS, STEP_BITS, FEW_ROWS = 52, 10, 13, 50_000
+#: Sources up to which a table of them is broadcast.
+FEW_SOURCES = 20_000
 
 
 def word_count(text: Column) -> Column:
@@ -98,7 +100,7 @@ def mix(
     targets = stored(targets, "mix-targets")
     cuts = result(_cuts(slim, targets), "mix-cuts", since)
 
-    with_facts = rows.join(cuts.select(F.struct("*").alias(facts)), F.col(name).eqNullSafe(F.col(facts)["source"]))
+    with_facts = _with_sources(rows, cuts.select(F.struct("*").alias(facts)), F.col(name).eqNullSafe(F.col(facts)["source"]))
     of = F.col(facts)
     at_cut = F.struct(F.col(key).alias("key"), F.col(doc_id).alias("id"), F.col(n).alias("size"))
     tied = F.coalesce((at_cut == of["cut"]) & (of["ties"] > of["ties_taken"]), F.lit(False))
@@ -117,6 +119,11 @@ def mix(
     return out
 
 
+def _with_sources(rows: DataFrame, sources: DataFrame, same: Column) -> DataFrame:
+    """rows joined to a table with a row for each source at most: sent to all tasks if its rows are few by count, so that a source of very many rows stays dealt over them."""
+    return rows.join(F.broadcast(sources) if sources.count() <= FEW_SOURCES else sources, same)
+
+
 def _cuts(slim: DataFrame, targets: DataFrame) -> DataFrame:
     """targets with the last document that the rest of each source's budget takes: (cut: key, id, size), or `whole` if it takes all.
 
@@ -131,7 +138,7 @@ def _cuts(slim: DataFrame, targets: DataFrame) -> DataFrame:
     bounds = targets.select(F.col("source").alias("of"), "rest", F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("base"))
     shift = KEY_BITS
     while True:
-        inside = rows.join(bounds, F.col("source").eqNullSafe(F.col("of"))).where(F.shiftright("number", shift) == F.col("at"))
+        inside = _with_sources(rows, bounds, F.col("source").eqNullSafe(F.col("of"))).where(F.shiftright("number", shift) == F.col("at"))
         shift -= STEP_BITS
         sums = inside.groupBy("of", "rest", "base", F.shiftright("number", shift).alias("at")).agg(F.sum("size").alias("words"), F.count("*").alias("left"))
         upto = F.col("base") + F.sum("words").over(Window.partitionBy("of").orderBy("at"))
@@ -143,7 +150,7 @@ def _cuts(slim: DataFrame, targets: DataFrame) -> DataFrame:
         if (most or 0) <= FEW_ROWS or shift < STEP_BITS:
             break
         bounds = bounds.drop("left")
-    inside = rows.join(bounds, F.col("source").eqNullSafe(F.col("of")))
+    inside = _with_sources(rows, bounds, F.col("source").eqNullSafe(F.col("of")))
     inside = inside.where(F.shiftright("number", shift) == F.col("at")).withColumn("row", F.struct("key", "id", "size"))
     order = Window.partitionBy("of").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("base") + F.coalesce(F.sum("size").over(order), F.lit(0))
@@ -153,7 +160,7 @@ def _cuts(slim: DataFrame, targets: DataFrame) -> DataFrame:
     found = bounds.select("of", "at").join(last.withColumnRenamed("of", "of_last"), F.col("of").eqNullSafe(F.col("of_last")), "left")
     none = found.where("last is null").select("of", "at")
     # The last row before the slice, for the few sources where no row of it fits.
-    before = rows.join(none, F.col("source").eqNullSafe(F.col("of"))).where(F.shiftright("number", shift) < F.col("at"))
+    before = _with_sources(rows, stored(none, "mix-none"), F.col("source").eqNullSafe(F.col("of"))).where(F.shiftright("number", shift) < F.col("at"))
     before = before.groupBy("of").agg(F.max(F.struct("key", "id", "size")).alias("cut"))
     cut = found.where("last is not null").select("of", F.col("last.row").alias("cut"), F.col("last.ties").alias("ties"), F.col("last.ties_taken").alias("ties_taken"))
     cut = cut.union(before.select("of", "cut", F.lit(0).cast("long"), F.lit(0).cast("long")))
