@@ -7,6 +7,8 @@ rules, longer and more specific ones first, and what a rule has matched is taken
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,17 +70,73 @@ SENTENCES = {
     "ccByNcWork4": "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "allRights": "all rights reserved",
-    "spdxMit": "spdx license identifier mit",
-    "spdxApache2": "spdx license identifier apache 2 0",
-    "spdxGpl3Only": "spdx license identifier gpl 3 0 only",
-    "spdxGpl3Later": "spdx license identifier gpl 3 0 or later",
-    "spdxGpl2Only": "spdx license identifier gpl 2 0 only",
-    "spdxBsd3": "spdx license identifier bsd 3 clause",
-    "spdxMpl2": "spdx license identifier mpl 2 0",
+    "bsdName": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsdNameOf": "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsdAsIs": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "bsdDamages": "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services",
+    "bsdDamagesOwner": "in no event shall the copyright owner or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services",
+    "bsdTitle2": "bsd 2 clause license",
+    "bsdTitle3": "bsd 3 clause license",
+    "mitLiable": "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "mitZeroPerm": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so",
+    "iscTitle": "isc license",
+    "iscAsIs": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "iscDamages": "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "zeroBsdPerm": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "zlibAsIs": "this software is provided as is without any express or implied warranty",
+    "zlibPerm": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "zlibNotice": "this notice may not be removed or altered from any source distribution",
+    "boostTitle": "boost software license version 1 0",
+    "boostRef": "distributed under the boost software license version 1 0",
+    "apacheTitle": "apache license",
+    "apacheVersion": "version 2 0 january 2004",
+    "apacheTerms": "terms and conditions for use reproduction and distribution",
+    "apacheGrant": "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works of publicly display publicly perform sublicense and distribute the work and such derivative works in source or object form",
+    "gplTitle": "gnu general public license",
+    "lgplTitle": "gnu lesser general public license",
+    "agplTitle": "gnu affero general public license",
+    "gplVersion3": "version 3 29 june 2007",
+    "agplVersion3": "version 3 19 november 2007",
+    "gplVersion2": "version 2 june 1991",
+    "lgplVersion21": "version 2 1 february 1999",
+    "gplVerbatim": "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed",
+    "gplCopyleft3": "the gnu general public license is a free copyleft license for software and other kinds of works",
+    "gplFreedom2": "the licenses for most software are designed to take away your freedom to share and change it",
+    "agplCopyleft": "the gnu affero general public license is a free copyleft license for software and other kinds of works specifically designed to ensure cooperation with the community in the case of network server software",
+    "agplTerms": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+    "agplTerms3": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgplTerms3": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agplRef3": "licensed under the gnu affero general public license version 3",
+    "lgplRef3": "licensed under the gnu lesser general public license version 3",
+    "gpl2Ref": "licensed under the gnu general public license version 2",
+    "mplTitle": "mozilla public license version 2 0",
+    "mplRef": "licensed under the mozilla public license version 2 0",
+    "eplRef": "licensed under the eclipse public license 2 0",
+    "eplMaterials": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "ccZero": "cc0 1 0 universal",
+    "ccZeroWaived": "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
+    "wtfplTitle": "do what the fuck you want to public license",
+    "unlicenseAnyone": "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
 }
 
+# Licences whose SPDX tags are known; a tag's sentence and identifier follow from the name.
+SPDX = (
+    "MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "ISC", "Zlib", "BSL-1.0", "MPL-2.0", "EPL-2.0", "Unlicense", "WTFPL", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0",
+    "CC-BY-NC-4.0", *(f"{name}-{kind}" for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for kind in ("only", "or-later")),
+)
+
+
+def _spdx_identifier(name: str) -> str:
+    return "spdx" + "".join(c for c in name if c.isalnum())
+
+
+SENTENCES |= {_spdx_identifier(name): "spdx license identifier " + " ".join(re.findall("[a-z0-9]+", name.lower())) for name in SPDX}
+
 # Ordered rules, each a run of sentence identifiers and the licence it stands for.
 RULES = [
+    (("mitTitle", "mitPerm", "mitNotice", "mitAsIs", "mitLiable"), "MIT"),
+    (("mitTitleShort", "mitPerm", "mitNotice", "mitAsIs", "mitLiable"), "MIT"),
+    (("mitPerm", "mitNotice", "mitAsIs", "mitLiable"), "MIT"),
     (("mitTitle", "mitPerm", "mitNotice", "mitAsIs"), "MIT"),
     (("mitTitleShort", "mitPerm", "mitNotice", "mitAsIs"), "MIT"),
     (("mitPerm", "mitNotice", "mitAsIs"), "MIT"),
@@ -104,7 +162,13 @@ RULES = [
     (("gplFree3", "gplHope", "gplSee"), "GPL-3.0-or-later"),
     (("gplFree2", "gplHope", "gplSee", "gplCopy"), "GPL-2.0-or-later"),
     (("gplFree2", "gplHope", "gplSee"), "GPL-2.0-or-later"),
-    (("bsdPre", "bsdSource", "bsdBinary"), "BSD"),
+    (("bsdTitle3", "bsdPre", "bsdSource", "bsdBinary", "bsdName", "bsdAsIs"), "BSD-3-Clause"),
+    (("bsdPre", "bsdSource", "bsdBinary", "bsdName", "bsdAsIs"), "BSD-3-Clause"),
+    (("bsdPre", "bsdSource", "bsdBinary", "bsdNameOf"), "BSD-3-Clause"),
+    (("bsdPre", "bsdSource", "bsdBinary", "bsdName"), "BSD-3-Clause"),
+    (("bsdTitle2", "bsdPre", "bsdSource", "bsdBinary", "bsdAsIs"), "BSD-2-Clause"),
+    (("bsdPre", "bsdSource", "bsdBinary", "bsdAsIs"), "BSD-2-Clause"),
+    (("bsdPre", "bsdSource", "bsdBinary"), "BSD-2-Clause"),
     (("mplForm", "mplCopy"), "MPL-2.0"),
     (("gplFree3",), "GPL-3.0-or-later"),
     (("gplFree2",), "GPL-2.0-or-later"),
@@ -129,7 +193,13 @@ RULES = [
     (("mitTitleShort",), "MIT"),
     (("bsdRef2",), "BSD-2-Clause"),
     (("bsdRef3",), "BSD-3-Clause"),
+    (("bsdTitle2",), "BSD-2-Clause"),
+    (("bsdTitle3",), "BSD-3-Clause"),
+    (("iscTitle", "iscPerm", "iscAsIs", "iscDamages"), "ISC"),
+    (("iscPerm", "iscAsIs", "iscDamages"), "ISC"),
     (("iscPerm",), "ISC"),
+    (("zeroBsdPerm", "iscAsIs", "iscDamages"), "0BSD"),
+    (("zeroBsdPerm",), "0BSD"),
     (("mplForm",), "MPL-2.0"),
     (("ccByNc4",), "CC-BY-NC-4.0"),
     (("ccByNcWork4",), "CC-BY-NC-4.0"),
@@ -138,23 +208,49 @@ RULES = [
     (("ccBy4",), "CC-BY-4.0"),
     (("ccByWork4",), "CC-BY-4.0"),
     (("unlicense",), "Unlicense"),
-    (("spdxMit",), "MIT"),
-    (("spdxApache2",), "Apache-2.0"),
-    (("spdxGpl3Only",), "GPL-3.0-only"),
-    (("spdxGpl3Later",), "GPL-3.0-or-later"),
-    (("spdxGpl2Only",), "GPL-2.0-only"),
-    (("spdxBsd3",), "BSD-3-Clause"),
-    (("spdxMpl2",), "MPL-2.0"),
+    (("apacheTitle", "apacheVersion"), "Apache-2.0"),
+    (("apacheGrant",), "Apache-2.0"),
+    (("mitZeroPerm", "mitAsIs"), "MIT-0"),
+    (("iscTitle",), "ISC"),
+    (("iscAsIs", "iscDamages"), "ISC"),
+    (("zlibAsIs", "zlibPerm", "zlibNotice"), "Zlib"),
+    (("zlibPerm",), "Zlib"),
+    (("boostTitle",), "BSL-1.0"),
+    (("boostRef",), "BSL-1.0"),
+    (("agplTitle", "agplVersion3"), "AGPL-3.0"),
+    (("lgplTitle", "gplVersion3"), "LGPL-3.0"),
+    (("lgplTitle", "lgplVersion21"), "LGPL-2.1"),
+    (("gplTitle", "gplVersion3"), "GPL-3.0"),
+    (("gplTitle", "gplVersion2"), "GPL-2.0"),
+    (("agplCopyleft",), "AGPL-3.0"),
+    (("gplCopyleft3",), "GPL-3.0"),
+    (("gplFreedom2",), "GPL-2.0"),
+    (("agplTerms3",), "AGPL-3.0-or-later"),
+    (("agplTerms", "orLater3"), "AGPL-3.0-or-later"),
+    (("lgplTerms3",), "LGPL-3.0-or-later"),
+    (("lgplTerms", "orLater3"), "LGPL-3.0-or-later"),
+    (("agplRef3",), "AGPL-3.0"),
+    (("lgplRef3",), "LGPL-3.0"),
+    (("gpl2Ref",), "GPL-2.0"),
+    (("mplTitle",), "MPL-2.0"),
+    (("mplRef",), "MPL-2.0"),
+    (("eplRef",), "EPL-2.0"),
+    (("eplMaterials",), "EPL-2.0"),
+    (("ccZero",), "CC0-1.0"),
+    (("ccZeroWaived",), "CC0-1.0"),
+    (("wtfplTitle",), "WTFPL"),
+    (("unlicenseAnyone",), "Unlicense"),
+    *(((_spdx_identifier(name),), name) for name in SPDX),
     (("allRights",), "All-Rights-Reserved"),
 ]
 
 # Words of which every known sentence has one, so that texts without any need no cutting, and those of
 # them that mark a sentence as one about a licence.
-ANCHORS = ("licens", "permission", "copyright", "redistribut", "warrant", "mpl", "apache", "public", "rights")
+ANCHORS = ("licens", "permission", "copyright", "redistribut", "warrant", "mpl", "apache", "public", "rights", "version", "cc0", "this software", "software is", "terms and conditions", "source distribution")
 MARKS = ("licens", "copyright", "warrant")
 #: What ends a sentence, what parts two words, and what a line break inside a paragraph looks like.
 ENDS = "[.!?;:]+[ \\t\\r\\n]+|[\\r\\n]+"
-ENDS_UNWRAPPED = "[.!?;:]+[ \\t\\r\\n]+|[\\r\\n][ \\t]*[\\r\\n]+"
+ENDS_UNWRAPPED = "[.!?;:]+[ \\t\\r\\n]+|[\\r\\n][^a-z0-9\\r\\n]*[\\r\\n]+"
 GAP = "[^a-z0-9]+"
 #: Marks inside a known sentence whose rest alone names nothing ("mit", "2 0"): the white space after them is taken away, so
 #: that they do not end it.
