@@ -75,6 +75,32 @@ def test_character_maps(rule):
         assert len(starts) == len(normal) + 1 and starts == sorted(starts)
 
 
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
+def test_spans_through_a_character_map(rule, tmp_path):
+    """With a model whose map is not empty, pieces and the source bytes that each stands for are the library's."""
+    proto, other = pb.ModelProto(), pb.ModelProto()
+    with open(MODEL, "rb") as f:
+        proto.ParseFromString(f.read())
+    other.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name=rule, add_dummy_prefix=True, escape_whitespaces=True, remove_extra_whitespaces=True).serialized_model_proto())
+    proto.normalizer_spec.CopyFrom(other.normalizer_spec)
+    path = tmp_path / "mapped.model"
+    path.write_bytes(proto.SerializeToString())
+    codec, library = SentencePieceCodec(str(path)), sentencepiece.SentencePieceProcessor(model_file=str(path))
+    assert codec.map.units
+    rnd = random.Random(4)
+    letters = ["a", "b", "ab", "é", "É", "e\u0301", "ﬁ", "①", "Ａ", "ｶﾞ", "…", "㍿", "日本", "\U0001f600", "²", "Ⅷ", "ß", "İ", "x1", "."]
+    for _ in range(2000):
+        text = " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(1, 6))) for _ in range(rnd.randint(1, 5)))
+        ids, ends = map(unpacked, codec.encode(text))
+        pieces = library.encode(text, return_type="proto").pieces
+        assert ids[1:-1] == [p.id for p in pieces]
+        inner = [0, *ends[1:-1]]
+        spans = [text.encode()[a:b] for a, b in zip(inner, inner[1:], strict=False)]
+        assert b"".join(spans) == text.encode() and spans == [p.surface.encode() for p in pieces]
+    for text in ["  a  b ", "a   ﬁ  ", " ", "ｶﾞ \u3000 ①"]:
+        assert unpacked(codec.encode(text)[0])[1:-1] == library.encode(text)
+
+
 def test_merge_takes_lowest_rank_leftmost():
     a, b, ab, aba = 1, 2, 3, 4
     table = {a << BITS | b: pair_value(0, ab), ab << BITS | a: pair_value(1, aba)}
