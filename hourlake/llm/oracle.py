@@ -126,4 +126,35 @@ with recursive words as (
 select doc_id, len(s)::bigint as n_shingles, component_id, doc_id = component_id as kept from sets join roots on node = doc_id
 """
 
-SQL = {"op3_mixing": OP3, "op4_embedding_dedup": OP4, "op6_minhash": OP6, "op7_warc": OP7, "op9_licences": _op9()}
+OP8 = rf"""
+with texts as (
+  select doc_id, string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) as ls from documents
+), lines as (
+  select doc_id, unnest(range(len(ls)))::bigint as line, unnest(ls) as t from texts
+), sets as (
+  select doc_id, line, list_sort(list_distinct(regexp_extract_all(t, '{WORD}'))) as w from lines
+), filled as (
+  select *, doc_id * 1000000 + line as place from sets where len(w) > 0
+), firsts as (
+  select w, len(w) as n, min(place) as first from filled group by w
+), words as (
+  select first, n, unnest(w) as x from firsts
+), frequent as (
+  select x, count(*) as f from words group by x
+), ranked as (
+  select first, n, x, row_number() over (partition by first order by f, x) as pos from words join frequent using (x)
+), rare as (
+  select * from ranked where pos <= n - ceil(n * 4 / 5.0) + 1
+), pairs as (
+  select distinct a.first as y, b.first as x from rare a join rare b on a.x = b.x and a.first < b.first and 5 * a.n >= 4 * b.n and 5 * b.n >= 4 * a.n
+), gone as (
+  select distinct pairs.x as first from pairs join firsts a on a.first = pairs.x join firsts b on b.first = pairs.y
+  where 100 * len(list_intersect(a.w, b.w)) >= 80 * (a.n + b.n - len(list_intersect(a.w, b.w)))
+), judged as (
+  select doc_id, line, place <> firsts.first or gone.first is not null as goes from filled join firsts using (w) left join gone on gone.first = firsts.first
+)
+select doc_id, count(line)::bigint as n_lines, count(line) filter (goes)::bigint as n_removed, coalesce(string_agg(line::varchar, ',' order by line) filter (goes), '') as removed_lines
+from documents left join judged using (doc_id) group by doc_id
+"""
+
+SQL = {"op8_line_dedup": OP8, "op3_mixing": OP3, "op4_embedding_dedup": OP4, "op6_minhash": OP6, "op7_warc": OP7, "op9_licences": _op9()}

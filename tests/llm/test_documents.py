@@ -432,7 +432,7 @@ def test_native_plans(spark, name):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
 
 
-@pytest.mark.parametrize("name", ["op3_mixing", "op6_minhash", "op7_warc", "op9_licences", "op4_embedding_dedup"])
+@pytest.mark.parametrize("name", ["op3_mixing", "op6_minhash", "op7_warc", "op8_line_dedup", "op9_licences", "op4_embedding_dedup"])
 def test_query_equals_its_sql(spark, duck, same, name):
     df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     same((df.columns, [tuple(r) for r in df.collect()]), duck(queries.ORACLE[name], "sf0.001"))
