@@ -31,9 +31,9 @@ HEAVY, HEAVY_WORDS = 4096, 1 << 20
 #: Earlier candidates of a line that the first round verifies for each shared word; a line with more that all fail gets every one in a second.
 FIRST = 2
 #: Lines that are taken into arrays at once; rows of prefix words that a task packs at once, and that a bucket holds on average at most.
-LINES, PACKED, BUCKET_ROWS = 60_000, 400_000, 500_000
+LINES, PACKED, BUCKET_ROWS = 60_000, 250_000, 500_000
 #: Lines that a task remembers, to tell which it has met before.
-SEEN = 200_000
+SEEN = 150_000
 #: Rows of a group from which its pairs are compared in strips of the earliest lines, dropping lines that have FIRST candidates.
 STRIPS, STRIP = 256, 32
 

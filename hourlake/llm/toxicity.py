@@ -37,7 +37,7 @@ LEAST_RATIO, LEAST_TIMES, MOST_FEATURES = 24.0, 8.0, 20_000
 #: A marginal from which a token belongs to a toxic span.
 SPAN = 0.5
 #: Tokens per step of the scans, and tokens that are scored at once.
-CHUNK, TOKENS = 128, 1 << 19
+CHUNK, TOKENS = 128, 1 << 18
 
 _EDGE = "\"'.,;:!?()[]{}<>*_~`«»“”‘’¡¿-"
 TOKEN = re.compile(r"\S+")
