@@ -23,8 +23,8 @@ from hourlake.llm.common import mark, result, stored, tidy
 from hourlake.llm.minhash import groups
 from hourlake.llm.vectors import matrix, unit, valid
 
-#: Projected dimensions (even), the share of vectors as near as the k-th that must have been met, rows of a leaf and points verified at once.
-PROJECTED, CONFIDENCE, LEAF, STEP = 32, 0.91, 32, 16
+#: Projected dimensions (even), the share of vectors as near as the k-th that must have been met, rows of a leaf, and points verified at once at first and later.
+PROJECTED, CONFIDENCE, LEAF, STEP, MOST_STEP = 32, 0.91, 32, 16, 512
 #: What rounding may add to the square of a projected distance: points as near as this to the bound are still verified.
 ROUNDING = 1e-9
 #: Rows of a cell about, cells at least and at most, rows that the cells are fitted on about, and rows of a cell from which several tasks part them.
@@ -138,10 +138,11 @@ def search(tree: KdTree, points: np.ndarray, rows: np.ndarray, ids: np.ndarray,
         at, far = at[far <= reach()], far[far <= reach()]
         order = np.argsort(far, kind="stable")
         at, far = at[order], far[order]
-        for step in range(0, len(at), STEP):
-            if far[step] > reach():
-                break
-            verify(at[step : step + STEP][far[step : step + STEP] <= reach()])
+        step, width = 0, STEP
+        while step < len(at) and far[step] <= reach():
+            some = slice(step, step + width)
+            verify(at[some][far[some] <= reach()])
+            step, width = step + width, min(2 * width, MOST_STEP)
         opened = last
     return list(zip(best_cos.tolist(), best_at.tolist(), strict=True)), verified
 
