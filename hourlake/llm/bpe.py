@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import weakref
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 
+import pyarrow as pa
+
 #: Bits of a symbol's number. A pair table maps left << BITS | right to pair_value(rank, joined symbol).
 BITS = 20
 _PLACE = (1 << 32) - 1
@@ -57,12 +63,17 @@ def merge(symbols: list[int], table: dict[int, int]) -> tuple[list[int], int]:
     return symbols, merges
 
 
+#: All memos of this process.
+_memos: list[weakref.ref] = []
+
+
 class Memo(dict):
     """Results of make(key), of which twice `most` are held: a full memo keeps what it has as the elder half."""
 
     def __init__(self, make: Callable, most: int = 300_000, longest: int = 64):
         super().__init__()
         self.make, self.most, self.longest, self.elder = make, most, longest, {}
+        _memos.append(weakref.ref(self))
 
     def __missing__(self, key):
         value = self.elder.get(key)
@@ -74,3 +85,22 @@ class Memo(dict):
                 self.clear()
             self[key] = value
         return value
+
+
+def give_back() -> None:
+    """Give the memory that this process no longer uses back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def forget(*own: Memo) -> None:
+    """Empty all memos of this process but these. Spark uses Python workers again, so another operator's tasks may have filled them; nothing but time is lost."""
+    _memos[:] = [r for r in _memos if r() is not None]
+    others = [m for r in _memos if (m := r()) is not None and (m or m.elder) and all(m is not x for x in own)]
+    for memo in others:
+        memo.clear()
+        memo.elder = {}
+    if others:
+        give_back()

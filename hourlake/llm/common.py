@@ -6,12 +6,14 @@ import atexit
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourlake.llm.bpe import forget
+
 #: A word, wherever a query counts or shingles words: a run of anything but ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -118,6 +120,16 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def alone(work: Callable) -> Callable:
+    """`work` on batches, before which its Python worker empties the memos that tasks of other operators have left in it."""
+
+    def run(batches: Iterator) -> Iterator:
+        forget()
+        yield from work(batches)
+
+    return run
+
+
 def text_or_empty(column: str = "text"):
     """The text column with null read as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

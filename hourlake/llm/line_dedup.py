@@ -17,7 +17,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import fresh, mark, result, stored, tidy
+from hourlake.llm.common import alone, fresh, mark, result, stored, tidy
 from hourlake.llm.membership import SPARSE, bit_filter, merged, passing, sparse
 from hourlake.llm.words import BUFFER, buffer_words, mixed, word_hashes
 
@@ -156,7 +156,7 @@ def corpus_lines(docs: DataFrame) -> DataFrame:
                 columns = [pa.array(of[keep]), pa.array(numbers[keep].astype(np.int32)), *(pa.array(c[keep].view(np.int64)) for c in (keys, bits, half)), pa.array(sizes[keep].astype(np.int32)), pa.array(~new), binary]
                 yield pa.RecordBatch.from_arrays(columns, _LINE_COLUMNS)
 
-    return stored(docs.select("doc", "text").mapInArrow(work, LINE), "line-sets")
+    return stored(docs.select("doc", "text").mapInArrow(alone(work), LINE), "line-sets")
 
 
 def joinable(lines: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def rarity(lines: DataFrame) -> np.ndarray:
                 counts[place] += n.astype(np.uint32)
         yield sparse(counts)
 
-    return merged(joinable(lines).select("words").mapInArrow(work, SPARSE), COUNTERS, "uint32", True)
+    return merged(joinable(lines).select("words").mapInArrow(alone(work), SPARSE), COUNTERS, "uint32", True)
 
 
 def prefix_length(sizes: np.ndarray) -> np.ndarray:
@@ -214,7 +214,7 @@ def heavy_words(lines: DataFrame, counts: Broadcast, least: int) -> tuple[np.nda
                 yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
 
     with tidy(lines.sparkSession):
-        found = joinable(lines).select("n", "words").mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > least)
+        found = joinable(lines).select("n", "words").mapInArrow(alone(work), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") > least)
         rows = sorted((r["word"], r["n"]) for r in found.collect())  # fewer than HEAVY_WORDS, as `least` is at least their share of all rows
     return np.array([w for w, _ in rows], np.uint64), np.array([-(-n // least) for _, n in rows], np.int64)
 
@@ -313,7 +313,7 @@ def prefix_rows(lines: DataFrame, counts: Broadcast, heavy: Broadcast, buckets:
             yield from flush()
 
     names = ["doc", "line", "key", "bits", "half", "n", "words", F.xxhash64("doc", "line").alias("h")]
-    return joinable(lines).select(names).mapInArrow(work, "bucket int, rows binary")
+    return joinable(lines).select(names).mapInArrow(alone(work), "bucket int, rows binary")
 
 
 class Rows:
@@ -435,7 +435,7 @@ def candidate_pairs(rows: DataFrame, first: int) -> DataFrame:
         if held:
             yield found(last, held)
 
-    return rows.mapInArrow(work, PAIR)
+    return rows.mapInArrow(alone(work), PAIR)
 
 
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -447,7 +447,7 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(passing(wanted, batch.column("h"))).select(["doc", "line", "words"])
 
-    sets = joinable(lines).select("doc", "line", "words", F.xxhash64("doc", "line").alias("h")).mapInArrow(some, "doc long, line int, words binary")
+    sets = joinable(lines).select("doc", "line", "words", F.xxhash64("doc", "line").alias("h")).mapInArrow(alone(some), "doc long, line int, words binary")
     pairs = pairs.join(sets, ["doc", "line"])
     pairs = pairs.join(sets.select(F.col("doc").alias("y_doc"), F.col("line").alias("y_line"), F.col("words").alias("y_words")), ["y_doc", "y_line"])
 
@@ -461,7 +461,7 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
                     keep.append(k)
             yield batch.select(["doc", "line"]).take(pa.array(keep, pa.int64()))
 
-    return pairs.select("doc", "line", "words", "y_words").mapInArrow(work, "doc long, line int").distinct()
+    return pairs.select("doc", "line", "words", "y_words").mapInArrow(alone(work), "doc long, line int").distinct()
 
 
 def matched(lines: DataFrame, again: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 
-from hourlake.llm.common import tidy
+from hourlake.llm.common import alone, tidy
 
 CHUNKS = 256
 #: Bits of a filter.
@@ -50,7 +50,7 @@ def merged(parts: DataFrame, total: int, dtype: str, add: bool) -> np.ndarray:
 
     out = np.zeros(total, dtype)
     with tidy(parts.sparkSession):
-        rows = parts.repartition("chunk").mapInArrow(work, "chunk int, value binary").collect()
+        rows = parts.repartition("chunk").mapInArrow(alone(work), "chunk int, value binary").collect()
     for row in rows:
         out[row["chunk"] * width : (row["chunk"] + 1) * width] = np.frombuffer(row["value"], dtype)
     return out
@@ -66,7 +66,7 @@ def bit_filter(hashes: DataFrame) -> Broadcast:
             np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
         yield sparse(bits)
 
-    bits = merged(hashes.mapInArrow(work, SPARSE), FILTER // 8, "uint8", False)
+    bits = merged(hashes.mapInArrow(alone(work), SPARSE), FILTER // 8, "uint8", False)
     return hashes.sparkSession.sparkContext.broadcast(bits.tobytes())
 
 

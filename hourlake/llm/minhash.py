@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import fresh, mark, result, stored
+from hourlake.llm.common import alone, fresh, mark, result, stored
 from hourlake.llm.graph import components
 from hourlake.llm.membership import bit_filter, passing
 from hourlake.llm.words import mixed, word_hashes
@@ -242,7 +242,7 @@ def sketched(docs: DataFrame, words: int, threshold: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["doc_id", "text_hash", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return stored(docs.mapInArrow(work, f"doc_id {kind}, text_hash long, n_shingles long, digest binary, registers binary, keys array<long>"), "minhash-nodes")
+    return stored(docs.mapInArrow(alone(work), f"doc_id {kind}, text_hash long, n_shingles long, digest binary, registers binary, keys array<long>"), "minhash-nodes")
 
 
 def _edges(names: list[bytes], edges: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -259,7 +259,7 @@ def _candidate_groups(classes: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(passing(held, batch.column("band")))
 
-    members = stored(bands.mapInArrow(some, "digest binary, band long").join(shared, "band"), "minhash-members")
+    members = stored(bands.mapInArrow(alone(some), "digest binary, band long").join(shared, "band"), "minhash-members")
     alike = members.groupBy("band", "n").agg(F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("y"))
     chosen = stored(alike.groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"), "minhash-groups")
     return stored(members.join(chosen, "band"), "minhash-members")
@@ -283,7 +283,7 @@ def candidate_links(classes: DataFrame, threshold: int) -> DataFrame:
                 for batch in batches:
                     yield batch.filter(passing(held, batch.column("h"))).select(["digest", "registers"])
 
-            registers = registers.withColumn("h", F.xxhash64("digest")).mapInArrow(some, "digest binary, registers binary")
+            registers = registers.withColumn("h", F.xxhash64("digest")).mapInArrow(alone(some), "digest binary, registers binary")
         rows = rows.join(registers, "digest").select("band", "part", "parts", "own", "marked", "digest", "registers")
         rows = rows.repartition("band", "part").sortWithinPartitions("band", "part")
 
@@ -308,7 +308,7 @@ def candidate_links(classes: DataFrame, threshold: int) -> DataFrame:
                 found = _edges(names, edges)
                 yield pa.RecordBatch.from_arrays([*found.columns, pa.nulls(len(edges), pa.int64())], ["a", "b", "band"])
 
-        return rows.mapInArrow(work, "a binary, b binary, band long")
+        return rows.mapInArrow(alone(work), "a binary, b binary, band long")
 
     first = _dealt(members, "n", "digest", _pilot("n", "digest")).withColumn("marked", _pilot("n", "digest"))
     found = stored(compared(first, False), "minhash-candidates")
@@ -343,7 +343,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, families: DataFrame, wo
                     sets = [shingle_set(t.as_py() or "", words).tobytes() for t in batch.column(0).slice(at, 512)]
                     yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())], ["digest", "hashes"])
 
-        sets = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(to_sets, "digest binary, hashes binary")
+        sets = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(alone(to_sets), "digest binary, hashes binary")
         return sets.groupBy("digest").agg(F.first("hashes").alias("hashes"))
 
     def compared(some: DataFrame, everywhere: Column) -> DataFrame:
@@ -357,7 +357,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, families: DataFrame, wo
                 if edges:
                     yield _edges(list(unique), edges)
 
-        return rows.mapInArrow(work, "a binary, b binary")
+        return rows.mapInArrow(alone(work), "a binary, b binary")
 
     links = stored(compared(members, _pilot("n", "digest")), "minhash-links")
     large = members.where(F.col("n") > BLOCK)

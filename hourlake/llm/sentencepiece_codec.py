@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from hourlake.llm.bpe import BITS, Memo, merge, pair_value
+from hourlake.llm.bpe import BITS, Memo, forget, merge, pair_value
 
 # The sign that stands for a space, and the piece kinds of a model file.
 SPACE = "▁"
@@ -101,7 +101,8 @@ class SentencePieceCodec:
         self.joins = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         cut = not any(pair[0] != SPACE and pair[1] == SPACE or "\n" in pair for pair in self.joins)
         self.units = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if cut else "(?s:.+)")
-        self.unit_pieces = Memo(self._unit, 450_000)
+        self.unit_pieces = Memo(self._unit, 300_000)
+        self.sizes = Memo(bytes, 50_000, 32)  # units share these
 
     # -- normalisation
 
@@ -151,7 +152,8 @@ class SentencePieceCodec:
     def _unit(self, unit: str) -> tuple[bytes, bytes, bytes]:
         """Packed ids of a unit, the source bytes each takes if no character was mapped, and its characters."""
         if 1 < len(unit) <= 64 and unit[-2:] not in self.joins and unit[-1] in self.symbols:
-            return tuple(map(bytes.__add__, self.unit_pieces[unit[:-1]], self.unit_pieces[unit[-1]]))
+            ids, sizes, chars = map(bytes.__add__, self.unit_pieces[unit[:-1]], self.unit_pieces[unit[-1]])
+            return ids, self.sizes[sizes], self.sizes[chars]
         symbols = merge(list(map(self.symbols.__getitem__, unit)), self.table)[0]
         starts = [i for i, s in enumerate(symbols) if s >= 0]
         ids = [symbols[i] for i in starts]
@@ -160,7 +162,7 @@ class SentencePieceCodec:
         if max(ids) >= self.pieces or not unit.lstrip(SPACE).isascii():
             return self._mixed(unit, ids, starts)
         pack = struct.Struct(f"<{len(ids)}I").pack
-        sizes = pack(*chars)
+        sizes = self.sizes[pack(*chars)]
         return pack(*ids), sizes, sizes
 
     def _mixed(self, unit: str, symbols: list[int], starts: list[int]) -> tuple[bytes, bytes, bytes]:
@@ -180,7 +182,7 @@ class SentencePieceCodec:
             sizes.append(len(piece.replace(SPACE, " ").encode("utf-8")))
             chars.append(len(piece))
         pack = struct.Struct(f"<{len(ids)}I").pack
-        return pack(*ids), pack(*sizes), pack(*chars)
+        return pack(*ids), self.sizes[pack(*sizes)], self.sizes[pack(*chars)]
 
     def encode(self, text: str, bos: bool = True, eos: bool = True) -> tuple[bytes, bytes]:
         """Packed ids, and packed ends of the pieces' byte spans in the text; a span starts where the last ended.
@@ -281,6 +283,7 @@ def _coded(text: Column, path: str, bos: bool, eos: bool, decode: bool) -> Colum
     @F.arrow_udf("ids binary, ends binary" + ", decoded string" * decode)
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = codec(path)
+        forget(made.unit_pieces, made.sizes)
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 rows = [made.encode(t.as_py() or "", bos, eos) for t in batch.slice(at, ROWS)]
@@ -308,6 +311,7 @@ def decoded(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = codec(path)
+        forget(made.unit_pieces, made.sizes)
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 yield pa.array([made.decode(b.as_py()) if b.is_valid else None for b in batch.slice(at, ROWS)], pa.string())

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.bpe import BITS, Memo, merge, pair_value
+from hourlake.llm.bpe import BITS, Memo, forget, merge, pair_value
 
 # Unicode's white space, and the word pattern of byte-level byte-pair encoding, to be filled with the
 # classes of letters, numbers and white space.
@@ -90,6 +90,7 @@ def token_count(text: Column, path: str) -> Column:
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = counter(path)
+        forget(made.word_count)
         for batch in batches:
             yield pa.array([made.count(t.as_py()) if t.is_valid else None for t in batch], pa.int64())
 

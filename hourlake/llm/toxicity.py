@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.bpe import Memo
+from hourlake.llm.bpe import Memo, forget, give_back
 from hourlake.llm.common import stored
 
 #: The bound on labelled rows that a model is fitted on: toxic documents and others, taken in the order of a hash of the id.
@@ -260,11 +260,16 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, othe
     sample = sample.select("place", "doc_id", "text", "toxic").repartition(1).sortWithinPartitions("place", "doc_id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         texts, toxic = [], []
         for batch in batches:  # bounded by the sample
             texts += batch.column(2).to_pylist()
             toxic += batch.column(3).to_pylist()
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, toxic))], pa.binary())], ["model"])
+        made = pickle.dumps(fit(texts, toxic))
+        del texts, toxic
+        forget()
+        give_back()
+        yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["model"])
 
     made = sample.mapInArrow(work, "model binary").collect()
     return bytes(made[0]["model"]) if made else pickle.dumps(fit([], []))
@@ -310,6 +315,7 @@ def score(df: DataFrame, model: bytes, text: str = "text", into: str = "toxicity
     @F.arrow_udf("score double, spans array<struct<begin int, end int, p double>>")
     def work(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = _model(packed.value)
+        forget(made.emission)
 
         def scored(texts: list[str], tokens: list[list[str]]) -> pa.Array:
             found = made.marginals(tokens) if any(tokens) else np.empty(0)
