@@ -9,6 +9,7 @@ import weakref
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 
 #: Bits of a symbol's number. A pair table maps left << BITS | right to pair_value(rank, joined symbol).
@@ -63,6 +64,69 @@ def merge(symbols: list[int], table: dict[int, int]) -> tuple[list[int], int]:
     return symbols, merges
 
 
+def pair_arrays(table: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """A pair table as sorted keys and, for each, rank + 1 << BITS | joined symbol."""
+    keys = np.array(sorted(table), np.int64)
+    values = np.array([(v >> 32 + BITS) << BITS | v & _SYMBOL for v in map(table.__getitem__, keys.tolist())], np.int64)
+    # A last key that no pair has, so that every search ends at a key.
+    return np.append(keys, 1 << 2 * BITS), np.append(values, 0)
+
+
+def merge_all(symbols: np.ndarray, owner: np.ndarray, arrays: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """merge() of many sequences at once: one heap of ranks, each with the places in all sequences of its pairs.
+
+    Works in place on 64-bit symbols, with the same result. Sequences lie behind one another; before, between and behind them is a symbol that is in no pair.
+    owner numbers the sequence of each place. A rank that is taken from the heap merges its leftmost pair of every sequence and goes back for the others, as
+    a merge may make a pair of lower rank. A merge costs some array elements, a rank some array calls: very long sequences, which repeat ranks, are for merge().
+    """
+    keys, values = arrays
+    n = len(symbols)
+    after, before, pairs = np.arange(1, n + 1), np.arange(-1, n - 1), np.zeros(n, np.int64)
+    places: dict[int, list[np.ndarray]] = {}
+    heap: list[int] = []
+
+    def look(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        wanted = left << BITS | right
+        at = keys.searchsorted(wanted)
+        found = values[at]
+        found[keys[at] != wanted] = 0
+        return found
+
+    def push(at: np.ndarray, found: np.ndarray) -> None:
+        some = found != 0
+        at, ranks = at[some], found[some] >> BITS
+        if not len(at):
+            return
+        order = ranks.argsort(kind="stable")
+        at, ranks = at[order], ranks[order]
+        cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(at)]
+        for rank, a, b in zip(ranks[cuts[:-1]].tolist(), cuts, cuts[1:], strict=False):
+            if rank not in places:
+                places[rank] = []
+                heappush(heap, rank)
+            places[rank].append(at[a:b])
+
+    pairs[:-1] = look(symbols[:-1], symbols[1:])
+    push(np.arange(n), pairs)
+    while heap:
+        rank = heappop(heap)
+        at = np.concatenate(places.pop(rank))
+        at = np.sort(at[pairs[at] >> BITS == rank])  # of the others, one of the two has been merged since
+        again = owner[at[1:]] == owner[at[:-1]]
+        if again.any():
+            places[rank] = [at[1:][again]]
+            heappush(heap, rank)
+            at = at[np.append(True, ~again)]
+        joined, gone = pairs[at] & _SYMBOL, after[at]
+        right, left = after[gone], before[at]
+        symbols[at], symbols[gone], pairs[gone] = joined, -1, 0
+        after[at], before[right] = right, at
+        changed = np.concatenate([at, left])
+        pairs[changed] = found = look(np.concatenate([joined, symbols[left]]), np.concatenate([symbols[right], joined]))
+        push(changed, found)
+    return symbols
+
+
 #: All memos of this process.
 _memos: list[weakref.ref] = []
 

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
-from functools import lru_cache
+import sys
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache, partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from hourlake.llm.bpe import BITS, Memo, forget, merge, pair_value
+from hourlake.llm.bpe import BITS, Memo, forget, merge, merge_all, pair_arrays, pair_value
+
+#: Units that are merged at once; each of their characters takes some 100 bytes meanwhile.
+UNITS_AT_ONCE = 100_000
 
 # The sign that stands for a space, and the piece kinds of a model file.
 SPACE = "▁"
@@ -61,6 +66,59 @@ class _Symbols(dict):
         return (1 << BITS) - 1
 
 
+class UnitPieces(Memo):
+    """Numbers of the units that texts are cut into, and the pieces of each in one array for all.
+
+    A unit gets its number as it is first looked up; learn() then makes the pieces of all new ones at once. Of a full table those units stay that were met again.
+    """
+
+    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]], most: int = 400_000, longest: int = 64):
+        super().__init__(make, most, longest)
+        self.clear()
+
+    def __missing__(self, unit: str) -> int:
+        number = self[unit] = len(self)
+        return number
+
+    def clear(self) -> None:
+        super().clear()
+        # For each unit, where its pieces begin, their number, its characters and how often it was met; and rows of ids, source bytes and characters of pieces.
+        self.at, self.n, self.chars, self.met = (np.empty(0, np.int64) for _ in range(4))
+        self.pieces = np.empty((3, 0), np.uint32)
+
+    def learn(self, numbers: list[np.ndarray]) -> Callable[[np.ndarray], np.ndarray]:
+        """Make the pieces of all new units; numbers are those of all units since then, to be counted. Gives a function from numbers to pieces that outlives changes."""
+        new = list(islice(self, len(self.at), None))
+        if new:
+            at, n, pieces = self.make(new)
+            self.at, self.n = np.append(self.at, at + self.pieces.shape[1]), np.append(self.n, n)
+            self.chars = np.append(self.chars, np.fromiter(map(len, new), np.int64, len(new)))
+            self.met = np.append(self.met, np.zeros(len(new), np.int64))
+            self.pieces = np.concatenate([self.pieces, pieces], axis=1)
+        if numbers:
+            self.met += np.bincount(np.concatenate(numbers), minlength=len(self.met))
+        return partial(_gather, self.at, self.n, self.pieces)
+
+    def trim(self) -> None:
+        """Make room in a full table."""
+        if len(self) <= self.most and self.chars.sum() <= 32 * self.most:
+            return
+        keep = np.flatnonzero((self.met > 1) & (self.chars <= self.longest))
+        keep = np.sort(keep[np.argsort(-self.met[keep], kind="stable")[: self.most // 2]])
+        units, at, n, chars, met = list(self), self.at[keep], self.n[keep], self.chars[keep], self.met[keep]
+        pieces = _gather(self.at, self.n, self.pieces, keep)
+        self.clear()
+        self.update((units[k], number) for number, k in enumerate(keep.tolist()))
+        self.at, self.n, self.chars, self.met, self.pieces = np.cumsum(n) - n, n, chars, met // 2, pieces
+
+
+def _gather(at: np.ndarray, n: np.ndarray, pieces: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Rows of ids, source bytes and characters of the pieces of units, behind one another."""
+    n = n[numbers]
+    ends = np.cumsum(n)
+    return pieces[:, np.repeat(at[numbers] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class SentencePieceCodec:
     """Encodes and decodes as the library does with the same BPE model, and gives byte spans."""
 
@@ -95,14 +153,16 @@ class SentencePieceCodec:
             for i in range(1, len(p))
             if p[:i] in symbols and p[i:] in symbols
         }
+        self.pairs = pair_arrays(self.table)
         self.symbols = _Symbols({c: s for c, s in symbols.items() if len(c) == 1})
+        self.numbers = np.full(sys.maxunicode + 1, self.symbols[""], np.int32)
+        self.numbers[list(map(ord, self.symbols))] = list(self.symbols.values())
         self.pieces = len(proto.pieces)
         # Merges never join two characters that are adjacent in no piece, so a text may be cut there.
         self.joins = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         cut = not any(pair[0] != SPACE and pair[1] == SPACE or "\n" in pair for pair in self.joins)
         self.units = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if cut else "(?s:.+)")
-        self.unit_pieces = Memo(self._unit, 300_000)
-        self.sizes = Memo(bytes, 50_000, 32)  # units share these
+        self.unit_pieces = UnitPieces(self._pieces)
 
     # -- normalisation
 
@@ -149,24 +209,53 @@ class SentencePieceCodec:
 
     # -- pieces
 
-    def _unit(self, unit: str) -> tuple[bytes, bytes, bytes]:
-        """Packed ids of a unit, the source bytes each takes if no character was mapped, and its characters."""
-        if 1 < len(unit) <= 64 and unit[-2:] not in self.joins and unit[-1] in self.symbols:
-            ids, sizes, chars = map(bytes.__add__, self.unit_pieces[unit[:-1]], self.unit_pieces[unit[-1]])
-            return ids, self.sizes[sizes], self.sizes[chars]
-        symbols = merge(list(map(self.symbols.__getitem__, unit)), self.table)[0]
-        starts = [i for i, s in enumerate(symbols) if s >= 0]
-        ids = [symbols[i] for i in starts]
-        starts.append(len(unit))
-        chars = [starts[i + 1] - starts[i] for i in range(len(ids))]
-        if max(ids) >= self.pieces or not unit.lstrip(SPACE).isascii():
-            return self._mixed(unit, ids, starts)
-        pack = struct.Struct(f"<{len(ids)}I").pack
-        sizes = self.sizes[pack(*chars)]
-        return pack(*ids), sizes, sizes
-
-    def _mixed(self, unit: str, symbols: list[int], starts: list[int]) -> tuple[bytes, bytes, bytes]:
-        """A unit with characters of several bytes, or with some that no piece has."""
+    def _pieces(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the pieces of each unit begin, their number, and rows of ids, of the source bytes each takes if no character was mapped, and of its characters."""
+        at, n = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        parts, made = [], 0
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        short = np.flatnonzero(lengths <= self.unit_pieces.longest)
+        own: dict[int, tuple[list[int], list[int]]] = {}  # ids and starts of pieces of units that go one by one
+        for k in np.flatnonzero(lengths > self.unit_pieces.longest).tolist():
+            symbols = merge(list(map(self.symbols.__getitem__, units[k])), self.table)[0]
+            starts = [i for i, s in enumerate(symbols) if s >= 0]
+            own[k] = [symbols[i] for i in starts], [*starts, len(units[k])]
+        for first in range(0, len(short), UNITS_AT_ONCE):
+            some = short[first : first + UNITS_AT_ONCE]
+            n[some], pieces, odd = self._merged([units[k] for k in some.tolist()])
+            at[some] = made + np.cumsum(n[some]) - n[some]
+            own |= {int(some[k]): found for k, found in odd.items()}
+            parts.append(pieces)
+            made += pieces.shape[1]
+        for k, (symbols, starts) in own.items():
+            parts.append(self._mixed(units[k], symbols, starts))
+            at[k], n[k] = made, parts[-1].shape[1]
+            made += n[k]
+        return at, n, np.concatenate(parts, axis=1)
+
+    def _merged(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, dict[int, tuple[list[int], list[int]]]]:
+        """Numbers of pieces and their rows for units that are merged at once; besides, ids and starts of those units that have characters which no piece has."""
+        codes = np.frombuffer("".join(units).encode("utf-32-le"), "<u4")
+        own = np.repeat(np.arange(len(units)), np.fromiter(map(len, units), np.int64, len(units)))
+        # One place before, between and behind the units holds the number that merges with nothing.
+        places = np.arange(len(codes)) + own + 1
+        symbols, owner = np.full(len(codes) + len(units) + 1, self.symbols[""], np.int64), np.full(len(codes) + len(units) + 1, -1)
+        symbols[places], owner[places] = self.numbers[codes], own
+        symbols = merge_all(symbols, owner, self.pairs)[places]
+        starts = np.flatnonzero(symbols >= 0)
+        ids, own = symbols[starts], own[starts]
+        width = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
+        width[codes == ord(SPACE)] = 1
+        n = np.bincount(own, minlength=len(units))
+        pieces = np.stack([ids, np.add.reduceat(width, starts), np.diff(starts, append=len(codes))]).astype(np.uint32)
+        ends, odd = np.cumsum(n), {}
+        for k in dict.fromkeys(own[ids >= self.pieces].tolist()):
+            of = slice(ends[k] - n[k], ends[k])
+            odd[k] = ids[of].tolist(), [*(starts[of] - starts[of][0]).tolist(), len(units[k])]
+        return n, pieces, odd
+
+    def _mixed(self, unit: str, symbols: list[int], starts: list[int]) -> np.ndarray:
+        """Rows of pieces of a unit that may have characters which no piece has."""
         ids, sizes, chars = [], [], []
         for k, symbol in enumerate(symbols):
             piece = unit[starts[k] : starts[k + 1]]
@@ -181,44 +270,60 @@ class SentencePieceCodec:
                 ids.append(self.unk)
             sizes.append(len(piece.replace(SPACE, " ").encode("utf-8")))
             chars.append(len(piece))
-        pack = struct.Struct(f"<{len(ids)}I").pack
-        return pack(*ids), self.sizes[pack(*sizes)], self.sizes[pack(*chars)]
+        return np.array([ids, sizes, chars], np.uint32)
 
     def encode(self, text: str, bos: bool = True, eos: bool = True) -> tuple[bytes, bytes]:
         """Packed ids, and packed ends of the pieces' byte spans in the text; a span starts where the last ended.
 
         Both are little-endian unsigned 32-bit integers. All byte pieces of a character but the last have empty spans.
         """
+        return next(self.encode_all([text], bos, eos))
+
+    def encode_all(self, texts: Iterable[str], bos: bool = True, eos: bool = True) -> Iterator[tuple[bytes, bytes]]:
+        """encode of each text. Units that no text before them had are merged at once for all texts."""
+        plain = not self.map.units and not self.trim and self.escape
+        table, rows = self.unit_pieces, []
+        table.trim()
+        try:
+            for text in texts:
+                if plain:
+                    normal, starts = (SPACE if self.dummy and text else "") + text.replace(" ", SPACE), None
+                else:
+                    normal, starts = self.normalise(text)
+                rows.append((text, starts, np.fromiter(map(table.__getitem__, self.units.findall(normal)), np.int32)))
+            pieces = table.learn([numbers for _, _, numbers in rows])
+        except BaseException:
+            table.clear()  # some units have a number and no pieces
+            raise
+        for text, starts, numbers in rows:
+            yield self._packed(text, starts, pieces(numbers), bos, eos)
+
+    def _packed(self, text: str, starts: list[int] | None, pieces: np.ndarray, bos: bool, eos: bool) -> tuple[bytes, bytes]:
+        """What encode gives for a text of these pieces; starts is what normalise gave, or None if no character was mapped."""
         first, last = struct.pack("<I", self.bos) if bos else b"", struct.pack("<I", self.eos) if eos else b""
         if not text:
             return first + last, bytes(len(first) + len(last))
-        plain = not self.map.units and not self.trim and self.escape
-        if plain:
-            normal, starts = (SPACE if self.dummy else "") + text.replace(" ", SPACE), None
-        else:
-            normal, starts = self.normalise(text)
-        found = list(map(self.unit_pieces.__getitem__, self.units.findall(normal)))
-        ids = b"".join([f[0] for f in found])
-        if plain:
-            ends = np.cumsum(np.frombuffer(b"".join([f[1] for f in found]), "<u4"), dtype=np.int64)
+        ids, sizes, chars = pieces
+        if starts is None:
+            ends = np.cumsum(sizes, dtype=np.int64)
             if self.dummy:
                 ends -= 1
                 np.maximum(ends, 0, out=ends)
                 signs = text.count(SPACE)
                 if signs:  # the sign itself is three bytes in the source, not one
-                    ends = self._ends_with_signs(text, found)
+                    ends = self._ends_with_signs(text, chars)
         else:
-            ends = np.asarray(starts, np.int64)[np.cumsum(np.frombuffer(b"".join([f[2] for f in found]), "<u4"), dtype=np.int64)] if found else np.empty(0, np.int64)
+            ends = np.asarray(starts, np.int64)[np.cumsum(chars, dtype=np.int64)]
         spans = ends.astype("<u4").tobytes()
         # The last piece ends where the text does, or where trimming has cut it.
         total = spans[-4:] if not self.trim and spans else struct.pack("<I", len(text.encode("utf-8")))
-        return first + ids + last, bytes(len(first)) + spans + (total if eos else b"")
+        return first + ids.astype("<u4").tobytes() + last, bytes(len(first)) + spans + (total if eos else b"")
 
-    def _ends_with_signs(self, text: str, found: list) -> np.ndarray:
+    def _ends_with_signs(self, text: str, chars: np.ndarray) -> np.ndarray:
         sizes = np.frombuffer(text.encode("utf-32-le"), "<u4")
         width = 1 + (sizes > 0x7F) + (sizes > 0x7FF) + (sizes > 0xFFFF)
         offsets = np.concatenate([[0] * (1 + self.dummy), np.cumsum(width)])
-        return offsets[np.cumsum(np.frombuffer(b"".join([f[2] for f in found]), "<u4"), dtype=np.int64)]
+        return offsets[np.cumsum(chars, dtype=np.int64)]
 
     def decode(self, packed: bytes) -> str:
         """The text of packed ids. Byte pieces that form no UTF-8 become U+FFFD each."""
@@ -276,6 +381,22 @@ def codec(path: str) -> SentencePieceCodec:
 #: Rows that go back to Spark at once: packed ids take more room than their text.
 ROWS = 128
 
+#: Characters of texts whose new units are learned together.
+WINDOW = 6_000_000
+
+
+def _windows(batch: pa.Array) -> Iterator[list[str]]:
+    """The texts of a batch, "" for null, in lists of about WINDOW characters."""
+    texts, chars = [], 0
+    for t in batch:
+        texts.append(t.as_py() or "")
+        chars += len(texts[-1])
+        if chars >= WINDOW:
+            yield texts
+            texts, chars = [], 0
+    if texts:
+        yield texts
+
 
 def _coded(text: Column, path: str, bos: bool, eos: bool, decode: bool) -> Column:
     kind = pa.struct([("ids", pa.binary()), ("ends", pa.binary()), *[("decoded", pa.string())] * decode])
@@ -283,10 +404,9 @@ def _coded(text: Column, path: str, bos: bool, eos: bool, decode: bool) -> Colum
     @F.arrow_udf("ids binary, ends binary" + ", decoded string" * decode)
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = codec(path)
-        forget(made.unit_pieces, made.sizes)
-        for batch in batches:
-            for at in range(0, len(batch), ROWS):
-                rows = [made.encode(t.as_py() or "", bos, eos) for t in batch.slice(at, ROWS)]
+        forget(made.unit_pieces)
+        for coded in (made.encode_all(texts, bos, eos) for batch in batches for texts in _windows(batch)):
+            while rows := list(islice(coded, ROWS)):
                 columns = [pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)]
                 if decode:
                     columns.append(pa.array([made.decode(ids) for ids, _ in rows], pa.string()))
@@ -311,7 +431,7 @@ def decoded(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = codec(path)
-        forget(made.unit_pieces, made.sizes)
+        forget(made.unit_pieces)
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 yield pa.array([made.decode(b.as_py()) if b.is_valid else None for b in batch.slice(at, ROWS)], pa.string())

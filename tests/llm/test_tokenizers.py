@@ -11,8 +11,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from sentencepiece import sentencepiece_model_pb2 as pb
 
-from hourlake.llm import queries
-from hourlake.llm.bpe import BITS, merge, pair_value
+from hourlake.llm import bpe, queries
+from hourlake.llm.bpe import BITS, merge, merge_all, pair_arrays, pair_value
 from hourlake.llm.sentencepiece_codec import CharacterMap, SentencePieceCodec, decode_documents, encode_documents, round_trip
 from hourlake.llm.token_counts import TokenCounter, count_tokens
 
@@ -108,6 +108,55 @@ def test_merge_takes_lowest_rank_leftmost():
     assert merge([], table) == ([], 0) and merge([b], table) == ([b], 0)
 
 
+def test_many_sequences_merge_as_each_alone():
+    """Ranks in any order and shared by pairs, so that a merge may make a pair that goes first."""
+    rnd = random.Random(5)
+    none = (1 << BITS) - 1
+    for _ in range(300):
+        pairs = [(rnd.randint(1, 9), rnd.randint(1, 9)) for _ in range(25)]
+        table = {a << BITS | b: pair_value(rnd.randrange(8), rnd.randint(1, 9)) for a, b in pairs}
+        rows = [[rnd.randint(1, 9) if rnd.random() < 0.7 else 1 for _ in range(rnd.randint(1, 14))] for _ in range(40)]
+        symbols = np.array([none] + [s for row in rows for s in [*row, none]], np.int64)
+        owner = np.array([-1] + [k for k, row in enumerate(rows) for k in [k] * len(row) + [-1]])
+        merged = merge_all(symbols, owner, pair_arrays(table)).tolist()
+        assert merged == [none] + [s for row in rows for s in [*merge(row, table)[0], none]]
+
+
+def made_up(rnd, n):
+    syllables = "th he in er an re on ti é ç qu ent eau sch ung ß ü ▁ 日本 \U0001f600 ² 3 . , !".split()
+    return ["".join(rnd.choice(syllables) for _ in range(rnd.randint(2, 6))) for _ in range(n)]
+
+
+def test_new_words_of_many_texts_are_merged_together(monkeypatch):
+    """Words that no text had before cost one heap of ranks for all texts, not a heap each."""
+    codec, rnd, popped, pop = SentencePieceCodec(MODEL), random.Random(6), [], bpe.heappop
+    words = made_up(rnd, 20_000)
+    texts = [" ".join(words[k : k + 40]) for k in range(0, len(words), 40)]
+    monkeypatch.setattr(bpe, "heappop", lambda heap: popped.append(1) or pop(heap))
+    coded = list(codec.encode_all(texts)) if hasattr(codec, "encode_all") else [codec.encode(t) for t in texts]
+    assert [unpacked(ids) for ids, _ in coded] == LIBRARY.encode(texts, add_bos=True, add_eos=True)
+    assert 0 < len(popped) < len(set(words))
+
+
+def test_full_tables_of_units():
+    """Units that a full table drops are learned again; texts that are under way keep theirs."""
+    codec, rnd = SentencePieceCodec(MODEL), random.Random(7)
+    codec.unit_pieces.most = 200
+    for _ in range(12):
+        texts = [" ".join([*made_up(rnd, 30), "the", "of", "x" * 70]) for _ in range(5)]
+        under_way = codec.encode_all(texts)
+        coded = [next(under_way)]
+        assert unpacked(codec.encode("the other one")[0]) == LIBRARY.encode("the other one", add_bos=True, add_eos=True)
+        coded += under_way
+        assert [unpacked(ids) for ids, _ in coded] == LIBRARY.encode(texts, add_bos=True, add_eos=True)
+        for text, (_, ends) in zip(texts, coded, strict=True):
+            assert unpacked(ends) == unpacked(CODEC.encode(text)[1])
+    assert len(codec.unit_pieces) < 1000 and "▁the" in codec.unit_pieces
+    with pytest.raises(UnicodeEncodeError):
+        codec.encode("the \ud800")
+    assert unpacked(codec.encode("the other one")[0]) == LIBRARY.encode("the other one", add_bos=True, add_eos=True)
+
+
 def test_frames(spark):
     rows = [(1, "a b", None, "x"), (2, None, "y", None), (None, "", "", "z"), (1, "a b", None, "x"), (3, "w " * 30000, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, pieces string, n_tokens string")
