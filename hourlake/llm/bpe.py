@@ -154,6 +154,11 @@ class Memo(dict):
 def give_back() -> None:
     """Give the memory that this process no longer uses back to the system."""
     gc.collect()
+    release()
+
+
+def release() -> None:
+    """give_back for what is free already, without a search for cycles: cheap enough for between two parts of a batch."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
         ctypes.CDLL(None).malloc_trim(0)

@@ -20,10 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from hourlake.llm.bpe import BITS, Memo, forget, merge, merge_all, pair_arrays, pair_value
+from hourlake.llm.bpe import BITS, Memo, forget, give_back, merge, merge_all, pair_arrays, pair_value, release
 
 #: Units that are merged at once; each of their characters takes some 100 bytes meanwhile.
-UNITS_AT_ONCE = 100_000
+UNITS_AT_ONCE = 30_000
 
 # The sign that stands for a space, and the piece kinds of a model file.
 SPACE = "▁"
@@ -72,7 +72,7 @@ class UnitPieces(Memo):
     A unit gets its number as it is first looked up; learn() then makes the pieces of all new ones at once. Of a full table those units stay that were met again.
     """
 
-    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]], most: int = 400_000, longest: int = 64):
+    def __init__(self, make: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]], most: int = 150_000, longest: int = 64):
         super().__init__(make, most, longest)
         self.clear()
 
@@ -381,8 +381,8 @@ def codec(path: str) -> SentencePieceCodec:
 #: Rows that go back to Spark at once: packed ids take more room than their text.
 ROWS = 128
 
-#: Characters of texts whose new units are learned together.
-WINDOW = 6_000_000
+#: Characters of texts whose new units are learned together. Memory that is free after these goes back to the system: the JVM beside the worker may need it.
+WINDOW = 2_000_000
 
 
 def _windows(batch: pa.Array) -> Iterator[list[str]]:
@@ -405,12 +405,14 @@ def _coded(text: Column, path: str, bos: bool, eos: bool, decode: bool) -> Colum
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = codec(path)
         forget(made.unit_pieces)
+        give_back()  # what tasks of other operators, with memos or without, have left free
         for coded in (made.encode_all(texts, bos, eos) for batch in batches for texts in _windows(batch)):
             while rows := list(islice(coded, ROWS)):
                 columns = [pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)]
                 if decode:
                     columns.append(pa.array([made.decode(ids) for ids, _ in rows], pa.string()))
                 yield pa.StructArray.from_arrays(columns, fields=list(kind))
+            release()
 
     return code(text)
 
