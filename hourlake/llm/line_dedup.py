@@ -10,6 +10,7 @@ if an earlier line, in the order of (doc_id, hash of the text, line number), equ
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from hourlake.llm.common import alone, fresh, mark, result, stored, tidy
 from hourlake.llm.membership import SPARSE, bit_filter, merged, passing, sparse
-from hourlake.llm.words import BUFFER, buffer_words, mixed, word_hashes
+from hourlake.llm.words import BUFFER, buffer_words, distinct, mixed, word_hashes
 
 #: Jaccard index in hundredths from which lines match.
 THRESHOLD = 80
@@ -36,6 +37,8 @@ LINES, PACKED, BUCKET_ROWS = 60_000, 250_000, 500_000
 SEEN = 150_000
 #: Rows of a group from which its pairs are compared in strips of the earliest lines, dropping lines that have FIRST candidates.
 STRIPS, STRIP = 256, 32
+#: Pairs of smaller groups that are compared at once.
+PAIRS = 1 << 15
 
 _LOW = np.uint64((1 << HASH_BITS) - 1)
 #: Stands for a null id, if no row has this one.
@@ -53,8 +56,9 @@ def line_sets(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     else:  # one very long line
         hashes, breaks = word_hashes(data), np.empty(0, np.int64)
         starts = np.zeros(len(hashes), np.int64)
-    owner = np.searchsorted(breaks, starts).astype(np.uint64)
-    both = np.unique(owner << np.uint64(HASH_BITS) | (hashes & _LOW))
+    ends = np.append(np.searchsorted(starts, breaks), len(starts))
+    owner = np.repeat(np.arange(len(ends), dtype=np.uint64), np.diff(ends, prepend=0))
+    both = distinct(owner << np.uint64(HASH_BITS) | (hashes & _LOW))
     words, owner = both & _LOW, (both >> np.uint64(HASH_BITS)).astype(np.int64)
     sizes = np.bincount(owner, minlength=len(breaks) + 1)
     keys, bits, half = (np.zeros(len(sizes), np.uint64) for _ in range(3))
@@ -185,19 +189,43 @@ def prefix_length(sizes: np.ndarray) -> np.ndarray:
     return sizes * (100 - THRESHOLD) // 100 + 1
 
 
+def sorted_order(*keys: np.ndarray) -> np.ndarray:
+    """The stable order of arrays of whole numbers that are not negative, the first before all others: as np.lexsort, by one plain sort where all bits fit in 64."""
+    n = len(keys[0])
+    widths = [int(k.max()).bit_length() if n else 0 for k in keys]
+    low = n.bit_length()
+    if sum(widths) + low > 64:
+        return np.lexsort(keys[::-1])
+    packed = np.zeros(n, np.uint64)
+    for key, width in zip(keys, widths, strict=True):
+        packed = packed << np.uint64(width) | key.astype(np.uint64)
+    packed = packed << np.uint64(low) | np.arange(n, dtype=np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << low) - 1)).astype(np.int64)
+
+
 def prefixes(batch: pa.RecordBatch, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, rows, places) of the rarest words of each row of a batch of LINE, but for words that occur in one line alone."""
     sizes = batch.column("n").to_numpy().astype(np.int64)
     words = unpack(b"".join(batch.column("words").to_pylist()))
     owner = np.repeat(np.arange(len(sizes)), sizes)
     count = often[(words & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.int64)
-    order = np.argsort(owner << 32 | count, kind="stable")  # by line, then by count; words of a line are sorted by hash already
+    order = sorted_order(owner, count)  # by line, then by count; words of a line are sorted by hash already
     words, count = words[order], count[order]
     place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     keep = np.flatnonzero((place < prefix_length(sizes)[owner]) & (count > 1))
     return words[keep], owner[keep], place[keep]
 
 
+def with_frequent(batch: pa.RecordBatch, often: np.ndarray, least: int) -> pa.RecordBatch:
+    """The rows of a batch of LINE that may have a word with a counter above `least` among their rarest: those with fewer other words than the rarest are."""
+    sizes = batch.column("n").to_numpy().astype(np.int64)
+    words = unpack(b"".join(batch.column("words").to_pylist()))
+    others = np.concatenate([[0], np.cumsum(often[(words & np.uint64(COUNTERS - 1)).astype(np.int64)] <= least)])
+    ends = np.cumsum(sizes)
+    return batch.filter(pa.array(others[ends] - others[ends - sizes] < prefix_length(sizes)))
+
+
 def heavy_words(lines: DataFrame, counts: Broadcast, least: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted words, groups) of the words that more than `least` lines have among their rarest, counted exactly; such words' lines go to several groups.
 
@@ -208,7 +236,7 @@ def heavy_words(lines: DataFrame, counts: Broadcast, least: int) -> tuple[np.nda
         often = np.frombuffer(counts.value, np.uint32)
         for whole in batches:
             for at in range(0, whole.num_rows, 5000):
-                words, _, _ = prefixes(whole.slice(at, 5000), often)
+                words, _, _ = prefixes(with_frequent(whole.slice(at, 5000), often, least), often)
                 words = words[often[(words & np.uint64(COUNTERS - 1)).astype(np.int64)] > least]
                 words, n = np.unique(words, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
@@ -320,7 +348,8 @@ class Rows:
     """Rows of prefix words sorted by group, then by the order of lines, with the filters that tell which pairs are candidates."""
 
     def __init__(self, part: np.ndarray, doc: np.ndarray, line: np.ndarray, bits: np.ndarray, half: np.ndarray, n: np.ndarray, place: np.ndarray):
-        order = np.lexsort((line, doc, part))
+        order = sorted_order(doc.view(np.uint64) - doc.min().view(np.uint64), line) if len(doc) else np.empty(0, np.int64)
+        order = order[sorted_order(part[order])]
         part, doc, line = part[order], doc[order], line[order]
         new = np.ones(len(order), bool)  # rows of repeated documents are alike
         new[1:] = (part[1:] != part[:-1]) | (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
@@ -344,6 +373,8 @@ class Rows:
         some = np.flatnonzero(np.bitwise_count(apart) <= slack)
         ok, x, y, apart, slack = ok[some], x[some], y[some], apart[some], slack[some]
         wide = np.flatnonzero((self.n[x] > WIDE) & (self.n[y] > WIDE))
+        if not len(wide):
+            return ok
         half = self.half[x[wide]] ^ self.half[y[wide]]
         far = wide[np.bitwise_count(half).astype(np.int64) + np.bitwise_count(apart[wide] ^ half) > slack[wide]]
         return np.delete(ok, far)
@@ -353,12 +384,16 @@ class Rows:
         xs, ys, more = [], [], np.zeros(len(self.part), bool)
         size = np.repeat(self.sizes, self.sizes)
         last = np.repeat(self.starts + self.sizes, self.sizes)
-        step, left = 1, np.flatnonzero((size > 1) & (size <= STRIPS))
-        while len(left := left[left + step < last[left]]):
-            ok = self.candidates(left + step, left)
-            xs.append(left[ok] + step)
-            ys.append(left[ok])
-            step += 1
+        left = np.flatnonzero((size > 1) & (size <= STRIPS) & (self.role & EARLIER > 0))
+        later = last[left] - left - 1  # rows of the group behind each
+        upto = np.cumsum(later)
+        cuts = [0, *np.searchsorted(upto, np.arange(PAIRS, upto[-1], PAIRS)).tolist(), len(left)] if len(left) else []
+        for a, z in pairwise(cuts):
+            y, n = left[a:z], later[a:z]
+            y, x = np.repeat(y, n), np.repeat(y + 1 - np.cumsum(n) + n, n) + np.arange(n.sum())
+            ok = self.candidates(x, y)
+            xs.append(x[ok])
+            ys.append(y[ok])
         for k in np.flatnonzero(self.sizes > STRIPS).tolist():
             start, end = int(self.starts[k]), int(self.starts[k] + self.sizes[k])
             alive = np.arange(start + 1, end)
@@ -448,6 +483,7 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
             yield batch.filter(passing(wanted, batch.column("h"))).select(["doc", "line", "words"])
 
     sets = joinable(lines).select("doc", "line", "words", F.xxhash64("doc", "line").alias("h")).mapInArrow(alone(some), "doc long, line int, words binary")
+    sets = stored(sets, "line-wanted")  # few, and both sides of the pairs need them
     pairs = pairs.join(sets, ["doc", "line"])
     pairs = pairs.join(sets.select(F.col("doc").alias("y_doc"), F.col("line").alias("y_line"), F.col("words").alias("y_words")), ["y_doc", "y_line"])
 
@@ -456,7 +492,7 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
             keep = []
             for k, (x, y) in enumerate(zip(batch.column("words"), batch.column("y_words"), strict=True)):
                 a, b = unpack(x.as_py()), unpack(y.as_py())
-                shared = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
+                shared = len(a) + len(b) - len(distinct(np.concatenate([a, b])))
                 if 100 * shared >= THRESHOLD * (len(a) + len(b) - shared):
                     keep.append(k)
             yield batch.select(["doc", "line"]).take(pa.array(keep, pa.int64()))

@@ -37,6 +37,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """np.unique by a sort. That of numpy 2.3 on puts the values in a hash table, which takes several times as long, and memory beside."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def buffer_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, starts) of the words of at most BUFFER bytes, none longer than half of that: a polynomial of each word's bytes, from differences of one running sum."""
     values, spaces, up, down = _tables()
