@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from hourlake.llm.common import alone, fresh, mark, result, stored
 from hourlake.llm.graph import components
 from hourlake.llm.membership import bit_filter, passing
-from hourlake.llm.words import mixed, word_hashes
+from hourlake.llm.words import distinct, mixed, word_hashes
 
 #: Registers of a sketch, registers of a band, and mantissa bits of a register.
 REGISTERS = 128
@@ -36,6 +36,8 @@ DEVIATIONS = 6.0
 FILLED, PART_KEYS = 2, 40
 #: Rows of a group that one task compares with each other, beside as many pilots.
 BLOCK = 512
+#: Rows of a group with which one task compares all that the pilots have left over, and rows that are estimated at once.
+ASKED, STRIP = 4096, 64
 
 
 def shingle_set(text: str, words: int) -> np.ndarray:
@@ -51,7 +53,7 @@ def shingle_set(text: str, words: int) -> np.ndarray:
         out ^= out >> np.uint64(29)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     out ^= out >> np.uint64(32)
-    return np.unique(out)
+    return distinct(out)
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
@@ -114,15 +116,16 @@ def collision_share() -> float:
 
 def estimates(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Jaccard estimates of rows of registers against rows of registers, corrected for accidental agreement."""
-    out = np.empty((len(left), len(right)), np.float64)
-    filled = right != EMPTY
+    same = np.empty((len(left), len(right)), np.float64)
+    filled, of = (right != EMPTY).astype(np.float32), (left != EMPTY).astype(np.float32)
+    right = np.where(right == EMPTY, EMPTY - 1, right).astype(np.uint16)  # no register has this value, so empty ones never agree
     for k, row in enumerate(left):
-        used = filled | (row != EMPTY)
-        same = ((right == row) & used).sum(1)
-        total = np.maximum(used.sum(1), 1)
-        chance = total * collision_share()
-        out[k] = np.maximum(same - chance, 0) / np.maximum(total - chance, 1e-9)
-    return out
+        agree = (right == row).view(np.uint64)  # bytes of 0 and 1, then of counts, added by one product; a sum over short rows is slow
+        agree = np.add.reduce(np.bitwise_count(agree).view(np.uint64), 1) * np.uint64(0x0101010101010101)
+        same[k] = agree >> np.uint64(56)
+    total = np.maximum(of.sum(1)[:, None] + filled.sum(1)[None, :] - of @ filled.T, 1).astype(np.float64)
+    chance = total * collision_share()
+    return np.maximum(same - chance, 0) / np.maximum(total - chance, 1e-9)
 
 
 def least_estimate(threshold: int) -> float:
@@ -145,6 +148,35 @@ def forest(weights: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def spanning(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
+    """Those pairs of n nodes, given as arrays, that join what the ones before have not: a spanning forest."""
+    out, up = [], list(range(n))
+
+    def root(k: int) -> int:
+        while up[k] != k:
+            up[k] = k = up[up[k]]
+        return k
+
+    for x, y in pairs:
+        for a, b in zip(x.tolist(), y.tolist(), strict=True):
+            if (p := root(a)) != (q := root(b)):
+                up[p] = q
+                out.append((a, b))
+    return out
+
+
+def asked_forest(registers: np.ndarray, own: np.ndarray, asking: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of an own row of the part and an asking one whose estimate is `least` or more. Pairs of asking rows are met where one is own."""
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(own), STRIP):
+            strip = own[at : at + STRIP]
+            x, y = np.nonzero(estimates(registers[strip], registers[asking]) >= least)
+            yield strip[x], asking[y]
+
+    return spanning(len(registers), pairs())
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[dict[str, list]]:
     """Runs of equal first `keys` columns of sorted batches, each as its other columns' values."""
     last, held = None, None
@@ -162,9 +194,9 @@ def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[dict[str, l
         yield held
 
 
-def _dealt(df: DataFrame, size: str, by: str, everywhere: Column) -> DataFrame:
-    """Rows of groups of `size` rows dealt over `parts` parts of about BLOCK rows by a hash of `by`: column part; rows marked `everywhere` go to all. own: the row's own part."""
-    parts = F.ceil(F.col(size) / BLOCK).cast("int")
+def _dealt(df: DataFrame, size: str, by: str, everywhere: Column, block: int = BLOCK) -> DataFrame:
+    """Rows of groups of `size` rows dealt over `parts` parts of about `block` rows by a hash of `by`: column part; rows marked `everywhere` go to all. own: the row's own part."""
+    parts = F.ceil(F.col(size) / block).cast("int")
     own = F.pmod(F.xxhash64(by), parts).cast("int")
     df = df.withColumn("parts", parts).withColumn("part", F.explode(F.when(everywhere, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(own))))
     return df.withColumn("own", F.col("part") == own)
@@ -293,17 +325,21 @@ def candidate_links(classes: DataFrame, threshold: int) -> DataFrame:
                 if len(names) < 2 and g["parts"][0] == 1:
                     continue
                 registers = np.stack([np.frombuffer(r, np.uint16)[:REGISTERS] for r in g["registers"]])
-                weights = estimates(registers, registers)
-                np.fill_diagonal(weights, -1)
-                weights[weights < least] = -1
-                if g["parts"][0] == 1 or asks:
+                own, marked = (np.flatnonzero(np.array(g[c], bool)) for c in ("own", "marked"))
+                if asks:  # marked rows are those left over, which all parts have
+                    edges = asked_forest(registers, own, marked, least)
+                elif g["parts"][0] == 1:
+                    weights = estimates(registers, registers)
+                    np.fill_diagonal(weights, -1)
+                    weights[weights < least] = -1
                     edges = forest(weights)
                 else:  # marked rows are the pilots, which all parts have
-                    linked = (weights >= 0).any(1)
-                    pilots = [k for k, m in enumerate(g["marked"]) if m]
-                    hub = min(pilots, key=lambda k: names[k]) if pilots else 0
-                    edges = [(hub, k) for k in np.flatnonzero(linked).tolist() if k != hub and (g["own"][k] or not pilots)]
-                    left = [names[k] for k in np.flatnonzero(~linked).tolist() if g["own"][k]]
+                    weights = estimates(registers[own], registers)
+                    weights[np.arange(len(own)), own] = -1
+                    linked = (weights >= least).any(1)
+                    hub = min(marked.tolist(), key=lambda k: names[k]) if len(marked) else 0
+                    edges = [(hub, k) for k in own[linked].tolist() if k != hub]
+                    left = [names[k] for k in own[~linked].tolist()]
                     yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.nulls(len(left), pa.binary()), pa.array([g["band"][0]] * len(left), pa.int64())], ["a", "b", "band"])
                 found = _edges(names, edges)
                 yield pa.RecordBatch.from_arrays([*found.columns, pa.nulls(len(edges), pa.int64())], ["a", "b", "band"])
@@ -317,7 +353,7 @@ def candidate_links(classes: DataFrame, threshold: int) -> DataFrame:
         return links
     marked = members.join(left.select("band").distinct(), "band", "left_semi").join(left.withColumn("marked", F.lit(True)), ["band", "digest"], "left")
     marked = marked.withColumn("marked", F.coalesce("marked", F.lit(False)))
-    rest = compared(_dealt(stored(marked, "minhash-marked"), "n", "digest", F.col("marked")), True)
+    rest = compared(_dealt(stored(marked, "minhash-marked"), "n", "digest", F.col("marked"), ASKED), True)
     return stored(links.union(rest.select("a", "b")), "minhash-candidates")
 
 
@@ -346,16 +382,17 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, families: DataFrame, wo
         sets = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(alone(to_sets), "digest binary, hashes binary")
         return sets.groupBy("digest").agg(F.first("hashes").alias("hashes"))
 
-    def compared(some: DataFrame, everywhere: Column) -> DataFrame:
-        rows = _dealt(some, "n", "digest", everywhere).join(sets_of(some), "digest").select("root", "part", "digest", "hashes")
+    def compared(some: DataFrame, everywhere: Column, asks: bool = False) -> DataFrame:
+        rows = _dealt(some.withColumn("marked", everywhere), "n", "digest", F.col("marked")).join(sets_of(some), "digest").select("root", "part", "own", "marked", "digest", "hashes")
         rows = rows.repartition("root", "part").sortWithinPartitions("root", "part")
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for g in groups(batches, 2):
-                unique = dict(zip(g["digest"], g["hashes"], strict=True))
-                edges = true_forest([np.frombuffer(h, np.uint64) for h in unique.values()], threshold)
+                names, sets = g["digest"], [np.frombuffer(h, np.uint64) for h in g["hashes"]]
+                own, marked = (np.flatnonzero(np.array(g[c], bool)) for c in ("own", "marked"))
+                edges = asked_true_forest(sets, own, marked, threshold) if asks else true_forest(sets, threshold)
                 if edges:
-                    yield _edges(list(unique), edges)
+                    yield _edges(names, edges)
 
         return rows.mapInArrow(alone(work), "a binary, b binary")
 
@@ -372,7 +409,7 @@ def confirmed_links(docs: DataFrame, classes: DataFrame, families: DataFrame, wo
     if marked.where("left").isEmpty():
         return links
     marked = marked.join(marked.where("left").select("root").distinct(), "root", "left_semi")
-    return stored(links.union(compared(stored(marked, "minhash-marked"), F.col("left"))), "minhash-links")
+    return stored(links.union(compared(stored(marked, "minhash-marked"), F.col("left"), True)), "minhash-links")
 
 
 def true_forest(sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]:
@@ -406,3 +443,26 @@ def true_forest(sets: list[np.ndarray], threshold: int) -> list[tuple[int, int]]
             edges += [(at, int(h)) for h in hit]
             todo += hit.tolist()
     return edges
+
+
+def asked_true_forest(sets: list[np.ndarray], own: np.ndarray, asking: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of an own row of the part and an asking one with 100 * shared >= threshold * joint. Pairs of asking rows are met where one is own.
+
+    The own rows' hashes are held sorted, with their rows; an asking row counts those that it has.
+    """
+    if not len(own):
+        return []
+    sizes = np.array([len(s) for s in sets])
+    hashes = np.concatenate([sets[k] for k in own.tolist()])
+    order = np.argsort(hashes)
+    hashes, owner = hashes[order], np.repeat(np.arange(len(own)), sizes[own])[order]
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in asking.tolist():
+            first, last = hashes.searchsorted(sets[at]), hashes.searchsorted(sets[at], "right")
+            n = last - first
+            shared = np.bincount(owner[np.repeat(last - np.cumsum(n), n) + np.arange(n.sum())], minlength=len(own))
+            hit = own[100 * shared >= threshold * (sizes[own] + sizes[at] - shared)]
+            yield hit, np.full(len(hit), at)
+
+    return spanning(len(sets), pairs())

@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from hourlake.llm import line_dedup
+from hourlake.llm import line_dedup, minhash
 
 
 def lines_of_one_word(rng, n):
@@ -47,3 +47,59 @@ def test_orders_by_one_sort_are_those_of_lexsort():
         keys = [rng.integers(0, most, 500) for _ in range(2)]
         assert line_dedup.sorted_order(*keys).tolist() == np.lexsort(keys[::-1]).tolist()
     assert line_dedup.sorted_order(np.empty(0, np.int64)).tolist() == []
+
+
+def components(n, edges):
+    up = list(range(n))
+    for a, b in edges:
+        p, q = up[a], up[b]
+        up = [q if u == p else u for u in up]
+    return {frozenset(k for k in range(n) if up[k] == r) for r in up}
+
+
+def near_sets(rng, n):
+    """Sets of 100 hashes in families of five that differ in few, sorted."""
+    out = []
+    for k in range(n):
+        if k % 5 == 0:
+            base = rng.integers(0, 1 << 64, 100, np.uint64, endpoint=False)
+        own = base.copy()
+        own[: k % 4 * 3] = rng.integers(0, 1 << 64, k % 4 * 3, np.uint64, endpoint=False)
+        out.append(np.sort(own))
+    return out
+
+
+def test_rows_left_over_are_compared_with_a_part_and_not_with_each_other_again(monkeypatch):
+    """Each part of a group gets all rows that are left over: comparing these with each other in every part would take cubic time."""
+    sets = near_sets(np.random.default_rng(7), 300)
+    registers = np.stack([minhash.sketch(s) for s in sets])
+    asking, least = np.arange(0, 300, 2), minhash.least_estimate(80)
+    compared, estimates = [], minhash.estimates
+    monkeypatch.setattr(minhash, "estimates", lambda left, right: compared.append(len(left) * len(right)) or estimates(left, right))
+    found, links = [], []
+    for part in range(3):
+        own = np.arange(part, 300, 3)
+        found += minhash.asked_forest(registers, own, asking, least)
+        links += minhash.asked_true_forest(sets, own, asking, 80)
+    assert sum(compared) == 300 * len(asking)
+    near = estimates(registers, registers) >= least
+    asks = np.isin(np.arange(300), asking)
+    near &= asks[:, None] | asks[None, :]
+    assert components(300, found) == components(300, np.argwhere(near).tolist())
+    shared = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    true = (100 * shared >= 80 * (200 - shared)) & (asks[:, None] | asks[None, :])
+    assert components(300, links) == components(300, np.argwhere(true).tolist()) and len(links) > 100
+
+
+def test_estimates_of_rows_with_empty_registers():
+    rng = np.random.default_rng(9)
+    rows = rng.integers(0, 3, (40, minhash.REGISTERS)).astype(np.uint16)
+    rows[rng.random(rows.shape) < 0.4] = minhash.EMPTY
+    rows[0] = minhash.EMPTY
+    got = minhash.estimates(rows[:20], rows)
+    for a in range(20):
+        for b in range(40):
+            used = (rows[a] != minhash.EMPTY) | (rows[b] != minhash.EMPTY)
+            same, total = ((rows[a] == rows[b]) & used).sum(), max(used.sum(), 1)
+            chance = total * minhash.collision_share()
+            assert got[a, b] == max(same - chance, 0) / max(total - chance, 1e-9)
