@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.llm import line_dedup, minhash, mixing, sentencepiece_codec, toxicity
-from hourlake.llm.common import fresh, read, stored
+from hourlake.llm.common import fresh, lean, read, stored
 
 MODEL = "piece_bpe_32k.model"
 
@@ -18,6 +18,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A null text is scored as the empty one, repeated rows each; a null doc_id is scored and not learnt from. Documents in no labels are
     scored like all others. An empty table gives an empty result.
     """
+    lean(spark)
     model = toxicity.train(docs, toxicity.training_rows(read(spark, sf_dir, "labels", "doc_id", "toxic")))
     found = fresh(docs, "_toxicity")
     scored = toxicity.score(docs, model, into=found)
@@ -30,6 +31,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     A document that loses all its lines with words goes; an empty or null text stays as it is (n_chars of a null text is null). Of lines
     that tie, that of the smaller doc_id stays, a null doc_id first; repeated rows are one document and stay, cut alike. An empty table gives an empty result.
     """
+    lean(spark)
     out = line_dedup.dedup_lines(docs)
     if "n_chars" not in docs.columns:
         return out
@@ -41,6 +43,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     The least doc_id of a group stays; rows repeated in doc_id and text are one. Empty and null texts are in no group and stay. An empty table gives an empty result.
     """
+    lean(spark)
     return minhash.deduplicated(docs, words=5, threshold=80)
 
 
@@ -49,6 +52,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null sources are one source. Texts without words take no share and go. Ties are broken by doc_id and size. An empty table gives an empty result.
     """
+    lean(spark)
     return mixing.mixed_documents(docs)
 
 
@@ -57,6 +61,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text has the begin and end ids alone; repeated rows are encoded each; an empty table gives an empty result. Other columns than doc_id and source are left out.
     """
+    lean(spark)
     coded = sentencepiece_codec.round_trip(docs.select("doc_id", "source", "text"), public_tokenizers.path(MODEL), into="pieces")
     return coded.select(
         "doc_id",

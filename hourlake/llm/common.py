@@ -12,7 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm.bpe import forget
+from hourlake.llm.bpe import forget, release
 
 #: A word, wherever a query counts or shingles words: a run of anything but ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -20,6 +20,10 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 #: The setting by which Spark removes an execution's shuffle files when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: The setting that bounds the bytes of a batch of rows that Spark sends to a Python worker, and the bound: rows of long texts make batches of tens of MB
+#: without it, which the JVM holds outside of its heap, and the worker once more, for each task at once.
+BATCHES, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20)
+
 _tables: list[tuple[SparkSession, str]] = []
 
 
@@ -104,6 +108,12 @@ def mark() -> int:
     return len(_tables)
 
 
+def lean(spark: SparkSession) -> None:
+    """Have what this session runs from now on send rows to Python workers in batches of BATCH bytes, unless it has a smaller bound."""
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCHES)) > int(BATCH):
+        spark.conf.set(BATCHES, BATCH)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df has not, so that added columns never clash."""
     taken = {c.lower() for c in df.columns}
@@ -121,11 +131,12 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 
 
 def alone(work: Callable) -> Callable:
-    """`work` on batches, before which its Python worker empties the memos that tasks of other operators have left in it."""
+    """`work` on batches, before which its Python worker empties the memos that tasks of other operators have left in it, and after which it gives back what it has used."""
 
     def run(batches: Iterator) -> Iterator:
         forget()
         yield from work(batches)
+        release()
 
     return run
 

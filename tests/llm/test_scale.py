@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
+import corpus_pipeline
 from hourlake.llm import line_dedup, minhash
 
 
@@ -103,3 +104,22 @@ def test_estimates_of_rows_with_empty_registers():
             same, total = ((rows[a] == rows[b]) & used).sum(), max(used.sum(), 1)
             chance = total * minhash.collision_share()
             assert got[a, b] == max(same - chance, 0) / max(total - chance, 1e-9)
+
+
+def test_pipeline_stages_send_small_batches_to_workers(spark):
+    """Rows of long texts go to a worker in batches of a few MB, whatever their number."""
+    from hourlake.llm import common
+
+    before = spark.conf.get(common.BATCHES)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('a b c d ', 1000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    try:
+        corpus_pipeline.without_near_copies(spark, docs.limit(1), "")
+        most = max(r["n"] for r in docs.mapInArrow(sizes, "n long").collect())
+    finally:
+        spark.conf.set(common.BATCHES, before)
+    assert most < 2 * int(common.BATCH)
